@@ -1,0 +1 @@
+"""Empty on purpose: the work is a batch job and defines no streaming semantics."""
