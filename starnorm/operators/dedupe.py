@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -21,9 +21,8 @@ def one_row_per_key(
     ties are identical rows and the result is a pure function of the data. A null
     key is a key like any other.
 
-    The winner is the minimum (maximum) of the rows packed as structs. That is an
-    aggregate with a map-side step: a key holding a third of all rows leaves each
-    task as one row.
+    Catalyst turns the filter on the row number into a limit per key on both sides
+    of the shuffle: a key holding a third of all rows leaves each task as one row.
     """
     if keep not in ("first", "last"):
         raise ValueError("keep must be 'first' or 'last'")
@@ -31,8 +30,7 @@ def one_row_per_key(
     rest = lead + [c for c in df.columns if c not in key and c not in lead]
     if not rest:
         return df.distinct()
-    pick = F.min if keep == "first" else F.max
-    winners = df.groupBy(*key).agg(pick(F.struct(*rest)).alias("__winner"))
-    return winners.select(
-        *[F.col(c) if c in key else F.col(f"__winner.{c}").alias(c) for c in df.columns]
-    )
+    ranks = [F.col(c).asc_nulls_first() if keep == "first" else F.col(c).desc_nulls_last()
+             for c in rest]
+    rank = F.row_number().over(Window.partitionBy(*key).orderBy(*ranks))
+    return df.withColumn("__rank", rank).filter(F.col("__rank") == 1).drop("__rank")

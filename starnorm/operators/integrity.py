@@ -27,10 +27,14 @@ class FkEdge:
 
 
 def _comparable(facts: DataFrame, fk: str, dim: DataFrame, dim_key: str) -> tuple[Column, Column]:
-    """Both columns in a type they can be compared in; unlike kinds compare as text."""
+    """Both columns in one type: integers as 64 bits, unlike kinds as text."""
     left, right = facts.schema[fk].dataType, dim.schema[dim_key].dataType
-    if left == right or (isinstance(left, T.NumericType) and isinstance(right, T.NumericType)):
-        return F.col(fk).cast(right), F.col(dim_key)
+    if left == right:
+        return F.col(fk), F.col(dim_key)
+    if isinstance(left, T.IntegralType) and isinstance(right, T.IntegralType):
+        return F.col(fk).cast("bigint"), F.col(dim_key).cast("bigint")
+    if isinstance(left, T.NumericType) and isinstance(right, T.NumericType):
+        return F.col(fk), F.col(dim_key)
     return F.col(fk).cast("string"), F.col(dim_key).cast("string")
 
 

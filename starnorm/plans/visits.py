@@ -8,39 +8,84 @@ from starnorm.operators.integrity import FkEdge
 from starnorm.operators.star_join import JoinEdge
 from starnorm.plans.spec import FactSpec, KeyedDim, NaturalDim, StarSpec, StatusDim
 
+STRING, INT, DOUBLE = T.StringType(), T.IntegerType(), T.DoubleType()
+DATE, TIMESTAMP = T.DateType(), T.TimestampType()
+
 # Names and types of the 47 input columns, grouped as they are used.
-VISIT = "visit_id STRING, visit_datetime TIMESTAMP, visit_type STRING"
-PATIENT = (
-    "patient_id STRING, patient_first_name STRING, patient_last_name STRING, "
-    "patient_date_of_birth DATE, patient_gender STRING, patient_address_line1 STRING, "
-    "patient_address_line2 STRING, patient_city STRING, patient_state STRING, "
-    "patient_zip STRING, patient_phone STRING, patient_email STRING"
-)
-INSURANCE = (
-    "insurance_id STRING, insurance_payer_name STRING, insurance_policy_number STRING, "
-    "insurance_group_number STRING, insurance_plan_type STRING"
-)
-BILLING = (
-    "billing_id STRING, billing_total_charge DOUBLE, billing_amount_paid DOUBLE, "
-    "billing_date STRING, billing_payment_status STRING"
-)
-PROVIDER = "doctor_name STRING, doctor_title STRING, doctor_department STRING"
-LOCATION = "clinic_name STRING, room_number INT"
-PRIMARY_DIAGNOSIS = "primary_diagnosis_code STRING, primary_diagnosis_desc STRING"
-SECONDARY_DIAGNOSIS = "secondary_diagnosis_code STRING, secondary_diagnosis_desc STRING"
-TREATMENT = "treatment_code STRING, treatment_desc STRING"
-PRESCRIPTION = (
-    "prescription_id STRING, prescription_drug_name STRING, prescription_dosage STRING, "
-    "prescription_frequency STRING, prescription_duration_days DOUBLE"
-)
-LAB_ORDER = (
-    "lab_order_id STRING, lab_test_code STRING, lab_name STRING, "
-    "lab_result_value DOUBLE, lab_result_units STRING, lab_result_date TIMESTAMP"
-)
+VISIT = {
+    "visit_id": STRING,
+    "visit_datetime": TIMESTAMP,
+    "visit_type": STRING,
+}
+PATIENT = {
+    "patient_id": STRING,
+    "patient_first_name": STRING,
+    "patient_last_name": STRING,
+    "patient_date_of_birth": DATE,
+    "patient_gender": STRING,
+    "patient_address_line1": STRING,
+    "patient_address_line2": STRING,
+    "patient_city": STRING,
+    "patient_state": STRING,
+    "patient_zip": STRING,
+    "patient_phone": STRING,
+    "patient_email": STRING,
+}
+INSURANCE = {
+    "insurance_id": STRING,
+    "insurance_payer_name": STRING,
+    "insurance_policy_number": STRING,
+    "insurance_group_number": STRING,
+    "insurance_plan_type": STRING,
+}
+BILLING = {
+    "billing_id": STRING,
+    "billing_total_charge": DOUBLE,
+    "billing_amount_paid": DOUBLE,
+    "billing_date": STRING,
+    "billing_payment_status": STRING,
+}
+PROVIDER = {
+    "doctor_name": STRING,
+    "doctor_title": STRING,
+    "doctor_department": STRING,
+}
+LOCATION = {
+    "clinic_name": STRING,
+    "room_number": INT,
+}
+PRIMARY_DIAGNOSIS = {
+    "primary_diagnosis_code": STRING,
+    "primary_diagnosis_desc": STRING,
+}
+SECONDARY_DIAGNOSIS = {
+    "secondary_diagnosis_code": STRING,
+    "secondary_diagnosis_desc": STRING,
+}
+TREATMENT = {
+    "treatment_code": STRING,
+    "treatment_desc": STRING,
+}
+PRESCRIPTION = {
+    "prescription_id": STRING,
+    "prescription_drug_name": STRING,
+    "prescription_dosage": STRING,
+    "prescription_frequency": STRING,
+    "prescription_duration_days": DOUBLE,
+}
+LAB_ORDER = {
+    "lab_order_id": STRING,
+    "lab_test_code": STRING,
+    "lab_name": STRING,
+    "lab_result_value": DOUBLE,
+    "lab_result_units": STRING,
+    "lab_result_date": TIMESTAMP,
+}
 
-FLAT_SCHEMA: T.StructType = T.StructType.fromDDL(
-    ", ".join(
-        [
+FLAT_SCHEMA = T.StructType(
+    [
+        T.StructField(name, kind)
+        for group in (
             VISIT,
             PATIENT,
             INSURANCE,
@@ -52,37 +97,34 @@ FLAT_SCHEMA: T.StructType = T.StructType.fromDDL(
             TREATMENT,
             PRESCRIPTION,
             LAB_ORDER,
-        ]
-    )
+        )
+        for name, kind in group.items()
+    ]
 )
 
 
-def _names(ddl: str) -> tuple[str, ...]:
-    return tuple(T.StructType.fromDDL(ddl).fieldNames())
-
-
 # Tables, keys, column order, and which keys may be null.
 STAR = StarSpec(
     dims=(
         StatusDim(
-            "DimPatient", "patient_id", _names(PATIENT)[1:], "visit_datetime", "patient_status"
+            "DimPatient", "patient_id", tuple(PATIENT)[1:], "visit_datetime", "patient_status"
         ),
-        KeyedDim("DimInsurance", "insurance_id", ("patient_id", *_names(INSURANCE)[1:])),
-        KeyedDim("DimBilling", "billing_id", ("insurance_id", *_names(BILLING)[1:])),
-        NaturalDim("DimProvider", "provider_id", _names(PROVIDER)),
-        NaturalDim("DimLocation", "location_id", _names(LOCATION)),
-        NaturalDim("DimPrimaryDiagnosis", "primary_diagnosis_id", _names(PRIMARY_DIAGNOSIS)),
+        KeyedDim("DimInsurance", "insurance_id", ("patient_id", *tuple(INSURANCE)[1:])),
+        KeyedDim("DimBilling", "billing_id", ("insurance_id", *tuple(BILLING)[1:])),
+        NaturalDim("DimProvider", "provider_id", tuple(PROVIDER)),
+        NaturalDim("DimLocation", "location_id", tuple(LOCATION)),
+        NaturalDim("DimPrimaryDiagnosis", "primary_diagnosis_id", tuple(PRIMARY_DIAGNOSIS)),
         NaturalDim(
             "DimSecondaryDiagnosis",
             "secondary_diagnosis_id",
-            _names(SECONDARY_DIAGNOSIS),
+            tuple(SECONDARY_DIAGNOSIS),
             drop_all_null=True,
         ),
-        NaturalDim("DimTreatment", "treatment_id", _names(TREATMENT)),
+        NaturalDim("DimTreatment", "treatment_id", tuple(TREATMENT)),
         KeyedDim(
-            "DimPrescription", "prescription_id", _names(PRESCRIPTION)[1:], drop_all_null=True
+            "DimPrescription", "prescription_id", tuple(PRESCRIPTION)[1:], drop_all_null=True
         ),
-        KeyedDim("DimLabOrder", "lab_order_id", _names(LAB_ORDER)[1:], drop_all_null=True),
+        KeyedDim("DimLabOrder", "lab_order_id", tuple(LAB_ORDER)[1:], drop_all_null=True),
     ),
     fact=FactSpec(
         "FactVisit",
@@ -155,7 +197,7 @@ def star_schemas() -> dict[str, T.StructType]:
 
     def typed(names: tuple[str, ...]) -> T.StructType:
         # Surrogates are the only columns the input does not have, but for the status.
-        kinds = {**flat, "patient_status": T.StringType()}
+        kinds = {**flat, "patient_status": STRING}
         return T.StructType([T.StructField(n, kinds.get(n, T.LongType())) for n in names])
 
     schemas = {}
