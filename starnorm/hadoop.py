@@ -30,3 +30,10 @@ def part_files(spark: SparkSession, folder: str) -> list[str]:
     path, fs = _path(spark, folder)
     names = [status.getPath() for status in fs.listStatus(path)]
     return sorted(p.toString() for p in names if p.getName().startswith("part-"))
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of the files behind a path or glob pattern."""
+    pattern, fs = _path(spark, path)
+    found = fs.globStatus(pattern) or []
+    return sum(fs.getContentSummary(status.getPath()).getLength() for status in found)

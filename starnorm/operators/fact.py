@@ -44,6 +44,7 @@ def attach_keys(
             {attach.id_name: attach.id_name},
             null_safe=null_safe,
             row_count=attach.row_count,
+            source=flat,
             spread_by=spread_by,
             broadcast_bytes=broadcast_bytes,
         )

@@ -15,6 +15,8 @@ from starnorm.staging import staged
 # A key is hot when it holds more than one part in HOT_PARTS of the rows, so there
 # are fewer than HOT_PARTS hot keys however large the table is.
 HOT_PARTS = 20_000
+# Rows enough to recognise such keys: a hot one shows up over a thousand times.
+HOT_EVIDENCE = 25_000_000
 _SPREAD = 1 << 30
 
 
@@ -23,21 +25,19 @@ def _matches(left: Sequence[str], right: Sequence[str], null_safe: bool) -> Colu
     return reduce(and_, (a.eqNullSafe(b) if null_safe else a == b for a, b in pairs))
 
 
-def _hot_rows(
-    facts: DataFrame,
-    table: DataFrame,
-    on: Sequence[str],
-    keys: Sequence[str],
-    null_safe: bool,
-    row_count: str | None,
-) -> DataFrame:
-    """The rows of ``table`` whose keys hold an outsized share of ``facts``."""
-    if row_count is not None:
-        total = table.agg(F.sum(row_count).alias("n")).first()["n"] or 0
-        return table.filter(F.col(row_count) * HOT_PARTS > total)
-    counts = facts.groupBy(*[F.col(c).alias(f"__on{i}") for i, c in enumerate(on)]).count()
-    heavy = counts.filter(F.col("count") * HOT_PARTS > facts.count()).drop("count")
-    return table.join(F.broadcast(heavy), _matches(heavy.columns, keys, null_safe), "left_semi")
+def _hot_keys(source: DataFrame, on: Sequence[str]) -> DataFrame:
+    """The keys that hold an outsized share of the rows of ``source``.
+
+    Beyond HOT_EVIDENCE rows the shares are estimated from that many. The choice
+    only decides which route a row takes, never whether it is in the result.
+    """
+    total = source.count()
+    seen = source.select(*on)
+    if total > HOT_EVIDENCE:
+        seen = seen.sample(HOT_EVIDENCE / total, seed=0)
+        total = HOT_EVIDENCE
+    counts = seen.groupBy(*[F.col(c).alias(f"__on{i}") for i, c in enumerate(on)]).count()
+    return counts.filter(F.col("count") * HOT_PARTS > total).drop("count")
 
 
 def lookup(
@@ -49,6 +49,7 @@ def lookup(
     null_safe: bool = False,
     row_count: str | None = None,
     rows_of: DataFrame | None = None,
+    source: DataFrame | None = None,
     spread_by: Sequence[str] | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
@@ -63,9 +64,10 @@ def lookup(
     keys are served from a small broadcast and their rows, like those with a null
     key, are spread evenly instead of meeting in one task.
 
-    ``row_count`` names a column of ``table`` with the fact rows per key, if known;
-    ``rows_of`` a cheaper frame with as many rows as ``table``; ``spread_by`` the
-    fact columns the spreading hashes (default: the join keys' complement).
+    ``row_count`` names a column of ``table`` with the fact rows per key, if known.
+    ``rows_of`` is a cheaper frame with as many rows as ``table``, ``source`` one
+    with the rows and join columns of ``facts``; both are only counted. ``spread_by``
+    names the fact columns the spreading hashes (default: all but the join columns).
     """
     on_columns = list(on)
     keys = [f"__key{i}" for i in range(len(on))]
@@ -85,7 +87,13 @@ def lookup(
             *facts.columns, *[F.col(t).alias(n) for t, n in zip(taken, take, strict=True)]
         )
 
-    hot = _hot_rows(facts, right, on_columns, keys, null_safe, "__rows" if row_count else None)
+    if row_count:
+        total = right.agg(F.sum("__rows").alias("n")).first()["n"] or 0
+        hot = right.filter(F.col("__rows") * HOT_PARTS > total)
+    else:
+        heavy = _hot_keys(facts if source is None else source, on_columns)
+        same_key = _matches(heavy.columns, keys, null_safe)
+        hot = right.join(F.broadcast(heavy), same_key, "left_semi")
     hot = staged(
         hot.select(
             *[F.col(c).alias(f"__hot{c}") for c in [*keys, *taken]], F.lit(True).alias("__hot")

@@ -57,6 +57,7 @@ def star_join(
         rows = source.select(
             *[F.col(c).alias(n) for n, c in {**own, **links, **entry, **spread}.items()]
         )
+        before = rows
         for e in out:
             below = collect(e.to)
             take = {c: c for c in below.columns if c in columns}
@@ -66,6 +67,7 @@ def star_join(
                 {f"__{table}_{e.column}": f"__{e.to}_{e.key}"},
                 take,
                 rows_of=tables[e.to],
+                source=before,
                 spread_by=list(spread) or None,
                 broadcast_bytes=broadcast_bytes,
             )

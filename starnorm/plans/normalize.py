@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
 from starnorm.operators.dimensions import keyed_dim, natural_dim, status_dim
@@ -13,18 +15,52 @@ from starnorm.sizing import BROADCAST_BYTES
 from starnorm.staging import staged
 
 ROW_COUNT = "__rows"
+Dim = KeyedDim | StatusDim | NaturalDim
 
 
 def _lazy(df: DataFrame, _name: str) -> DataFrame:
     return df
 
 
+def build_dimension(flat: DataFrame, dim: Dim) -> DataFrame:
+    """One dimension; a natural-keyed one also carries its source rows per key."""
+    if isinstance(dim, NaturalDim):
+        return natural_dim(
+            flat,
+            dim.natural_key,
+            dim.id_name,
+            drop_all_null=dim.drop_all_null,
+            row_count=ROW_COUNT,
+        )
+    if isinstance(dim, StatusDim):
+        return status_dim(
+            flat,
+            dim.key,
+            dim.attributes,
+            dim.ts,
+            status=dim.status,
+            cutoff=dim.cutoff,
+            inactive=dim.inactive,
+            active=dim.active,
+        )
+    return keyed_dim(
+        flat,
+        dim.key,
+        dim.attributes,
+        order_by=dim.order_by,
+        keep=dim.keep,
+        drop_all_null=dim.drop_all_null,
+        drop_null_key=dim.drop_null_key,
+    )
+
+
 def normalize(
     flat: DataFrame,
     spec: StarSpec,
     *,
     keep: Callable[[DataFrame, str], DataFrame] = _lazy,
     stage_input: bool = False,
+    side_by_side: int = 8,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> dict[str, DataFrame]:
     """All dimensions of ``spec`` in order, then the fact.
@@ -34,46 +70,27 @@ def normalize(
     lazy, but for the surrogate numbering, which is always staged. ``stage_input``
     turns row-oriented input into Parquet first, so that every dimension reads its
     own columns only.
+
+    Dimensions do not depend on one another; up to ``side_by_side`` are submitted
+    at a time, so the tail of one leaves no executor idle.
     """
     if stage_input:
         flat = staged(flat, "flat")
-    tables: dict[str, DataFrame] = {}
-    attach: list[Attach] = []
-    for dim in spec.dims:
-        if isinstance(dim, NaturalDim):
-            counted = natural_dim(
-                flat,
-                dim.natural_key,
-                dim.id_name,
-                drop_all_null=dim.drop_all_null,
-                row_count=ROW_COUNT,
-            )
-            attach.append(Attach(counted, dim.natural_key, dim.id_name, ROW_COUNT))
-            table = counted.drop(ROW_COUNT)
-        elif isinstance(dim, StatusDim):
-            table = status_dim(
-                flat,
-                dim.key,
-                dim.attributes,
-                dim.ts,
-                status=dim.status,
-                cutoff=dim.cutoff,
-                inactive=dim.inactive,
-                active=dim.active,
-            )
-        elif isinstance(dim, KeyedDim):
-            table = keyed_dim(
-                flat,
-                dim.key,
-                dim.attributes,
-                order_by=dim.order_by,
-                keep=dim.keep,
-                drop_all_null=dim.drop_all_null,
-                drop_null_key=dim.drop_null_key,
-            )
-        else:
-            raise TypeError(f"unknown kind of dimension: {dim!r}")
-        tables[dim.name] = keep(table, dim.name)
+
+    def finish(dim: Dim) -> tuple[DataFrame, DataFrame]:
+        built = build_dimension(flat, dim)
+        return built, keep(built.drop(ROW_COUNT), dim.name)
+
+    dims: Sequence[Dim] = spec.dims
+    with ThreadPoolExecutor(max_workers=side_by_side) as pool:
+        finished = list(pool.map(inheritable_thread_target(flat.sparkSession)(finish), dims))
+
+    tables = {dim.name: table for dim, (_, table) in zip(dims, finished, strict=True)}
+    attach = [
+        Attach(built, dim.natural_key, dim.id_name, ROW_COUNT)
+        for dim, (built, _) in zip(dims, finished, strict=True)
+        if isinstance(dim, NaturalDim)
+    ]
     fact = build_fact(
         flat,
         attach,

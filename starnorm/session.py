@@ -9,6 +9,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Fewer, larger scan tasks over inputs of many terabytes.
+    "spark.sql.files.maxPartitionBytes": "256m",
     # Hour, weekday and year of a timestamp depend on the session zone.
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 32 * 1024 * 1024
+# One reducer's share of a shuffle, and the reducers a shuffle may have at most.
+SHUFFLE_BYTES = 128 * 1024 * 1024
+SHUFFLE_PARTITIONS = 100_000
 
 _VARIABLE = (T.StringType, T.BinaryType)
 _NESTED = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
@@ -31,3 +34,16 @@ def fits(df: DataFrame, limit_bytes: int, *, rows_of: DataFrame | None = None) -
     lengths = sum(F.coalesce(F.octet_length(F.col(c)), F.lit(0)).cast("long") for c in texts)
     text_bytes = df.agg(F.sum(lengths).alias("bytes")).first()["bytes"]
     return fixed + text_bytes <= limit_bytes
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Set the shuffle partitions for an input of this size; adaptive execution merges
+    those that turn out small.
+
+    A number the session was given explicitly is left alone if it is larger.
+    """
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(SHUFFLE_PARTITIONS, -(-input_bytes // SHUFFLE_BYTES))
+    chosen = max(current, wanted)
+    spark.conf.set("spark.sql.shuffle.partitions", str(chosen))
+    return chosen
