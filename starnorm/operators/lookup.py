@@ -17,7 +17,6 @@ from starnorm.staging import staged
 HOT_PARTS = 20_000
 # Rows enough to recognise such keys: a hot one shows up over a thousand times.
 HOT_EVIDENCE = 25_000_000
-_SPREAD = 1 << 30
 
 
 def _matches(left: Sequence[str], right: Sequence[str], null_safe: bool) -> Column:
@@ -108,18 +107,27 @@ def lookup(
         none = [F.lit(None).cast(f.dataType).alias(f.name) for f in hot.schema]
         facts_hot = facts.select("*", *none)
 
+    # Rows are shuffled and sorted on a slot, the hash of their key. Rows that are
+    # served already, or have no partner, take a slot of their own instead. Should
+    # one meet its key after all, it finds the row it already has.
     served = F.col("__hot").isNotNull()
     if not null_safe:
         served = reduce(or_, (F.col(c).isNull() for c in on_columns), served)
     seed = spread_by or [c for c in facts.columns if c not in on] or facts.columns
     # The input partition keeps exact copies of a row apart; both parts of the seed
     # are the same when a lost task runs again.
-    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *seed), F.lit(_SPREAD)) + 1
-    facts_spread = facts_hot.withColumn("__salt", F.when(served, spread).otherwise(F.lit(0)))
-    # Always zero, but not a literal, which would drop out of the shuffle key.
-    zero = F.pmod(F.xxhash64(*keys), F.lit(1))
-    cold = small.withColumn("__cold", zero)
-    joined = facts_spread.join(cold, matched & (F.col("__salt") == F.col("__cold")), "left")
+    spread = F.xxhash64(F.spark_partition_id(), *seed)
+    in_type_of_key = [
+        F.col(c).try_cast(small.schema[k].dataType)
+        if facts.schema[c].dataType != small.schema[k].dataType
+        else F.col(c)
+        for c, k in zip(on_columns, keys, strict=True)
+    ]
+    facts_slots = facts_hot.withColumn(
+        "__slot", F.when(served, spread).otherwise(F.xxhash64(*in_type_of_key))
+    )
+    cold = small.withColumn("__key_slot", F.xxhash64(*keys))
+    joined = facts_slots.join(cold, (F.col("__slot") == F.col("__key_slot")) & matched, "left")
     return joined.select(
         *facts.columns,
         *[
