@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from starqueries.visits import VISIT_COLUMNS, WIDE
+
 FLAT = """
 flat AS (
   SELECT *,
@@ -342,3 +344,171 @@ product AS ({_numbered("part", ["p_brand", "p_type", "p_size"], "product_id")})
 SELECT product_id, p_brand, p_type, p_size, count(l_orderkey) AS n_lines
 FROM flat LEFT JOIN product USING (p_brand, p_type, p_size) GROUP BY ALL""",
 }
+
+
+# The clinic-visit star
+
+PATIENT = [c for c in VISIT_COLUMNS if c.startswith("patient_")]
+INSURANCE = [c for c in VISIT_COLUMNS if c.startswith("insurance_")]
+BILLING = [c for c in VISIT_COLUMNS if c.startswith("billing_")]
+PRESCRIPTION = [c for c in VISIT_COLUMNS if c.startswith("prescription_")]
+LAB = [c for c in VISIT_COLUMNS if c.startswith("lab_")]
+FACT = [
+    "patient_id",
+    "insurance_id",
+    "billing_id",
+    "provider_id",
+    "location_id",
+    "primary_diagnosis_id",
+    "secondary_diagnosis_id",
+    "treatment_id",
+    "prescription_id",
+    "lab_order_id",
+    "visit_datetime",
+    "visit_type",
+]
+SECONDARY = ["secondary_diagnosis_code", "secondary_diagnosis_desc"]
+
+
+def _some(columns: list[str]) -> str:
+    return " OR ".join(f"{c} IS NOT NULL" for c in columns)
+
+
+VISIT_DIMS = {
+    "dim_patient": f"""
+SELECT w.*, coalesce(s.patient_status, 'Active') AS patient_status
+FROM ({_deduped("visits", PATIENT[:1], PATIENT[1:])}) w
+LEFT JOIN (SELECT patient_id AS k,
+                  CASE WHEN max(visit_datetime) <= TIMESTAMP '2021-12-31 00:00:00'
+                       THEN 'Inactive' ELSE 'Active' END AS patient_status
+           FROM visits GROUP BY patient_id) s ON w.patient_id = s.k""",
+    "dim_insurance": _deduped("visits", INSURANCE[:1], ["patient_id", *INSURANCE[1:]]),
+    "dim_billing": _deduped("visits", BILLING[:1], ["insurance_id", *BILLING[1:]]),
+    "dim_provider": _numbered(
+        "visits", ["doctor_name", "doctor_title", "doctor_department"], "provider_id"
+    ),
+    "dim_location": _numbered("visits", ["clinic_name", "room_number"], "location_id"),
+    "dim_primary_diagnosis": _numbered(
+        "visits", ["primary_diagnosis_code", "primary_diagnosis_desc"], "primary_diagnosis_id"
+    ),
+    "dim_secondary_diagnosis": _numbered(
+        "visits", SECONDARY, "secondary_diagnosis_id", _some(SECONDARY)
+    ),
+    "dim_treatment": _numbered("visits", ["treatment_code", "treatment_desc"], "treatment_id"),
+    "dim_prescription": _deduped(
+        "visits", PRESCRIPTION[:1], PRESCRIPTION[1:], _some(PRESCRIPTION)
+    ),
+    "dim_lab_order": _deduped("visits", LAB[:1], LAB[1:], _some(LAB)),
+}
+VISITS = (
+    f"{FLAT},\nvisits AS (SELECT "
+    + ", ".join(f"{how} AS {name}" for name, how in VISIT_COLUMNS.items())
+    + " FROM flat)"
+)
+VISIT_STAR = (
+    VISITS
+    + "".join(f",\n{name} AS ({sql})" for name, sql in VISIT_DIMS.items())
+    + f""",
+attached AS (
+  SELECT * FROM visits
+  LEFT JOIN dim_provider USING (doctor_name, doctor_title, doctor_department)
+  LEFT JOIN dim_location USING (clinic_name, room_number)
+  LEFT JOIN dim_primary_diagnosis USING (primary_diagnosis_code, primary_diagnosis_desc)
+  LEFT JOIN dim_secondary_diagnosis USING (secondary_diagnosis_code, secondary_diagnosis_desc)
+  LEFT JOIN dim_treatment USING (treatment_code, treatment_desc)
+),
+fact_visit AS ({_deduped("attached", ["visit_id"], FACT)})"""
+)
+
+TABLE_OF = {
+    "DimPatient": "dim_patient",
+    "DimInsurance": "dim_insurance",
+    "DimBilling": "dim_billing",
+    "DimProvider": "dim_provider",
+    "DimLocation": "dim_location",
+    "DimPrimaryDiagnosis": "dim_primary_diagnosis",
+    "DimSecondaryDiagnosis": "dim_secondary_diagnosis",
+    "DimTreatment": "dim_treatment",
+    "DimPrescription": "dim_prescription",
+    "DimLabOrder": "dim_lab_order",
+    "FactVisit": "fact_visit",
+}
+KEY_OF = {
+    "DimPatient": "patient_id",
+    "DimInsurance": "insurance_id",
+    "DimBilling": "billing_id",
+    "DimProvider": "provider_id",
+    "DimLocation": "location_id",
+    "DimTreatment": "treatment_id",
+    "DimPrimaryDiagnosis": "primary_diagnosis_id",
+    "DimSecondaryDiagnosis": "secondary_diagnosis_id",
+    "DimPrescription": "prescription_id",
+    "DimLabOrder": "lab_order_id",
+}
+OPTIONAL = {"DimSecondaryDiagnosis", "DimPrescription", "DimLabOrder"}
+VISIT_SUITE = f"WITH {VISIT_STAR} " + _suite(
+    [
+        ("FactVisit", "fact_visit", key, dim, TABLE_OF[dim], key, dim in OPTIONAL)
+        for dim, key in KEY_OF.items()
+    ]
+    + [
+        ("DimInsurance", "dim_insurance", "patient_id", "DimPatient", "dim_patient",
+         "patient_id", False),
+        ("DimBilling", "dim_billing", "insurance_id", "DimInsurance", "dim_insurance",
+         "insurance_id", False),
+    ]
+)
+VISIT_JOINS = """
+FROM fact_visit f
+LEFT JOIN dim_billing b ON f.billing_id = b.billing_id
+LEFT JOIN dim_insurance i ON b.insurance_id = i.insurance_id
+LEFT JOIN dim_lab_order l ON f.lab_order_id = l.lab_order_id
+LEFT JOIN dim_location lo ON f.location_id = lo.location_id
+LEFT JOIN dim_patient p ON f.patient_id = p.patient_id
+LEFT JOIN dim_prescription rx ON f.prescription_id = rx.prescription_id
+LEFT JOIN dim_primary_diagnosis d1 ON f.primary_diagnosis_id = d1.primary_diagnosis_id
+LEFT JOIN dim_provider dr ON f.provider_id = dr.provider_id
+LEFT JOIN dim_secondary_diagnosis d2 ON f.secondary_diagnosis_id = d2.secondary_diagnosis_id
+LEFT JOIN dim_treatment t ON f.treatment_id = t.treatment_id"""
+
+ORACLE |= {f"visits_{name}": f"WITH {VISITS} {sql}" for name, sql in VISIT_DIMS.items()}
+ORACLE |= {
+    "visits_fact": f"WITH {VISIT_STAR} SELECT * FROM fact_visit",
+    "visits_row_counts": f"WITH {VISIT_STAR} " + _counts(TABLE_OF),
+    "visits_fk_suite": VISIT_SUITE,
+    "visits_job": VISIT_SUITE,
+    "visits_wide": f"WITH {VISIT_STAR} SELECT {', '.join(WIDE)} {VISIT_JOINS}",
+    "visits_profile": f"WITH {VISIT_STAR} "
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, "
+        f"count(DISTINCT {c}) + max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS n_distinct, "
+        f"count(*) FILTER ({c} IS NULL) AS n_null FROM fact_visit"
+        for c in ["visit_id", *FACT]
+    ),
+    "worksheet_patients_by_gender": f"""
+WITH {VISIT_STAR}
+SELECT patient_gender, count(f.patient_id) AS n_visits,
+       count(DISTINCT f.patient_id) AS n_patients
+FROM fact_visit f LEFT JOIN dim_patient p ON f.patient_id = p.patient_id
+GROUP BY patient_gender""",
+    "worksheet_payment_status_distribution": f"""
+WITH {VISIT_STAR}
+SELECT billing_payment_status, n_visits, n_visits / sum(n_visits) OVER () AS share
+FROM (SELECT billing_payment_status, count(patient_id) AS n_visits
+      FROM fact_visit f LEFT JOIN dim_billing b ON f.billing_id = b.billing_id
+      GROUP BY billing_payment_status)""",
+    "worksheet_visit_type_distribution": f"""
+WITH {VISIT_STAR}
+SELECT visit_type, n_visits, n_visits / sum(n_visits) OVER () AS share
+FROM (SELECT visit_type, count(patient_id) AS n_visits FROM fact_visit GROUP BY visit_type)""",
+    "worksheet_visits_by_weekday_and_hour": f"""
+WITH {VISIT_STAR}
+SELECT dayofweek(visit_datetime) + 1 AS weekday_no, dayname(visit_datetime) AS weekday,
+       hour(visit_datetime) AS hour, count(visit_id) AS n_visits
+FROM fact_visit GROUP BY ALL""",
+    "worksheet_yearly_visits_by_clinic": f"""
+WITH {VISIT_STAR}
+SELECT year(visit_datetime) AS year, clinic_name, count(visit_id) AS n_visits
+FROM fact_visit f LEFT JOIN dim_location l ON f.location_id = l.location_id
+GROUP BY ALL""",
+}

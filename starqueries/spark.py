@@ -40,6 +40,10 @@ from starnorm.plans.normalize import normalize
 from starnorm.sinks import write_csv, write_table
 from starnorm.sources import read_flat, read_star_csv, read_star_parquet
 from starnorm.staging import staged, staging_path
+from starnorm.job import run as run_job
+from starnorm.plans.visits import STAR as VISIT_STAR
+from starnorm.plans.worksheets import WORKSHEETS
+from starqueries import visits
 from starqueries.frames import CUTOFF, EDGES, STAR, flat, star_input, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -507,3 +511,38 @@ def lines_per_product(spark: SparkSession, sf_dir: str) -> DataFrame:
         spread_by=["l_orderkey", "l_linenumber"],
     )
     return count_by(lines, ["product_id", *keys], "l_orderkey", "n_lines")
+
+
+# The clinic-visit star, end to end
+
+
+def _snake(name: str) -> str:
+    return "".join(f"_{c.lower()}" if c.isupper() else c for c in name).lstrip("_")
+
+
+def _dimension(name: str) -> Query:
+    return lambda spark, sf_dir: visits.dimension(spark, sf_dir, name)
+
+
+def _worksheet(question: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
+    return lambda spark, sf_dir: question(visits.tables(spark, sf_dir))
+
+
+QUERIES |= {f"visits_{_snake(d.name)}": _dimension(d.name) for d in VISIT_STAR.dims}
+QUERIES |= {
+    "visits_fact": visits.fact,
+    "visits_row_counts": visits.sizes,
+    "visits_fk_suite": visits.suite,
+    "visits_wide": visits.wide,
+    "visits_profile": visits.profile,
+}
+QUERIES |= {f"worksheet_{name}": _worksheet(q) for name, q in WORKSHEETS.items()}
+
+
+@query
+def visits_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch job over a CSV of the visits, writing both formats; its key report."""
+    folder = staging_path(spark, "visits-job")
+    visits.visits(spark, sf_dir).write.option("header", True).csv(f"{folder}/visits.csv")
+    _, report = run_job(spark, f"{folder}/visits.csv", f"{folder}/out", output_format="both")
+    return report
