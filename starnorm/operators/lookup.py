@@ -47,6 +47,7 @@ def lookup(
     *,
     null_safe: bool = False,
     row_count: str | None = None,
+    small: bool | None = None,
     rows_of: DataFrame | None = None,
     source: DataFrame | None = None,
     spread_by: Sequence[str] | None = None,
@@ -63,7 +64,8 @@ def lookup(
     keys are served from a small broadcast and their rows, like those with a null
     key, are spread evenly instead of meeting in one task.
 
-    ``row_count`` names a column of ``table`` with the fact rows per key, if known.
+    ``row_count`` names a column of ``table`` with the fact rows per key, if known;
+    ``small`` is the outcome of an earlier measurement of the same columns.
     ``rows_of`` is a cheaper frame with as many rows as ``table``, ``source`` one
     with the rows and join columns of ``facts``; both are only counted. ``spread_by``
     names the fact columns the spreading hashes (default: all but the join columns).
@@ -79,9 +81,11 @@ def lookup(
     taken = [f"__take{i}" for i in range(len(take))]
     matched = _matches(on_columns, keys, null_safe)
 
-    small = right.select(*keys, *taken)
-    if fits(small, broadcast_bytes, rows_of=rows_of):
-        joined = facts.join(F.broadcast(small), matched, "left")
+    partners = right.select(*keys, *taken)
+    if small is None:
+        small = fits(partners, broadcast_bytes, rows_of=rows_of)
+    if small:
+        joined = facts.join(F.broadcast(partners), matched, "left")
         return joined.select(
             *facts.columns, *[F.col(t).alias(n) for t, n in zip(taken, take, strict=True)]
         )
@@ -118,15 +122,15 @@ def lookup(
     # are the same when a lost task runs again.
     spread = F.xxhash64(F.spark_partition_id(), *seed)
     in_type_of_key = [
-        F.col(c).try_cast(small.schema[k].dataType)
-        if facts.schema[c].dataType != small.schema[k].dataType
+        F.col(c).try_cast(partners.schema[k].dataType)
+        if facts.schema[c].dataType != partners.schema[k].dataType
         else F.col(c)
         for c, k in zip(on_columns, keys, strict=True)
     ]
     facts_slots = facts_hot.withColumn(
         "__slot", F.when(served, spread).otherwise(F.xxhash64(*in_type_of_key))
     )
-    cold = small.withColumn("__key_slot", F.xxhash64(*keys))
+    cold = partners.withColumn("__key_slot", F.xxhash64(*keys))
     joined = facts_slots.join(cold, (F.col("__slot") == F.col("__key_slot")) & matched, "left")
     return joined.select(
         *facts.columns,

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from starnorm.operators.dimensions import keyed_dim, natural_dim, status_dim
 from starnorm.operators.fact import Attach, build_fact
 from starnorm.plans.spec import KeyedDim, NaturalDim, StarSpec, StatusDim
-from starnorm.sizing import BROADCAST_BYTES
+from starnorm.sizing import BROADCAST_BYTES, fits
 from starnorm.staging import staged
 
 ROW_COUNT = "__rows"
@@ -77,23 +77,25 @@ def normalize(
     if stage_input:
         flat = staged(flat, "flat")
 
-    def finish(dim: Dim) -> tuple[DataFrame, DataFrame]:
+    def finish(dim: Dim) -> tuple[DataFrame, Attach | None]:
         built = build_dimension(flat, dim)
-        return built, keep(built.drop(ROW_COUNT), dim.name)
+        table = built.drop(ROW_COUNT)
+        if not isinstance(dim, NaturalDim):
+            return keep(table, dim.name), None
+        small = fits(table, broadcast_bytes)
+        return (
+            keep(table, dim.name),
+            Attach(built, dim.natural_key, dim.id_name, row_count=ROW_COUNT, small=small),
+        )
 
     dims: Sequence[Dim] = spec.dims
     with ThreadPoolExecutor(max_workers=side_by_side) as pool:
         finished = list(pool.map(inheritable_thread_target(flat.sparkSession)(finish), dims))
 
-    tables = {dim.name: table for dim, (_, table) in zip(dims, finished, strict=True)}
-    attach = [
-        Attach(built, dim.natural_key, dim.id_name, ROW_COUNT)
-        for dim, (built, _) in zip(dims, finished, strict=True)
-        if isinstance(dim, NaturalDim)
-    ]
+    tables = {dim.name: table for dim, (table, _) in zip(dims, finished, strict=True)}
     fact = build_fact(
         flat,
-        attach,
+        [attach for _, attach in finished if attach is not None],
         spec.fact.columns,
         spec.fact.grain,
         null_safe=spec.fact.null_safe,
