@@ -37,3 +37,9 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     pattern, fs = _path(spark, path)
     found = fs.globStatus(pattern) or []
     return sum(fs.getContentSummary(status.getPath()).getLength() for status in found)
+
+
+def file_bytes(spark: SparkSession, path: str) -> int:
+    """Size of one file, its name taken as it is."""
+    file, fs = _path(spark, path)
+    return fs.getFileStatus(file).getLen()

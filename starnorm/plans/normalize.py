@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from starnorm.operators.dimensions import keyed_dim, natural_dim, status_dim
 from starnorm.operators.fact import Attach, build_fact
 from starnorm.plans.spec import KeyedDim, NaturalDim, StarSpec, StatusDim
-from starnorm.sizing import BROADCAST_BYTES, fits
+from starnorm.sizing import BROADCAST_BYTES, fits, spread_small_input
 from starnorm.staging import staged
 
 ROW_COUNT = "__rows"
@@ -75,7 +75,7 @@ def normalize(
     at a time, so the tail of one leaves no executor idle.
     """
     if stage_input:
-        flat = staged(flat, "flat")
+        flat = staged(spread_small_input(flat, spec.fact.grain), "flat")
 
     def finish(dim: Dim) -> tuple[DataFrame, Attach | None]:
         built = build_dimension(flat, dim)

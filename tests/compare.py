@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 from pathlib import Path
 
 import duckdb
@@ -37,3 +39,10 @@ def assert_same(df, connection, sql: str) -> int:
     assert _types(actual) == _types(expected)
     assert _rows(actual) == _rows(expected)
     return actual.num_rows
+
+
+def plan(frame) -> str:
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        frame.explain()
+    return text.getvalue()

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as registry
-from compare import assert_same, duck
+from compare import assert_same, duck, plan
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -20,6 +20,10 @@ def test_every_query_has_sql():
 @pytest.mark.parametrize("name", list(registry.queries()))
 def test_query_matches_sql(spark, connection, name):
     frame = registry.queries()[name](spark, SF_DIR)
+    text = plan(frame)
+    # No cross joins, and no Python workers on the data path.
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Arrow"):
+        assert operator not in text
     assert_same(frame, connection, registry.oracle_sql()[name])
 
 
