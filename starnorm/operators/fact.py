@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 from starnorm.operators.dedupe import one_row_per_key
 from starnorm.operators.lookup import lookup
-from starnorm.sizing import BROADCAST_BYTES
+from starnorm.sizing import BROADCAST_BYTES, fits
 
 
 @dataclass(frozen=True)
@@ -38,9 +38,16 @@ def attach_keys(
 
     With plain equality a natural key with any null part gets no surrogate, even if
     the dimension holds that key; ``null_safe`` matches null with null.
+
+    Dimensions small enough to broadcast come first: where their surrogates replace
+    the natural keys, the rows that the large ones shuffle are narrower.
     """
+    measured = [
+        (attach, _is_small(attach, broadcast_bytes) if attach.small is None else attach.small)
+        for attach in dims
+    ]
     rows = flat
-    for attach in dims:
+    for attach, small in sorted(measured, key=lambda pair: not pair[1]):
         rows = lookup(
             rows,
             attach.dim,
@@ -48,12 +55,16 @@ def attach_keys(
             {attach.id_name: attach.id_name},
             null_safe=null_safe,
             row_count=attach.row_count,
-            small=attach.small,
+            small=small,
             source=flat,
             spread_by=spread_by,
             broadcast_bytes=broadcast_bytes,
         )
-    return rows
+    return rows.select(*flat.columns, *[attach.id_name for attach in dims])
+
+
+def _is_small(attach: Attach, limit: int) -> bool:
+    return fits(attach.dim.select(attach.id_name, *attach.natural_key), limit)
 
 
 def build_fact(

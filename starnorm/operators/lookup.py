@@ -48,7 +48,6 @@ def lookup(
     null_safe: bool = False,
     row_count: str | None = None,
     small: bool | None = None,
-    rows_of: DataFrame | None = None,
     source: DataFrame | None = None,
     spread_by: Sequence[str] | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
@@ -66,9 +65,9 @@ def lookup(
 
     ``row_count`` names a column of ``table`` with the fact rows per key, if known;
     ``small`` is the outcome of an earlier measurement of the same columns.
-    ``rows_of`` is a cheaper frame with as many rows as ``table``, ``source`` one
-    with the rows and join columns of ``facts``; both are only counted. ``spread_by``
-    names the fact columns the spreading hashes (default: all but the join columns).
+    ``source`` is a cheaper frame with the rows and join columns of ``facts``, used
+    to count. ``spread_by`` names the fact columns the spreading hashes (default: all
+    but the join columns).
     """
     on_columns = list(on)
     keys = [f"__key{i}" for i in range(len(on))]
@@ -83,7 +82,7 @@ def lookup(
 
     partners = right.select(*keys, *taken)
     if small is None:
-        small = fits(partners, broadcast_bytes, rows_of=rows_of)
+        small = fits(partners, broadcast_bytes)
     if small:
         joined = facts.join(F.broadcast(partners), matched, "left")
         return joined.select(

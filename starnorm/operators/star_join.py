@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starnorm.operators.lookup import lookup
-from starnorm.sizing import BROADCAST_BYTES
+from starnorm.sizing import BROADCAST_BYTES, fits
 
 
 @dataclass(frozen=True)
@@ -58,15 +58,20 @@ def star_join(
             *[F.col(c).alias(n) for n, c in {**own, **links, **entry, **spread}.items()]
         )
         before = rows
+        steps = []
         for e in out:
             below = collect(e.to)
-            take = {c: c for c in below.columns if c in columns}
+            take = [c for c in below.columns if c in columns]
+            needed = below.select(f"__{e.to}_{e.key}", *take)
+            steps.append((e, needed, take, fits(needed, broadcast_bytes, rows_of=tables[e.to])))
+        # Tables too large to broadcast go first, while the rows to shuffle are narrow.
+        for e, below, take, small in sorted(steps, key=lambda step: step[3]):
             rows = lookup(
                 rows,
                 below,
                 {f"__{table}_{e.column}": f"__{e.to}_{e.key}"},
-                take,
-                rows_of=tables[e.to],
+                {c: c for c in take},
+                small=small,
                 source=before,
                 spread_by=list(spread) or None,
                 broadcast_bytes=broadcast_bytes,

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from starnorm.operators.fact import Attach, build_fact
 from starnorm.operators.integrity import FkEdge
 from starnorm.operators.star_join import JoinEdge
+from starnorm.plans.normalize import ROW_COUNT, build_dimension
 from starnorm.plans.spec import FactSpec, KeyedDim, NaturalDim, StarSpec, StatusDim
 
 STRING, INT, DOUBLE = T.StringType(), T.IntegerType(), T.DoubleType()
@@ -210,3 +215,16 @@ def star_schemas() -> dict[str, T.StructType]:
             schemas[dim.name] = typed((dim.key, *dim.attributes))
     schemas[STAR.fact.name] = typed(STAR.fact.columns)
     return schemas
+
+
+def dimension(flat: DataFrame, name: str) -> DataFrame:
+    """One dimension of the star by its table name."""
+    dim = next(dim for dim in STAR.dims if dim.name == name)
+    return build_dimension(flat, dim).drop(ROW_COUNT)
+
+
+def fact_visit(flat: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """The fact, with the surrogates of dimensions built before."""
+    natural = [dim for dim in STAR.dims if isinstance(dim, NaturalDim)]
+    attach = [Attach(tables[dim.name], dim.natural_key, dim.id_name) for dim in natural]
+    return build_fact(flat, attach, STAR.fact.columns, STAR.fact.grain)

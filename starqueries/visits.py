@@ -12,7 +12,8 @@ from starnorm.operators import (
     row_counts,
     star_join,
 )
-from starnorm.plans.normalize import ROW_COUNT, build_dimension, normalize
+from starnorm.plans import visits as plan
+from starnorm.plans.normalize import normalize
 from starnorm.plans.spec import NaturalDim, StatusDim
 from starnorm.plans.visits import STAR
 from starqueries.frames import flat
@@ -105,7 +106,7 @@ def dimension(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         columns = (dim.key, *dim.attributes)
     if isinstance(dim, StatusDim):
         columns += (dim.ts,)
-    return build_dimension(visits(spark, sf_dir, *columns), dim).drop(ROW_COUNT)
+    return plan.dimension(visits(spark, sf_dir, *columns), name)
 
 
 def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

@@ -7,7 +7,7 @@ from samples import TWO_VISITS, visit
 
 from starnorm.operators import fk_check, fk_suite, star_join
 from starnorm.plans.normalize import normalize
-from starnorm.plans.visits import FLAT_SCHEMA, STAR, star_schemas
+from starnorm.plans.visits import FLAT_SCHEMA, STAR, dimension, fact_visit, star_schemas
 from starnorm.plans.worksheets import WORKSHEETS
 from starnorm.sources import from_rows
 from starnorm.staging import staged
@@ -106,6 +106,14 @@ def test_check_allows_expected_nulls(spark, tables):
     assert report.passed and report.null_count == 1 and report.mismatch_count == 0
 
 
+def test_tables_one_by_one(flat, tables):
+    dims = {dim.name: dimension(flat, dim.name) for dim in STAR.dims}
+    for name, table in dims.items():
+        assert sorted(table.collect(), key=repr) == sorted(tables[name].collect(), key=repr)
+    fact = fact_visit(flat, dims)
+    assert sorted(fact.collect()) == sorted(tables["FactVisit"].collect())
+
+
 def test_attributes_come_back_by_joining(spark, flat, tables):
     wanted = ["visit_id", "doctor_name", "clinic_name", "room_number", "patient_first_name"]
     wanted += ["insurance_payer_name", "billing_total_charge", "lab_name", "treatment_desc"]
