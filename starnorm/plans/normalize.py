@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -72,7 +72,8 @@ def normalize(
     own columns only.
 
     Dimensions do not depend on one another; up to ``side_by_side`` are submitted
-    at a time, so the tail of one leaves no executor idle.
+    at a time, and the fact as soon as its surrogates are there, so the tail of one
+    job leaves no executor idle.
     """
     if stage_input:
         flat = staged(flat, "flat")
@@ -88,18 +89,20 @@ def normalize(
             Attach(built, dim.natural_key, dim.id_name, row_count=ROW_COUNT, small=small),
         )
 
-    dims: Sequence[Dim] = spec.dims
+    submit_first = sorted(spec.dims, key=lambda dim: not isinstance(dim, NaturalDim))
+    run = inheritable_thread_target(flat.sparkSession)(finish)
     with ThreadPoolExecutor(max_workers=side_by_side) as pool:
-        finished = list(pool.map(inheritable_thread_target(flat.sparkSession)(finish), dims))
-
-    tables = {dim.name: table for dim, (table, _) in zip(dims, finished, strict=True)}
-    fact = build_fact(
-        flat,
-        [attach for _, attach in finished if attach is not None],
-        spec.fact.columns,
-        spec.fact.grain,
-        null_safe=spec.fact.null_safe,
-        broadcast_bytes=broadcast_bytes,
-    )
-    tables[spec.fact.name] = keep(fact, spec.fact.name)
-    return tables
+        jobs = {dim.name: pool.submit(run, dim) for dim in submit_first}
+        # The fact waits for the surrogates only.
+        attach = [jobs[dim.name].result()[1] for dim in spec.dims if isinstance(dim, NaturalDim)]
+        fact = build_fact(
+            flat,
+            attach,
+            spec.fact.columns,
+            spec.fact.grain,
+            null_safe=spec.fact.null_safe,
+            broadcast_bytes=broadcast_bytes,
+        )
+        fact = keep(fact, spec.fact.name)
+        tables = {dim.name: jobs[dim.name].result()[0] for dim in spec.dims}
+    return {**tables, spec.fact.name: fact}
