@@ -30,7 +30,7 @@ def shared_folder(spark: SparkSession) -> str:
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     app = spark.conf.get("spark.app.id")
     if app not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="starnorm-")
+        _LOCAL_FOLDERS.setdefault(app, tempfile.mkdtemp(prefix="starnorm-"))
     return _LOCAL_FOLDERS[app]
 
 
