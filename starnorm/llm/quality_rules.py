@@ -11,7 +11,7 @@ empty line; it fails the rules that an empty text fails.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +28,7 @@ from starnorm.llm.spans import (
     line_spans,
     mixed,
     per_row,
+    row_slices,
     text_bytes,
     window_hash,
     windows_inside,
@@ -122,23 +123,13 @@ def _slice(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     ]
 
 
-def _slices(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Row ranges of about ``SLICE_BYTES``; a longer text is a range of its own."""
-    rows, lo = offsets.size - 1, 0
-    while lo < rows:
-        hi = int(np.searchsorted(offsets, offsets[lo] + SLICE_BYTES, side="right")) - 1
-        hi = min(max(hi, lo + 1), rows)
-        yield lo, hi
-        lo = hi
-
-
 @F.arrow_udf(T.StructType([T.StructField(name, T.LongType()) for name in MEASURES]))
 def measured(texts: pa.Array) -> pa.Array:
     """All measurements of each text."""
     data, offsets = text_bytes(texts)
     parts = [
         _slice(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
-        for lo, hi in _slices(offsets)
+        for lo, hi in row_slices(offsets, SLICE_BYTES)
     ]
     columns = [
         np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int64)

@@ -12,6 +12,7 @@ from starnorm.llm import sentencepiece_codec as pieces
 from starnorm.llm.quality_rules import ledger, passes
 from starnorm.llm.sharding import shard_documents
 from starnorm.llm.substring_dedup import remove_repeated_windows
+from starnorm.llm.suffix_dedup import remove_repeated_bytes
 from starnorm.llm.token_counts import count_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +50,16 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_bytes(documents(spark, sf_dir)).select(
+        F.col("id").alias("doc_id"),
+        "n_bytes",
+        "n_removed",
+        "n_spans",
+        F.sha2(F.col("kept"), 256).alias("kept_sha256"),
+    )
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
 
@@ -73,5 +84,6 @@ QUERIES: dict[str, Query] = {
     "op5_substring_dedup": op5_substring_dedup,
     "op6_sharding": op6_sharding,
     "op7_packing": op7_packing,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_sentencepiece": op10_sentencepiece,
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from hashlib import blake2b
 
 import numpy as np
@@ -13,8 +14,8 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 SEEDS = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
-# Spans longer than this are hashed one at a time: the vectorised loop runs once per 8 bytes.
-_LOOP_BYTES = 256
+# The vectorised loop over spans runs once per 8 bytes of the longest.
+LOOP_BYTES = 256
 _MASKS = np.array([(1 << (8 * k)) - 1 for k in range(9)], dtype=np.uint64)
 
 
@@ -85,13 +86,20 @@ def strided(data: np.ndarray) -> np.ndarray:
 
 
 def hash_spans(
-    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seeds: tuple[int, ...] = SEEDS[:1]
+    data: np.ndarray,
+    starts: np.ndarray,
+    ends: np.ndarray,
+    seeds: tuple[int, ...] = SEEDS[:1],
+    loop_bytes: int = LOOP_BYTES,
 ) -> list[np.ndarray]:
-    """One 64-bit hash per span and seed."""
+    """One 64-bit hash per span and seed.
+
+    Spans longer than ``loop_bytes`` are hashed one at a time.
+    """
     eight = strided(data)
     length = ends - starts
     hashes = [mixed(length.astype(np.uint64) + np.uint64(seed)) for seed in seeds]
-    short = length <= _LOOP_BYTES
+    short = length <= loop_bytes
     active = np.flatnonzero(short & (length > 0))
     at = 0
     while active.size:
@@ -131,6 +139,16 @@ def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) + np.repeat(shift, counts)
 
 
+def row_slices(offsets: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``size`` bytes; a longer row is a range of its own."""
+    rows, lo = offsets.size - 1, 0
+    while lo < rows:
+        hi = int(np.searchsorted(offsets, offsets[lo] + size, side="right")) - 1
+        hi = min(max(hi, lo + 1), rows)
+        yield lo, hi
+        lo = hi
+
+
 def per_row(flags: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Sum of ``flags`` over each row's entries."""
     total = np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])
