@@ -10,6 +10,8 @@ that fills a third of the corpus reaches its shard once per block, not once per
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -40,20 +42,31 @@ def pow2(n: int) -> int:
     return max(0, int(n - 1).bit_length())
 
 
-def blocked(docs: DataFrame, id_col: str, text: str, size: int) -> DataFrame:
-    """(block, id, text), dealt out by a hash of id and text.
+def blocked(
+    docs: DataFrame, id_col: str, text: str, size: int, carry: Sequence[str] = ()
+) -> DataFrame:
+    """(block, id, text, print), dealt out by a hash of id and text.
 
     The hash makes a row's block independent of how the input is partitioned, so a
     task that is run again after an executor was lost builds the same block. Rows
-    that share an id, null included, spread as far as their texts differ.
+    that share an id, null included, spread as far as their texts differ. ``print`` is
+    a hash of the text; ``carry`` names columns to take along in a struct ``row``.
     """
     n = max(1, -(-size // BLOCK_BYTES))
-    key = F.xxhash64(F.col(id_col).cast("long"), F.col(text))
-    return (
-        docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"), key.alias("_k"))
-        .select(F.expr(f"cast(pmod(_k, {n}) as int)").alias("block"), "id", "text")
-        .repartition(n, "block")
-    )
+    columns = [
+        F.col(id_col).cast("long").alias("id"),
+        F.col(text).cast("string").alias("text"),
+        F.xxhash64(F.col(text)).alias("print"),
+    ]
+    if carry:
+        columns.append(F.struct(*[F.col(quoted(c)).alias(c) for c in carry]).alias("row"))
+    block = F.pmod(F.xxhash64("id", "print"), F.lit(n)).cast("int").alias("block")
+    return docs.select(*columns).select(block, "*").repartition(n, "block")
+
+
+def quoted(name: str) -> str:
+    """A column name taken literally, dots and spaces included."""
+    return "`" + name.replace("`", "``") + "`"
 
 
 def in_order(table: pa.Table) -> pa.Table:

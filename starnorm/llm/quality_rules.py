@@ -52,7 +52,8 @@ RULES: dict[str, Callable[[Measure], Column]] = {
     "short_words": lambda m: m("word_chars") < 2 * m("n_words"),
     "long_words": lambda m: m("word_chars") > 20 * m("n_words"),
     "symbols": lambda m: 10 * m("n_symbols") > m("n_words"),
-    "repeated_lines": lambda m: 100 * m("n_dup_lines") > 30 * m("n_lines"),
+    "repeated_lines": lambda m: (m("n_dup_lines") >= 3)
+    & (100 * m("n_dup_lines") > 30 * m("n_lines")),
     "many_words": lambda m: m("n_words") > 100_000,
 }
 

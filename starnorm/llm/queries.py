@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from starnorm.llm import packing as best_fit
 from starnorm.llm import sentencepiece_codec as pieces
+from starnorm.llm.jaccard_join import jaccard_components
 from starnorm.llm.quality_rules import ledger, passes
 from starnorm.llm.sharding import shard_documents
 from starnorm.llm.substring_dedup import remove_repeated_windows
@@ -41,6 +42,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_windows(documents(spark, sf_dir)).select(
         F.col("id").alias("doc_id"),
@@ -81,6 +86,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_quality_rules": op2_quality_rules,
+    "op3_jaccard_join": op3_jaccard_join,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_sharding": op6_sharding,
     "op7_packing": op7_packing,

@@ -18,9 +18,13 @@ of each other. Columns other than id and text are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starnorm.llm.blocks import (
     MESSAGE,
@@ -188,7 +192,7 @@ def _index_groups(raw, start, length, doubled, anchor, alive, match):
     size = (length + 1) * (1 + doubled)
     out = [(np.zeros(0, np.int64),) * 3]
     at = 0
-    limits = np.append(np.flatnonzero(np.append(True, anchor[chosen][1:] != anchor[chosen][:-1])), chosen.size) if chosen.size else np.zeros(1, np.int64)
+    limits = np.append(group_starts(anchor[chosen]), chosen.size)
     total = np.append(0, np.cumsum(size[chosen]))
     while at < chosen.size:
         fits = np.searchsorted(total[limits], total[at] + INDEX_BYTES, side="right") - 1
@@ -215,16 +219,18 @@ def remove_repeated_bytes(
     text: str = "text",
     match: int = MATCH,
     gram: int = GRAM,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Per row: id, bytes, bytes removed, removed runs and their number, and what is kept.
 
     A byte goes if a string of ``match`` bytes that covers it starts anywhere else too.
-    ``kept`` is bytes: a removed string may begin or end inside a character.
+    ``kept`` is bytes: a removed string may begin or end inside a character. Columns
+    named in ``carry`` come along in a struct ``row``.
     """
     if not 8 <= gram <= match < 2**15:
         raise ValueError("a gram has 8 bytes at least and fits into a match")
     _, size = text_size(docs, text)
-    texts = blocked(docs, id_col, text, size)
+    texts = blocked(docs, id_col, text, size, carry)
     # Two anchors for each run of match - gram + 1 windows, on average.
     sketch = Sketch(2 * size // (match - gram + 2), 1, 16)
     shard_bits = pow2(-(-max(1, size) // SHARD_BYTES))
@@ -279,7 +285,7 @@ def remove_repeated_bytes(
         n_bytes = np.diff(own.offsets)
         kept = np.concatenate([[0], np.cumsum(n_bytes - n_removed)]).astype(np.int32)
         raw = own.data[~removed].tobytes()
-        return pa.table(
+        out = pa.table(
             {
                 "id": own.table["id"],
                 "n_bytes": n_bytes,
@@ -291,9 +297,39 @@ def remove_repeated_bytes(
                 "removed": pa.ListArray.from_arrays(pa.array(index, pa.int32()), spans),
             }
         )
+        return out.append_column("row", own.table["row"]) if carry else out
 
+    schema = SCHEMA
+    if carry:
+        schema = T.StructType([*_parsed(docs, SCHEMA), texts.schema["row"]])
     counts = texts.groupBy("block").applyInArrow(counted, MESSAGE)
     estimates = sketch.merge(counts, levels=False)
     regions = by_block(texts, estimates, sent, MESSAGE)
     marks = regions.groupBy("shard").applyInArrow(lambda t: _marked(t, match), MESSAGE)
-    return by_block(texts, marks, cleaned, SCHEMA)
+    return by_block(texts, marks, cleaned, schema)
+
+
+def _parsed(docs: DataFrame, ddl: str) -> T.StructType:
+    return docs.sparkSession.createDataFrame([], ddl).schema
+
+
+def without_repeated_bytes(
+    docs: DataFrame, id_col: str = "doc_id", text: str = "text", match: int = MATCH
+) -> DataFrame:
+    """The rows of ``docs``, all columns, with what is kept of each text.
+
+    A character cut by a removal goes whole. Rows of whose text nothing is kept go.
+    """
+    cleaned = remove_repeated_bytes(docs, id_col, text, match, carry=docs.columns)
+
+    @F.arrow_udf(T.StringType())
+    def readable(batch: pa.Array) -> pa.Array:
+        return pa.array([b.as_py().decode("utf-8", "ignore") for b in batch], pa.string())
+
+    kept = cleaned.select("row", readable(F.col("kept")).alias("kept")).where("kept <> ''")
+    return kept.select(
+        *[
+            (F.col("kept") if c == text else F.col("row")[c]).alias(c)
+            for c in docs.columns
+        ]
+    )
