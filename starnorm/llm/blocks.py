@@ -111,19 +111,17 @@ def read_messages(table: pa.Table) -> list[tuple[int, int, bytes]]:
 
 
 def pack_sorted(values: np.ndarray, limit: int) -> bytes:
-    """Increasing integers below ``limit``: high parts in unary, low parts as they are."""
+    """Non-decreasing integers below ``limit``: high parts in unary, low bits as they are."""
     m = values.size
-    gap = limit / max(m, 1)
-    low = 0 if gap < 16 else 1 if gap < 4096 else 2 if gap < 2**20 else 4
+    low = max(0, int(limit // max(m, 1)).bit_length() - 1)
     head = np.array([m, limit, low], np.int64).tobytes()
     if not m:
         return head
     values = values.astype(np.uint64)
-    high = (values >> np.uint64(8 * low)).astype(np.int64) + np.arange(m)
-    bits = np.zeros((limit >> (8 * low)) + m + 1, bool)
+    high = (values >> np.uint64(low)).astype(np.int64) + np.arange(m)
+    bits = np.zeros((limit >> low) + m + 1, bool)
     bits[high] = True
-    lows = values.astype({0: "u1", 1: "u1", 2: "u2", 4: "u4"}[low]).tobytes() if low else b""
-    return head + lows + np.packbits(bits).tobytes()
+    return head + np.packbits(bits).tobytes() + _pack_low(values, low)
 
 
 def unpack_sorted(payload: bytes, at: int = 0) -> tuple[np.ndarray, int]:
@@ -132,14 +130,42 @@ def unpack_sorted(payload: bytes, at: int = 0) -> tuple[np.ndarray, int]:
     at += 24
     if not m:
         return np.zeros(0, np.uint64), at
-    size = (limit >> (8 * low)) + m + 1
-    n_bytes = -(-size // 8)
-    lows = np.frombuffer(payload, f"u{max(low, 1)}", m if low else 0, at)
-    at += lows.nbytes
-    bits = np.unpackbits(np.frombuffer(payload, np.uint8, n_bytes, at), count=size)
-    high = np.flatnonzero(bits).astype(np.uint64) - np.arange(m, dtype=np.uint64)
-    at += n_bytes
-    return (high << np.uint64(8 * low)) | lows if low else high, at
+    size = (limit >> low) + m + 1
+    bits = np.unpackbits(np.frombuffer(payload, np.uint8, -(-size // 8), at), count=size)
+    at += -(-size // 8)
+    values = np.flatnonzero(bits).astype(np.uint64) - np.arange(m, dtype=np.uint64)
+    values <<= np.uint64(low)
+    at = _unpack_low(payload, at, low, values)
+    return values, at
+
+
+def _pack_low(values: np.ndarray, low: int) -> bytes:
+    """The ``low`` lowest bits: whole bytes first, then what is left, bit by bit."""
+    out = b""
+    for k in range(low // 8):
+        out += (values >> np.uint64(8 * k)).astype(np.uint8).tobytes()
+    left = low % 8
+    if left:
+        rest = (values >> np.uint64(low - left)).astype(np.uint8)
+        bits = np.unpackbits(rest[:, None], axis=1, count=left, bitorder="little")
+        out += np.packbits(bits).tobytes()
+    return out
+
+
+def _unpack_low(payload: bytes, at: int, low: int, values: np.ndarray) -> int:
+    m = values.size
+    for k in range(low // 8):
+        part = np.frombuffer(payload, np.uint8, m, at).astype(np.uint64)
+        values |= part << np.uint64(8 * k)
+        at += m
+    left = low % 8
+    if left:
+        n_bytes = -(-m * left // 8)
+        bits = np.unpackbits(np.frombuffer(payload, np.uint8, n_bytes, at), count=m * left)
+        rest = np.packbits(bits.reshape(m, left), axis=1, bitorder="little").ravel()
+        values |= rest.astype(np.uint64) << np.uint64(low - left)
+        at += n_bytes
+    return at
 
 
 def pack_ids(ids: np.ndarray) -> bytes:

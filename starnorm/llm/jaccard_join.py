@@ -63,7 +63,10 @@ PERCENT = 85
 # Pairs compared in one task.
 TILE = 1500
 
-_SETS = "n long, key binary, holder boolean, early array<bigint>, words binary"
+# Counters of the sketch per n-gram.
+SPARE = 4
+
+_SETS = "n long, key binary, holder boolean, skipped int, early array<bigint>, words binary"
 
 
 def gram_sets(data: np.ndarray, offsets: np.ndarray, words: int):
@@ -138,13 +141,17 @@ def _rare(sets: _Sets, level: np.ndarray, percent: int) -> pa.Table:
     holder = np.zeros(sets.n.size, bool)
     holder[sets.holders[alive]] = True
     early: list[list[int] | None] = [None] * sets.n.size
+    skipped: list[int | None] = [None] * sets.n.size
     raw: list[bytes | None] = [None] * sets.n.size
     for k in np.flatnonzero(alive):
         row = sets.holders[k]
         grams = sets.grams[sets.bounds[row] : sets.bounds[row + 1]]
-        order = np.lexsort((grams, level[start[k] : start[k] + size[k]]))
+        own = level[start[k] : start[k] + size[k]]
+        order = np.lexsort((grams, own))
         keep = int(size[k] - _needed(size[k], percent) + 1)
-        early[row] = grams[order[:keep]].view(np.int64).tolist()
+        # What is certainly in no other set comes first and need not be listed.
+        skipped[row] = int(np.count_nonzero(own == 0))
+        early[row] = grams[order[skipped[row] : keep]].view(np.int64).tolist()
         raw[row] = sets.data[sets.offsets[row] : sets.offsets[row + 1]].tobytes()
     candidate = holder[sets.leader]
     key = [k.tobytes() if c else None for k, c in zip(sets.key, candidate, strict=True)]
@@ -153,6 +160,7 @@ def _rare(sets: _Sets, level: np.ndarray, percent: int) -> pa.Table:
             "n": pa.array(sets.n, pa.int64()),
             "key": pa.array(key, pa.binary()),
             "holder": pa.array(holder),
+            "skipped": pa.array(skipped, pa.int32()),
             "early": pa.array(early, pa.list_(pa.int64())),
             "words": pa.array(raw, pa.binary()),
         }
@@ -160,14 +168,14 @@ def _rare(sets: _Sets, level: np.ndarray, percent: int) -> pa.Table:
 
 
 def candidate_sets(docs: DataFrame, id_col: str, text: str, words: int, percent: int) -> DataFrame:
-    """(id, print, n, key, holder, early, words) per row.
+    """(id, print, n, key, holder, skipped, early, words) per row.
 
     ``key`` is null where no link is possible. The rest is filled in for one row of
     each distinct set in a block.
     """
     _, size = text_size(docs, text)
     texts = blocked(docs, id_col, text, size)
-    sketch = Sketch(size // 5, 1, 16)
+    sketch = Sketch(size // 5, 1, SPARE)
 
     def counted(table: pa.Table) -> pa.Table:
         sets = _Sets(table, words)
@@ -237,16 +245,16 @@ def overlaps(pairs: DataFrame, sets: DataFrame, words: int) -> DataFrame:
     return tiled.applyInArrow(lambda t: _product(t, words), "a binary, b binary, overlap long")
 
 
-def _could_link(percent: int) -> str:
-    """What sizes and places in the rarity order allow, for n-gram lists joined as a, b.
+def _could_link(a: str, b: str, percent: int) -> str:
+    """What sizes and places in the rarity order allow, for columns with prefixes a and b.
 
     If the shared n-gram is the first they share, the overlap is at most what is left of
     either list from there on.
     """
-    need = f"ceil({percent} * (a.n + b.n) / {100 + percent}D - 1e-9)"
+    need = f"ceil({percent} * ({a}n + {b}n) / {100 + percent}D - 1e-9)"
     return (
-        f"100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n)"
-        f" AND least(a.n - a.place, b.n - b.place) >= {need}"
+        f"100 * least({a}n, {b}n) >= {percent} * greatest({a}n, {b}n)"
+        f" AND least({a}n - {a}place, {b}n - {b}place) >= {need}"
     )
 
 
@@ -271,63 +279,101 @@ def node_components(rows: DataFrame, words: int, percent: int) -> DataFrame:
     sets = staged(
         held.groupBy("key").agg(F.min_by("words", F.struct("id", "print")).alias("words")), "sets"
     )
-    nodes = held.groupBy("key").agg(F.first("n").alias("n"), F.first("early").alias("early"))
-    lists = staged(nodes.select("key", "n", F.posexplode("early").alias("place", "gram")), "lists")
-    sizes = lists.where("place = 0").select("key", "n")
+    nodes = staged(
+        held.groupBy("key").agg(F.first(F.struct("n", "skipped", "early")).alias("node")).select(
+            "key", "node.*"
+        ),
+        "nodes",
+    )
+    lists = _heads(nodes)
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        found = _linked(overlaps(pairs, sets, words), nodes.select("key", "n"), percent)
+        return staged(found, "compared")
+
+    def merged(grouped: DataFrame, found: DataFrame) -> DataFrame:
+        # Components so far are stars; new links connect them.
+        rays = grouped.select(F.col("node").alias("u"), F.col("component").alias("v"))
+        links = found.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
+        return components(rays.union(links))
+
+    none = lists.where("false").select(F.col("key").alias("node"), F.col("key").alias("component"))
+    to_heads = lists.where("key <> head").where(_could_link("head_", "", percent))
+    # First each node with the smallest of its heads alone: a family of copies has one.
+    first = staged(
+        to_heads.groupBy("key").agg(F.min("head").alias("a")).select("a", F.col("key").alias("b")),
+        "stars",
+    )
+    found = compared(first)
+    grouped = merged(none, found)
+    # Then with the other heads of lists that are not in one component by now.
+    open_lists = staged(_unsettled(lists, grouped), "unsettled")
+    more = (
+        open_lists.where("key <> head AND component <> head_component")
+        .where(_could_link("head_", "", percent))
+        .select(F.col("head").alias("a"), F.col("key").alias("b"))
+        .distinct()
+        .join(first, ["a", "b"], "left_anti")
+    )
+    found = found.union(compared(staged(more, "stars")))
+    grouped = merged(grouped, found)
+    # Then what such lists hold apart, without their heads.
+    pairs = staged(_apart(_unsettled(open_lists, grouped), found, percent), "pairs")
+    return grouped if pairs.isEmpty() else merged(grouped, compared(pairs))
+
+
+def _heads(nodes: DataFrame) -> DataFrame:
+    """(gram, key, n, place, head, head_n, head_place) of n-grams listed by several nodes.
+
+    Written once. The head of a list is its smallest key.
+    """
+    lists = nodes.select("key", "n", "skipped", F.posexplode("early").alias("at", "gram")).select(
+        "gram", "key", "n", (F.col("skipped") + F.col("at")).alias("place")
+    )
     heads = (
         lists.groupBy("gram")
-        .agg(F.min(F.struct("key", "n", "place")).alias("head"), F.count(F.lit(1)).alias("nodes"))
+        .agg(F.min(F.struct("key", "n", "place")).alias("h"), F.count(F.lit(1)).alias("nodes"))
         .where("nodes > 1")
-        .select("gram", "head.key", "head.n", "head.place")
-    )
-    stars = staged(
-        heads.alias("a")
-        .join(lists.alias("b"), "gram")
-        .where("a.key <> b.key")
-        .where(_could_link(percent))
-        .select(F.expr("a.key AS a"), F.expr("b.key AS b"))
-        .distinct(),
-        "stars",
+        .selectExpr("gram", "h.key AS head", "h.n AS head_n", "h.place AS head_place")
     )
-    found = staged(_linked(overlaps(stars, sets, words), sizes, percent), "compared")
-    links = found.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
-    grouped = components(links)
-    pairs = staged(_apart(lists, heads, found, grouped, percent), "pairs")
-    if pairs.isEmpty():
-        return grouped
-    more = _linked(overlaps(pairs, sets, words), sizes, percent).where("linked")
-    # Components so far are stars; the new links connect them.
-    rays = grouped.select(F.col("node").alias("u"), F.col("component").alias("v"))
-    return components(rays.union(more.select(F.col("a").alias("u"), F.col("b").alias("v"))))
-
-
-def _apart(lists, heads, found, grouped, percent) -> DataFrame:
-    """Pairs (a, b) that share a list, lie in different components and might link."""
+    return staged(lists.join(heads, "gram"), "lists")
+
+
+def _unsettled(lists: DataFrame, grouped: DataFrame) -> DataFrame:
+    """The lists whose nodes are not all in one component, with components."""
+    plain = lists.select("gram", "key", "n", "place", "head", "head_n", "head_place")
     named = grouped.select(F.col("node").alias("key"), "component")
-    labelled = lists.join(named, "key", "left").withColumn(
+    labelled = plain.join(named, "key", "left").withColumn(
         "component", F.coalesce("component", "key")
     )
-    unsettled = (
-        labelled.groupBy("gram")
-        .agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
-        .where("_low <> _high")
-        .select("gram")
+    # The head is in its own list, so its component is one of the list's.
+    ends = labelled.groupBy("gram").agg(
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
+        F.max(F.when(F.col("key") == F.col("head"), F.col("component"))).alias("head_component"),
     )
+    return labelled.join(ends.where("low <> high").drop("low", "high"), "gram")
+
+
+def _apart(lists: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that share a list, lie in different components and might link."""
     far = found.select(F.col("a").alias("head"), F.col("b").alias("key"), "distance")
     rows = staged(
-        labelled.join(unsettled, "gram")
-        .join(heads.select("gram", F.col("key").alias("head")), "gram")
-        .where("key <> head")
+        lists.where("key <> head")
+        .select("gram", "key", "n", "place", "component", "head")
         .join(far, ["head", "key"], "left"),
-        "unsettled",
+        "apart",
+    )
+    left, right = (
+        rows.selectExpr("gram", *(f"{c} AS {side}{c}" for c in rows.columns if c != "gram"))
+        for side in ("a_", "b_")
     )
     return (
-        rows.alias("a")
-        .join(rows.alias("b"), "gram")
-        .where("a.key < b.key AND a.component <> b.component")
-        .where(_could_link(percent))
-        .where(f"coalesce(abs(a.distance - b.distance), 0) <= {1 - percent / 100} + 1e-9")
-        .select(F.expr("a.key AS a"), F.expr("b.key AS b"))
+        left.join(right, "gram")
+        .where("a_key < b_key AND a_component <> b_component")
+        .where(_could_link("a_", "b_", percent))
+        .where(f"coalesce(abs(a_distance - b_distance), 0) <= {1 - percent / 100} + 1e-9")
+        .select(F.col("a_key").alias("a"), F.col("b_key").alias("b"))
         .distinct()
     )
 
