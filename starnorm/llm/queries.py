@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from starnorm.llm import packing as best_fit
 from starnorm.llm import sentencepiece_codec as pieces
 from starnorm.llm.jaccard_join import jaccard_components
+from starnorm.llm.lm_scoring import score_documents
 from starnorm.llm.quality_rules import ledger, passes
 from starnorm.llm.sharding import shard_documents
 from starnorm.llm.substring_dedup import remove_repeated_windows
@@ -55,6 +56,10 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_bytes(documents(spark, sf_dir)).select(
         F.col("id").alias("doc_id"),
@@ -90,6 +95,7 @@ QUERIES: dict[str, Query] = {
     "op5_substring_dedup": op5_substring_dedup,
     "op6_sharding": op6_sharding,
     "op7_packing": op7_packing,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_sentencepiece": op10_sentencepiece,
 }
