@@ -91,7 +91,25 @@ SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_remo
 FROM documents LEFT JOIN cleaned USING (doc_id)
 """
 
+OP4 = """
+WITH codes AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x > 0 AS INT)) AS code FROM embeddings
+),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum(list_transform(list_zip(q.code, c.code),
+              lambda z: CAST(z[1] <> z[2] AS INT))) AS INT) AS distance
+  FROM codes q, codes c WHERE q.vec_id % 50 = 0
+),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS INT) AS rank
+  FROM pairs
+)
+SELECT query_id, rank, vec_id, distance FROM ranked WHERE rank <= 10
+"""
+
 ORACLE: dict[str, str] = {
     "op2_quality_rules": OP2,
+    "op4_hamming_topk": OP4,
     "op5_substring_dedup": OP5,
 }

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from starnorm.llm import packing as best_fit
 from starnorm.llm import sentencepiece_codec as pieces
+from starnorm.llm.hamming_topk import top_k
 from starnorm.llm.jaccard_join import jaccard_components
 from starnorm.llm.lm_scoring import score_documents
 from starnorm.llm.quality_rules import ledger, passes
@@ -47,6 +48,11 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
 
 
+def op4_hamming_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return top_k(vectors, F.col("vec_id") % 50 == 0).withColumnRenamed("id", "vec_id")
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_windows(documents(spark, sf_dir)).select(
         F.col("id").alias("doc_id"),
@@ -92,6 +98,7 @@ QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_quality_rules": op2_quality_rules,
     "op3_jaccard_join": op3_jaccard_join,
+    "op4_hamming_topk": op4_hamming_topk,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_sharding": op6_sharding,
     "op7_packing": op7_packing,
