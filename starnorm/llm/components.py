@@ -42,7 +42,7 @@ def _fingerprint(edges: DataFrame):
 def components(edges: DataFrame) -> DataFrame:
     """Edges (u, v) -> (node, component), the component being its smallest node.
 
-    Nodes without an edge do not occur.
+    Nodes without an edge do not occur. Written once.
     """
     now = staged(edges.select("u", "v").where("u <> v"), "edges")
     seen = _fingerprint(now)
@@ -54,4 +54,4 @@ def components(edges: DataFrame) -> DataFrame:
         seen = found
     stars = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("component"))
-    return stars.union(roots).distinct()
+    return staged(stars.union(roots).distinct(), "components")

@@ -62,6 +62,8 @@ WORDS = 4
 PERCENT = 85
 # Pairs compared in one task.
 TILE = 1500
+# Rows of keys, under 100 bytes each, that may be sent to every task.
+BROADCAST_ROWS = 200_000
 
 # Counters of the sketch per n-gram.
 SPARE = 4
@@ -220,6 +222,11 @@ def _product(table: pa.Table, words: int) -> pa.Table:
     return pairs.filter(pa.array(~left))
 
 
+def _sent_if_small(rows: DataFrame, n_rows: int) -> DataFrame:
+    """The same rows, broadcast if a count has shown that they are few."""
+    return F.broadcast(rows) if n_rows <= BROADCAST_ROWS else rows
+
+
 def overlaps(pairs: DataFrame, sets: DataFrame, words: int) -> DataFrame:
     """Pairs (a, b) of keys -> (a, b, overlap), by tiles of about ``TILE`` pairs.
 
@@ -234,11 +241,12 @@ def overlaps(pairs: DataFrame, sets: DataFrame, words: int) -> DataFrame:
         "b",
         F.expr(f"cast(pmod(xxhash64(a, pmod(xxhash64(b), _parts)), {tiles}) as int)").alias("tile"),
     )
-    right = dealt.join(sets.withColumnRenamed("key", "b"), "b").select("tile", "a", "b", "words")
+    asked = _sent_if_small(dealt, n_pairs)
+    right = sets.withColumnRenamed("key", "b").join(asked, "b").select("tile", "a", "b", "words")
+    asked = _sent_if_small(dealt.select("tile", "a").distinct(), n_pairs)
     left = (
-        dealt.select("tile", "a")
-        .distinct()
-        .join(sets.withColumnRenamed("key", "a"), "a")
+        sets.withColumnRenamed("key", "a")
+        .join(asked, "a")
         .select("tile", "a", F.lit(None).cast("binary").alias("b"), "words")
     )
     tiled = left.union(right).groupBy("tile")
@@ -299,9 +307,11 @@ def node_components(rows: DataFrame, words: int, percent: int) -> DataFrame:
 
     none = lists.where("false").select(F.col("key").alias("node"), F.col("key").alias("component"))
     to_heads = lists.where("key <> head").where(_could_link("head_", "", percent))
-    # First each node with the smallest of its heads alone: a family of copies has one.
+    # First each node with the best of its heads alone: a family of copies has few.
     first = staged(
-        to_heads.groupBy("key").agg(F.min("head").alias("a")).select("a", F.col("key").alias("b")),
+        to_heads.groupBy("key")
+        .agg(F.min(F.struct("head_own", "head")).alias("best"))
+        .select(F.col("best.head").alias("a"), F.col("key").alias("b")),
         "stars",
     )
     found = compared(first)
@@ -323,27 +333,34 @@ def node_components(rows: DataFrame, words: int, percent: int) -> DataFrame:
 
 
 def _heads(nodes: DataFrame) -> DataFrame:
-    """(gram, key, n, place, head, head_n, head_place) of n-grams listed by several nodes.
+    """(gram, key, n, place, head, ...) of n-grams listed by several nodes, written once.
 
-    Written once. The head of a list is its smallest key.
+    The head of a list is the node with the smallest share of n-grams of its own: among
+    near copies the one with the fewest edits, which links with the most others.
     """
     lists = nodes.select("key", "n", "skipped", F.posexplode("early").alias("at", "gram")).select(
-        "gram", "key", "n", (F.col("skipped") + F.col("at")).alias("place")
+        "gram",
+        "key",
+        "n",
+        (F.col("skipped") + F.col("at")).alias("place"),
+        (F.col("skipped") / F.col("n")).cast("float").alias("own"),
     )
     heads = (
         lists.groupBy("gram")
-        .agg(F.min(F.struct("key", "n", "place")).alias("h"), F.count(F.lit(1)).alias("nodes"))
+        .agg(F.min(F.struct("own", "key", "n", "place")).alias("h"), F.count(F.lit(1)).alias("nodes"))
         .where("nodes > 1")
-        .selectExpr("gram", "h.key AS head", "h.n AS head_n", "h.place AS head_place")
+        .selectExpr(
+            "gram", "h.own AS head_own", "h.key AS head", "h.n AS head_n", "h.place AS head_place"
+        )
     )
-    return staged(lists.join(heads, "gram"), "lists")
+    return staged(lists.drop("own").join(heads, "gram"), "lists")
 
 
 def _unsettled(lists: DataFrame, grouped: DataFrame) -> DataFrame:
     """The lists whose nodes are not all in one component, with components."""
     plain = lists.select("gram", "key", "n", "place", "head", "head_n", "head_place")
     named = grouped.select(F.col("node").alias("key"), "component")
-    labelled = plain.join(named, "key", "left").withColumn(
+    labelled = plain.join(_sent_if_small(named, grouped.count()), "key", "left").withColumn(
         "component", F.coalesce("component", "key")
     )
     # The head is in its own list, so its component is one of the list's.
