@@ -31,8 +31,9 @@ _SATURATED = 255
 class Sketch:
     """Layout for about ``pieces`` distinct pieces, ``spare`` counters for each and row."""
 
-    def __init__(self, pieces: int, depth: int, spare: int):
+    def __init__(self, pieces: int, depth: int, spare: int, base: int = 0):
         self.depth = depth
+        self.base = base  # the number of the first shard
         self.bits = max(8, pow2(max(1, pieces) * spare))
         self.shard_bits = min(self.bits - 8, pow2(-(-max(1, pieces) // SHARD_PIECES)))
 
@@ -61,44 +62,11 @@ class Sketch:
                     + np.packbits(many).tobytes()
                     + totals[lo:hi][many].tobytes()
                 )
-                yield block, row * _ROW + int(shards[lo]), payload
+                yield block, self.base + row * _ROW + int(shards[lo]), payload
 
     def merge(self, parts: DataFrame, *, levels: bool) -> DataFrame:
-        """For each message the merged counters of its cells.
-
-        ``levels``: as the whole binary logarithm of the count, in a byte; else one bit,
-        set where the count is two or more.
-        """
-
-        def one_shard(table: pa.Table) -> pa.Table:
-            found, cells, counts = read_messages(table), [], []
-            for _, _, payload in found:
-                own, at = unpack_sorted(payload)
-                n_bytes = -(-own.size // 8)
-                flags = np.frombuffer(payload, np.uint8, n_bytes, at)
-                many = np.unpackbits(flags, count=own.size).astype(bool)
-                count = np.ones(own.size, np.int64)
-                count[many] = np.frombuffer(payload, np.uint8, offset=at + n_bytes)
-                cells.append(own)
-                counts.append(count)
-            sizes = [c.size for c in cells]
-            cell = np.concatenate(cells)
-            order = np.argsort(cell)
-            first = group_starts(cell[order])
-            totals = np.add.reduceat(np.concatenate(counts)[order], first)
-            estimate = np.empty(cell.size, np.int64)
-            estimate[order] = np.repeat(totals, np.diff(np.append(first, cell.size)))
-            if levels:
-                coded = np.log2(estimate).astype(np.uint8)
-            answers, at = [], 0
-            for (block, shard, _), size in zip(found, sizes, strict=True):
-                part = slice(at, at + size)
-                payload = coded[part] if levels else np.packbits(estimate[part] > 1)
-                answers.append((block, shard, payload.tobytes()))
-                at += size
-            return messages(answers)
-
-        return parts.groupBy("shard").applyInArrow(one_shard, MESSAGE)
+        """For each message the merged counters of its cells, as ``merged`` gives them."""
+        return parts.groupBy("shard").applyInArrow(lambda t: merged(t, levels=levels), MESSAGE)
 
     def read(self, hashes: np.ndarray, answers: pa.Table, *, levels: bool) -> np.ndarray:
         """The estimate for each of this block's hashes: the least over the rows.
@@ -106,7 +74,7 @@ class Sketch:
         A level, or whether the count may be two or more.
         """
         lowest = np.full(hashes.size, _SATURATED, np.uint8)
-        found = read_messages(answers)
+        found = [(shard - self.base, payload) for _, shard, payload in read_messages(answers)]
         for row in range(self.depth):
             cells = self.cells(hashes, row)
             order = np.argsort(cells)
@@ -114,7 +82,7 @@ class Sketch:
             sizes = np.diff(np.append(first, cells.size))
             own = cells[order][first] >> np.uint64(self.bits - self.shard_bits)
             coded = np.empty(first.size, np.uint8)
-            for _, shard, payload in found:
+            for shard, payload in found:
                 if shard // _ROW == row:
                     lo, hi = np.searchsorted(own, np.array([shard % _ROW, shard % _ROW + 1], np.uint64))
                     raw = np.frombuffer(payload, np.uint8)
@@ -123,3 +91,36 @@ class Sketch:
             spread[order] = np.repeat(coded, sizes)
             np.minimum(lowest, spread, out=lowest)
         return lowest if levels else lowest.astype(bool)
+
+
+def merged(table: pa.Table, *, levels: bool) -> pa.Table:
+    """Answer the messages of one shard with the merged counters of their cells.
+
+    ``levels``: as the whole binary logarithm of the count, in a byte; else one bit, set
+    where the count is two or more.
+    """
+    found, cells, counts = read_messages(table), [], []
+    for _, _, payload in found:
+        own, at = unpack_sorted(payload)
+        n_bytes = -(-own.size // 8)
+        flags = np.frombuffer(payload, np.uint8, n_bytes, at)
+        many = np.unpackbits(flags, count=own.size).astype(bool)
+        count = np.ones(own.size, np.int64)
+        count[many] = np.frombuffer(payload, np.uint8, offset=at + n_bytes)
+        cells.append(own)
+        counts.append(count)
+    sizes = [c.size for c in cells]
+    cell = np.concatenate(cells)
+    order = np.argsort(cell)
+    first = group_starts(cell[order])
+    totals = np.add.reduceat(np.concatenate(counts)[order], first)
+    estimate = np.empty(cell.size, np.int64)
+    estimate[order] = np.repeat(totals, np.diff(np.append(first, cell.size)))
+    coded = np.log2(estimate).astype(np.uint8) if levels else None
+    answers, at = [], 0
+    for (block, shard, _), size in zip(found, sizes, strict=True):
+        part = slice(at, at + size)
+        payload = np.packbits(estimate[part] > 1) if coded is None else coded[part]
+        answers.append((block, shard, payload.tobytes()))
+        at += size
+    return messages(answers)

@@ -9,8 +9,11 @@ the regions of some anchors at a time, and its matching statistics mark long mat
 
 Regions with equal bytes are sent once by a block, and enter an index twice however
 many they are, as two make the match. So a group of copies costs its index two strings
-and each block one message. Nothing is sampled or dropped: every window is in exactly
-one region, and every copy of a region gets the region's marks.
+and each block one message. A hot anchor, one of a passage that very many texts share,
+would still gather the different surroundings of all of them. Its regions are cut down
+first: a second sketch, of whole windows, tells which of their windows may occur twice,
+and only those go on, which leaves the passage itself. Nothing is sampled or dropped:
+every window is in exactly one region, and every copy of a region gets its marks.
 
 Null texts count as empty. Each input row gives one output row; equal rows are copies
 of each other. Columns other than id and text are ignored.
@@ -22,6 +25,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,7 +44,7 @@ from starnorm.llm.blocks import (
     unpack_sorted,
 )
 from starnorm.llm.run_index import RunIndex
-from starnorm.llm.sketch import Sketch
+from starnorm.llm.sketch import Sketch, merged
 from starnorm.llm.spans import (
     SEEDS,
     covered,
@@ -59,11 +63,22 @@ from starnorm.llm.spans import (
 MATCH = 200
 GRAM = 40
 # Text whose windows are looked at together, and text indexed together.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 18
 INDEX_BYTES = 60_000
 # Bytes of regions that one shard holds, about.
 SHARD_BYTES = 12 << 20
 
+# An anchor is hot from two to this power occurrences on.
+HOT_LEVEL = 8
+# Counters of the sketch of hot anchors' windows, per window: a chance pass is rare.
+WINDOW_SPARE = 1 << 14
+
+# Messages are numbered by what they are: regions by their shard from 0 on, parts of the
+# window sketch from _SKETCH on, and what a block keeps for itself from _KEPT on.
+_SKETCH = 1 << 28
+_KEPT = 1 << 29
+_HOT, _MARKS, _SEGMENTS = b"h", b"m", b"s"
+
 SCHEMA = (
     "id long, n_bytes long, n_removed long, n_spans long, kept binary, "
     "removed array<struct<start: long, end: long>>"
@@ -136,17 +151,55 @@ class _Block:
         return self.anchor[first], np.diff(np.append(first, self.anchor.size)), which
 
 
+def _region_payload(numbers, limit, anchor, length, several, raw) -> bytes:
+    return (
+        pack_sorted(numbers, limit)
+        + anchor.tobytes()
+        + length.astype(np.uint16).tobytes()
+        + several.astype(bool).tobytes()
+        + raw.tobytes()
+    )
+
+
+def _read_regions(payload: bytes, at: int = 0):
+    numbers, at = unpack_sorted(payload, at)
+    n = numbers.size
+    anchor = np.frombuffer(payload, np.uint64, n, at)
+    length = np.frombuffer(payload, np.uint16, n, at + 8 * n).astype(np.int64)
+    several = np.frombuffer(payload, np.bool_, n, at + 10 * n)
+    raw = np.frombuffer(payload, np.uint8, offset=at + 11 * n)
+    return numbers.astype(np.int64), anchor, length, several, raw
+
+
+def _marks_payload(numbers, limit, first, end) -> bytes:
+    first, end = first.astype(np.uint16), end.astype(np.uint16)
+    return pack_sorted(numbers, limit) + first.tobytes() + end.tobytes()
+
+
+def _read_marks(payload: bytes, at: int = 0):
+    numbers, at = unpack_sorted(payload, at)
+    n = numbers.size
+    first = np.frombuffer(payload, np.uint16, n, at).astype(np.int64)
+    return numbers.astype(np.int64), first, np.frombuffer(payload, np.uint16, n, at + 2 * n).astype(np.int64)
+
+
+def _window_keys(raw: np.ndarray, bounds: np.ndarray, match: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of all windows of strings laid end to end, and a hash of each window."""
+    places = windows_inside(bounds, match)
+    h, size = mixed(strided(raw)[: raw.size].copy()), 8
+    while size < match:
+        step = min(size, match - size)
+        longer = h * np.uint64(SEEDS[0])
+        longer[: h.size - step] += h[step:]
+        longer ^= longer >> np.uint64(31)
+        h, size = longer * np.uint64(0x2545F4914F6CDD1D), size + step
+    return places, mixed(h[places])
+
+
 def _marked(table: pa.Table, match: int) -> pa.Table:
-    """Index the regions sent to a shard; answer with the covered parts of each class."""
-    found, parts = read_messages(table), []
-    for k, (_, _, payload) in enumerate(found):
-        own, at = unpack_sorted(payload)
-        n = own.size
-        anchor = np.frombuffer(payload, np.uint64, n, at)
-        length = np.frombuffer(payload, np.uint16, n, at + 8 * n).astype(np.int64)
-        several = np.frombuffer(payload, np.bool_, n, at + 10 * n)
-        raw = np.frombuffer(payload, np.uint8, offset=at + 11 * n)
-        parts.append((np.full(n, k), own, anchor, length, several, raw))
+    """Index the regions sent to a shard; answer with the covered parts of each."""
+    found = read_messages(table)
+    parts = [(np.full(p[0].size, k), *p) for k, p in enumerate(_read_regions(m[2]) for m in found)]
     message, own, anchor, length, several, raw = (np.concatenate(c) for c in zip(*parts, strict=True))
     start = np.cumsum(length) - length
     content = hash_spans(raw, start, start + length, loop_bytes=2 * match)[0]
@@ -156,32 +209,27 @@ def _marked(table: pa.Table, match: int) -> pa.Table:
     new[1:] = (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1])
     leader = np.flatnonzero(new)
     members = np.diff(np.append(leader, order.size))
-    doubled = (members > 1) | several[order[leader]]
+    doubled = (np.add.reduceat(several[order].astype(np.int64), leader) > 0) | (members > 1)
     # Anchors whose regions are one string in one copy can match nothing.
     group = group_starts(anchor[leader])
     strings = np.add.reduceat(1 + doubled, group)
     alive = np.repeat(strings > 1, np.diff(np.append(group, leader.size)))
-    marks = _index_groups(
+    string, first, end = _index_groups(
         raw, start[order[leader]], length[order[leader]], doubled, anchor[leader], alive, match
     )
-    string, mark_first, mark_end = marks
-    # Marks of a string go to every class of every block that has this string.
+    # Marks of a string go to every block that sent it.
     size = members[string]
     member = order[ranges(leader[string], size)]
-    mark_first, mark_end = np.repeat(mark_first, size), np.repeat(mark_end, size)
-    back = np.lexsort((mark_first, own[member], message[member]))
-    member, mark_first, mark_end = member[back], mark_first[back], mark_end[back]
+    first, end = np.repeat(first, size), np.repeat(end, size)
+    back = np.lexsort((first, own[member], message[member]))
+    member, first, end = member[back], first[back], end[back]
     limits = np.searchsorted(message[member], np.arange(len(found) + 1))
     answers = []
     for k, (block, shard, payload) in enumerate(found):
         lo, hi = limits[k], limits[k + 1]
         if hi > lo:
             limit = int(np.frombuffer(payload, np.int64, 2)[1])
-            body = (
-                pack_sorted(own[member[lo:hi]], limit)
-                + mark_first[lo:hi].astype(np.uint16).tobytes()
-                + mark_end[lo:hi].astype(np.uint16).tobytes()
-            )
+            body = _marks_payload(own[member[lo:hi]], limit, first[lo:hi], end[lo:hi])
             answers.append((block, shard, body))
     return messages(answers)
 
@@ -213,6 +261,72 @@ def _index_groups(raw, start, length, doubled, anchor, alive, match):
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
+def _hot_windows(payload: bytes, at: int, match: int):
+    """Distinct window hashes of a block's hot regions, their counts, and each window's place."""
+    _, _, length, several, raw = _read_regions(payload, at)
+    bounds = np.concatenate([[0], np.cumsum(length)])
+    places, keys = _window_keys(raw, bounds, match)
+    weight = 1 + np.repeat(several.astype(np.int64), length - match + 1)
+    order = np.argsort(keys, kind="stable")
+    first = group_starts(keys[order])
+    spread = np.empty(keys.size, np.int64)
+    spread[order] = np.repeat(np.arange(first.size), np.diff(np.append(first, keys.size)))
+    return keys[order][first], np.add.reduceat(weight[order], first), spread
+
+
+def _segments(payload: bytes, at: int, alive: np.ndarray, match: int):
+    """What is left of hot regions: runs of alive windows, equal ones once.
+
+    Numbers, anchors, lengths, whether there are several, and bytes of the distinct
+    segments by (anchor, bytes); and where each segment is, for ``_of_regions``.
+    """
+    numbers, anchor, length, several, raw = _read_regions(payload, at)
+    windows = np.concatenate([[0], np.cumsum(length - match + 1)])
+    first, last, index = runs(alive, windows)
+    if not first.size:
+        return None
+    region = np.repeat(np.arange(numbers.size), np.diff(index))
+    offset = first - windows[region]
+    size = last - first + match - 1
+    start = (np.cumsum(length) - length)[region] + offset
+    content = hash_spans(raw, start, start + size, loop_bytes=2 * match)[0]
+    order = np.lexsort((region, content, anchor[region]))
+    of_anchor, content = anchor[region][order], content[order]
+    new = np.ones(order.size, bool)
+    new[1:] = (of_anchor[1:] != of_anchor[:-1]) | (content[1:] != content[:-1])
+    leader = np.flatnonzero(new)
+    copies = np.diff(np.append(leader, order.size))
+    many = (copies > 1) | (np.add.reduceat(several[region][order].astype(np.int64), leader) > 0)
+    one = order[leader]
+    number = np.repeat(np.arange(leader.size), copies)
+    mapping = (
+        np.array([order.size], np.int64).tobytes()
+        + number.astype(np.int64).tobytes()
+        + numbers[region[order]].tobytes()
+        + offset[order].astype(np.int64).tobytes()
+    )
+    return (
+        np.arange(leader.size),
+        of_anchor[leader],
+        size[one],
+        many,
+        raw[ranges(start[one], size[one])],
+        mapping,
+    )
+
+
+def _of_regions(of_segments, mapping: bytes):
+    """Marks of distinct segments as marks of the region classes they were cut from."""
+    n = int(np.frombuffer(mapping, np.int64, 1, 1)[0])
+    number, classes, offset = np.frombuffer(mapping, np.int64, 3 * n, 9).reshape(3, n)
+    segment, first, end = (np.concatenate(c) for c in zip(*of_segments, strict=True))
+    lo = np.searchsorted(number, segment)
+    copies = np.searchsorted(number, segment, side="right") - lo
+    place = ranges(lo, copies)
+    shift = offset[place]
+    return classes[place], np.repeat(first, copies) + shift, np.repeat(end, copies) + shift
+
+
 def remove_repeated_bytes(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -233,6 +347,7 @@ def remove_repeated_bytes(
     texts = blocked(docs, id_col, text, size, carry)
     # Two anchors for each run of match - gram + 1 windows, on average.
     sketch = Sketch(2 * size // (match - gram + 2), 1, 16)
+    window_sketch = Sketch(size // 8, 1, WINDOW_SPARE, _SKETCH)
     shard_bits = pow2(-(-max(1, size) // SHARD_BYTES))
 
     def counted(table: pa.Table) -> pa.Table:
@@ -241,36 +356,87 @@ def remove_repeated_bytes(
         return messages(list(sketch.parts(anchors, counts, block)))
 
     def sent(table: pa.Table, answers: pa.Table) -> pa.Table:
+        """Regions to their shards; of hot anchors, windows to the sketch and the rest kept."""
         if not table.num_rows:
             return messages([])
         block = table["block"][0].as_py()
         own = _Block(table, match, gram)
         anchors, _, which = own.anchors()
-        repeated = np.flatnonzero(sketch.read(anchors, answers, levels=False)[which])
-        leader = own.leader[repeated]
-        length = own.end[leader] - own.first[leader]
+        level = sketch.read(anchors, answers, levels=True)[which]
         out = []
-        for shard, lo, hi in shard_slices(own.anchor[leader], shard_bits):
-            part = leader[lo:hi]
-            payload = (
-                pack_sorted(repeated[lo:hi], own.leader.size)
-                + own.anchor[part].tobytes()
-                + length[lo:hi].astype(np.uint16).tobytes()
-                + (own.copies[repeated[lo:hi]] > 1).tobytes()
-                + own.data[ranges(own.first[part], length[lo:hi])].tobytes()
+
+        def payload(numbers: np.ndarray) -> bytes:
+            leader = own.leader[numbers]
+            length = own.end[leader] - own.first[leader]
+            raw = own.data[ranges(own.first[leader], length)]
+            several = own.copies[numbers] > 1
+            return _region_payload(
+                numbers, own.leader.size, own.anchor[leader], length, several, raw
+            )
+
+        warm = np.flatnonzero((level > 0) & (level < HOT_LEVEL))
+        for shard, lo, hi in shard_slices(own.anchor[own.leader[warm]], shard_bits):
+            out.append((block, shard, payload(warm[lo:hi])))
+        hot = np.flatnonzero(level >= HOT_LEVEL)
+        if hot.size:
+            kept = payload(hot)
+            out.append((block, _KEPT + block, _HOT + kept))
+            keys, counts, _ = _hot_windows(kept, 0, match)
+            out += window_sketch.parts(keys, counts, block)
+        return messages(out)
+
+    def answered(table: pa.Table) -> pa.Table:
+        shard = table["shard"][0].as_py()
+        if shard >= _KEPT:
+            return messages(read_messages(table))
+        return merged(table, levels=False) if shard >= _SKETCH else _marked(table, match)
+
+    def cut_down(table: pa.Table) -> pa.Table:
+        """Keep marks for later; send what hot regions have of windows that may repeat."""
+        block, out, kept = table["block"][0].as_py(), [], None
+        for _, shard, payload in read_messages(table):
+            if shard < _SKETCH:
+                out.append((block, _KEPT + block, _MARKS + payload))
+            elif shard >= _KEPT:
+                kept = payload
+        if kept is None:
+            return messages(out)
+        keys, _, spread = _hot_windows(kept, 1, match)
+        own = table.filter(pc.field("shard") < _KEPT).filter(pc.field("shard") >= _SKETCH)
+        alive = window_sketch.read(keys, own, levels=False)[spread]
+        segments = _segments(kept, 1, alive, match)
+        if segments is None:
+            return messages(out)
+        numbers, anchor, length, several, raw, mapping = segments
+        start = np.cumsum(length) - length
+        for shard, lo, hi in shard_slices(anchor, shard_bits):
+            part = raw[start[lo] : start[hi - 1] + length[hi - 1]]
+            body = _region_payload(
+                numbers[lo:hi], numbers.size, anchor[lo:hi], length[lo:hi], several[lo:hi], part
             )
-            out.append((block, shard, payload))
+            out.append((block, shard, body))
+        out.append((block, _KEPT + block, _SEGMENTS + mapping))
         return messages(out)
 
+    def marked_again(table: pa.Table) -> pa.Table:
+        if table["shard"][0].as_py() >= _KEPT:
+            return messages(read_messages(table))
+        return _marked(table, match)
+
     def cleaned(table: pa.Table, answers: pa.Table) -> pa.Table:
         own = _Block(table, match, gram)
+        marks, of_segments, mapping = [], [], None
+        for _, shard, payload in read_messages(answers):
+            if shard < _KEPT:
+                of_segments.append(_read_marks(payload))
+            elif payload[:1] == _MARKS:
+                marks.append(_read_marks(payload, 1))
+            else:
+                mapping = payload
+        if of_segments:
+            marks.append(_of_regions(of_segments, mapping))
         firsts, ends = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for _, _, payload in read_messages(answers):
-            classes, at = unpack_sorted(payload)
-            classes = classes.astype(np.int64)
-            n = classes.size
-            mark_first = np.frombuffer(payload, np.uint16, n, at).astype(np.int64)
-            mark_end = np.frombuffer(payload, np.uint16, n, at + 2 * n).astype(np.int64)
+        for classes, mark_first, mark_end in marks:
             copies = own.copies[classes]
             region = own.first[ranges(own.leader[classes], copies)]
             firsts.append(region + np.repeat(mark_first, copies))
@@ -303,9 +469,11 @@ def remove_repeated_bytes(
     if carry:
         schema = T.StructType([*_parsed(docs, SCHEMA), texts.schema["row"]])
     counts = texts.groupBy("block").applyInArrow(counted, MESSAGE)
-    estimates = sketch.merge(counts, levels=False)
-    regions = by_block(texts, estimates, sent, MESSAGE)
-    marks = regions.groupBy("shard").applyInArrow(lambda t: _marked(t, match), MESSAGE)
+    levels = sketch.merge(counts, levels=True)
+    regions = by_block(texts, levels, sent, MESSAGE)
+    answers = regions.groupBy("shard").applyInArrow(answered, MESSAGE)
+    segments = answers.groupBy("block").applyInArrow(cut_down, MESSAGE)
+    marks = segments.groupBy("shard").applyInArrow(marked_again, MESSAGE)
     return by_block(texts, marks, cleaned, schema)
 
 
