@@ -118,7 +118,8 @@ def _regions(data: np.ndarray, offsets: np.ndarray, match: int, gram: int):
     new[1:] = (anchor[1:] != anchor[:-1]) | (windows[1:] != windows[:-1] + 1)
     first = np.flatnonzero(new)
     last = np.append(first[1:], windows.size) - 1
-    return windows[first], windows[last] + match, h[anchor[first]]
+    # Least hashes are small numbers; mixed once more they spread over all shards.
+    return windows[first], windows[last] + match, mixed(h[anchor[first]] + np.uint64(SEEDS[1]))
 
 
 class _Block:
