@@ -18,9 +18,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Text in a block: what a task holds in memory, with its hashes.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 # Pieces one shard merges at a time.
-SHARD_PIECES = 4_000_000
+SHARD_PIECES = 2_000_000
 
 NULL_LAST = np.iinfo(np.int64).max
 

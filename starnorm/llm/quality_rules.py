@@ -38,7 +38,7 @@ from starnorm.llm.spans import (
 REPEAT_WINDOW = 3
 SYMBOLS = np.isin(np.arange(256), list(b"#*$%&|<>"))
 # Texts whose bytes are looked at together.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 
