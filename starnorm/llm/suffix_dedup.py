@@ -340,7 +340,8 @@ def remove_repeated_bytes(
 
     A byte goes if a string of ``match`` bytes that covers it starts anywhere else too.
     ``kept`` is bytes: a removed string may begin or end inside a character. Columns
-    named in ``carry`` come along in a struct ``row``.
+    named in ``carry`` come along in a struct ``row``, with what is ``readable`` of the
+    kept bytes: all but cut characters.
     """
     if not 8 <= gram <= match < 2**15:
         raise ValueError("a gram has 8 bytes at least and fits into a match")
@@ -464,11 +465,17 @@ def remove_repeated_bytes(
                 "removed": pa.ListArray.from_arrays(pa.array(index, pa.int32()), spans),
             }
         )
-        return out.append_column("row", own.table["row"]) if carry else out
+        if not carry:
+            return out
+        readable = [raw[a:b].decode("utf-8", "ignore") for a, b in zip(kept, kept[1:], strict=False)]
+        return out.append_column("readable", pa.array(readable, pa.string())).append_column(
+            "row", own.table["row"]
+        )
 
     schema = SCHEMA
     if carry:
-        schema = T.StructType([*_parsed(docs, SCHEMA), texts.schema["row"]])
+        added = [T.StructField("readable", T.StringType()), texts.schema["row"]]
+        schema = T.StructType([*_parsed(docs, SCHEMA), *added])
     counts = texts.groupBy("block").applyInArrow(counted, MESSAGE)
     levels = sketch.merge(counts, levels=True)
     regions = by_block(texts, levels, sent, MESSAGE)
@@ -490,15 +497,10 @@ def without_repeated_bytes(
     A character cut by a removal goes whole. Rows of whose text nothing is kept go.
     """
     cleaned = remove_repeated_bytes(docs, id_col, text, match, carry=docs.columns)
-
-    @F.arrow_udf(T.StringType())
-    def readable(batch: pa.Array) -> pa.Array:
-        return pa.array([b.as_py().decode("utf-8", "ignore") for b in batch], pa.string())
-
-    kept = cleaned.select("row", readable(F.col("kept")).alias("kept")).where("kept <> ''")
+    kept = cleaned.where("readable <> ''")
     return kept.select(
         *[
-            (F.col("kept") if c == text else F.col("row")[c]).alias(c)
+            (F.col("readable") if c == text else F.col("row").getField(c)).alias(c)
             for c in docs.columns
         ]
     )
