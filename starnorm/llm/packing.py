@@ -138,7 +138,9 @@ def pack(
             F.col(id_col).alias("id"),
             F.xxhash64(F.col(id_col), F.col(text)).alias("_key"),
             cut.alias("_cut"),
-        ).select("id", "_key", F.inline("_cut")),
+            # Every text has a piece. From a plain inline Spark would infer a filter on the
+            # pieces, and evaluate them twice.
+        ).select("id", "_key", F.inline_outer("_cut")),
         "pieces",
     )
     counts = pieces.groupBy("length").count().collect()  # one row a length
