@@ -85,12 +85,11 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = pieces.encode(documents(spark, sf_dir))
-    return pieces.decode(coded).select(
+    return pieces.encode(documents(spark, sf_dir)).select(
         F.col("id").alias("doc_id"),
         F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_pieces"),
-        pieces.ids_crc32(F.col("ids")).alias("ids_crc32"),
-        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+        "ids_crc32",
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
 
 

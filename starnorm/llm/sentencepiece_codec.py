@@ -36,7 +36,9 @@ from pyspark.sql import types as T
 DEFAULT = "piece_bpe_32k.model"
 MARK = "▁"
 # Words in each of the two generations a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
+# Rows coded and handed on together.
+BATCH_ROWS = 1000
 # Longer words are encoded anew each time.
 LONG_WORD = 100
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -176,7 +178,8 @@ class Codec:
         words = _WORD.findall(MARK + text.replace(" ", MARK))
         return np.fromiter(chain.from_iterable(map(self.__getitem__, words)), np.int32)
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids) -> str:
+        ids = ids.tolist() if isinstance(ids, np.ndarray) else ids
         text = b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if text.startswith(" ") else text
 
@@ -199,54 +202,16 @@ def load(path: str, merges: bool = True) -> Codec:
     return Codec(pieces, scores, bytes_of, model.unk_id(), merges)
 
 
-def encoder(path: str | None = None, merges: bool = True):
-    """A function from a text column to its ids."""
-    path = path or default_path()
-
-    @F.arrow_udf("array<int>")
-    def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        codec = load(path, merges)
-        for batch in batches:
-            parts, sizes, missing = [], [], []
-            for text in batch:
-                value = text.as_py()
-                own = codec.encode(value or "")
-                parts.append(own)
-                sizes.append(own.size)
-                missing.append(value is None)
-            index = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
-            values = pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int32))
-            mask = pa.array(missing, pa.bool_())
-            yield pa.ListArray.from_arrays(index, values, mask=mask)
-
-    return ids
-
-
-def decoder(path: str | None = None):
-    """A function from a column of ids to the text they stand for."""
-    path = path or default_path()
+def _ids_array(parts: list[np.ndarray], missing: list[bool]) -> pa.Array:
+    index = np.concatenate([[0], np.cumsum([p.size for p in parts])])
+    values = pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int32), pa.int32())
+    return pa.ListArray.from_arrays(pa.array(index, pa.int32()), values, mask=pa.array(missing))
 
-    @F.arrow_udf("string")
-    def texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        codec = load(path)
-        for batch in batches:
-            yield pa.array(
-                [None if ids.as_py() is None else codec.decode(ids.as_py()) for ids in batch],
-                pa.string(),
-            )
 
-    return texts
-
-
-@F.arrow_udf(T.LongType())
-def ids_crc32(batch: pa.Array) -> pa.Array:
-    """CRC-32 of ids as little-endian unsigned 32-bit numbers; none count as no bytes."""
-    out = []
-    for ids in batch:
-        values = ids.values
-        known = values is not None
-        out.append(zlib.crc32(values.to_numpy().astype("<u4") if known else b""))
-    return pa.array(out, pa.int64())
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, BATCH_ROWS):
+            yield batch.slice(at, BATCH_ROWS)
 
 
 def encode(
@@ -256,10 +221,55 @@ def encode(
     path: str | None = None,
     merges: bool = True,
 ) -> DataFrame:
-    """(id, ids) per row; other columns are ignored."""
-    return docs.select(F.col(id_col).alias("id"), encoder(path, merges)(F.col(text)).alias("ids"))
+    """(id, ids, ids_crc32, decoded) per row; other columns are ignored.
 
+    ``ids_crc32`` is over the ids as little-endian unsigned 32-bit numbers, and
+    ``decoded`` is what they stand for. Encoding and decoding share a worker's codec.
+    """
+    path = path or default_path()
+
+    def coded(batches):
+        codec = load(path, merges)
+        for batch in _slices(batches):
+            texts = batch.column(1).to_pylist()
+            parts = [codec.encode(t or "") for t in texts]
+            missing = [t is None for t in texts]
+            decoded = [None if t is None else codec.decode(p) for t, p in zip(texts, parts, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    _ids_array(parts, missing),
+                    pa.array([zlib.crc32(p.astype("<u4").tobytes()) for p in parts], pa.int64()),
+                    pa.array(decoded, pa.string()),
+                ],
+                names=["id", "ids", "ids_crc32", "decoded"],
+            )
+
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
+    kept = rows.schema["id"]
+    fields = [
+        T.StructField("id", kept.dataType),
+        T.StructField("ids", T.ArrayType(T.IntegerType())),
+        T.StructField("ids_crc32", T.LongType()),
+        T.StructField("decoded", T.StringType()),
+    ]
+    return rows.mapInArrow(coded, T.StructType(fields))
+
+
+def decode(
+    encoded: DataFrame, id_col: str = "id", ids: str = "ids", path: str | None = None
+) -> DataFrame:
+    """(id, text) of rows with ids; null ids give a null text."""
+    path = path or default_path()
+
+    def texts(batches):
+        codec = load(path)
+        for batch in _slices(batches):
+            values = [None if i is None else codec.decode(i) for i in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(values, pa.string())], names=["id", "text"]
+            )
 
-def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
-    """(id, ids) -> (id, ids, text)."""
-    return encoded.select("id", "ids", decoder(path)(F.col("ids")).alias("text"))
+    rows = encoded.select(F.col(id_col).alias("id"), F.col(ids).alias("ids"))
+    fields = [rows.schema["id"], T.StructField("text", T.StringType())]
+    return rows.mapInArrow(texts, T.StructType(fields))
