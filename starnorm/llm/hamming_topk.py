@@ -218,9 +218,12 @@ def top_k(
     right = asked.select(
         F.explode(F.sequence(F.lit(0), F.lit(index_blocks - 1))).alias("i"), of_query, "query"
     )
+    # A task for each pair of blocks, however few bytes they have.
+    tasks = index_blocks * query_blocks
     found = (
-        left.groupBy("i", "q")
-        .cogroup(right.groupBy("i", "q"))
+        left.repartition(tasks, "i", "q")
+        .groupBy("i", "q")
+        .cogroup(right.repartition(tasks, "i", "q").groupBy("i", "q"))
         .applyInArrow(
             lambda index, wanted: _search_block(index, wanted, n_bits, k),
             "query binary, ids array<bigint>, distance int",

@@ -445,24 +445,27 @@ def keep_one_of_each_component(
     first = placed.groupBy("component").agg(
         F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "print")).alias("first")
     )
+    taken = docs.columns
+    i, fingerprint, stays, turn = (
+        unused_name(f"_{name}", taken) for name in ("id", "print", "stays", "turn")
+    )
     verdict = (
         placed.join(first, "component")
         .select(
-            F.col("id").alias("_id"),
-            F.col("print").alias("_print"),
+            F.col("id").alias(i),
+            F.col("print").alias(fingerprint),
             (F.col("id").eqNullSafe(F.col("first.id")) & (F.col("print") == F.col("first.print")))
-            .alias("_stays"),
+            .alias(stays),
         )
         .distinct()
     )
-    name = unused_name("_fingerprint", docs.columns)
-    keyed = docs.withColumn(name, F.xxhash64(F.col(text)))
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col(name) == F.col("_print"))
-    turn = F.row_number().over(Window.partitionBy(id_col, name).orderBy(F.lit(0)))
-    nth = unused_name("_turn", docs.columns)
+    own = unused_name("_own_print", taken)
+    keyed = docs.withColumn(own, F.xxhash64(F.col(text)))
+    same = F.col(id_col).cast("long").eqNullSafe(F.col(i)) & (F.col(own) == F.col(fingerprint))
+    nth = F.row_number().over(Window.partitionBy(id_col, own).orderBy(F.lit(0)))
     return (
         keyed.join(verdict, same, "left")
-        .withColumn(nth, F.when(F.col("_stays"), turn))
-        .where(F.col("_stays").isNull() | (F.col("_stays") & (F.col(nth) == 1)))
+        .withColumn(turn, F.when(F.col(stays), nth))
+        .where(F.col(stays).isNull() | (F.col(stays) & (F.col(turn) == 1)))
         .select(*[F.col(quoted(c)) for c in docs.columns])
     )
