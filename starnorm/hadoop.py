@@ -15,14 +15,19 @@ def delete_tree(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
-def move(spark: SparkSession, source: str, target: str) -> None:
-    """Rename ``source`` to ``target``, replacing whatever is there."""
-    source_path, fs = _path(spark, source)
-    target_path, _ = _path(spark, target)
-    fs.mkdirs(target_path.getParent())
-    fs.delete(target_path, True)
-    if not fs.rename(source_path, target_path):
-        raise OSError(f"could not rename {source} to {target}")
+def move_file(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file to ``target``; a file there is replaced in the same step."""
+    source_path, _ = _path(spark, source)
+    target_path, fs = _path(spark, target)
+    if fs.exists(target_path) and fs.getFileStatus(target_path).isDirectory():
+        fs.delete(target_path, True)
+    jvm = spark._jvm
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        fs.getUri(), spark._jsc.hadoopConfiguration()
+    )
+    context.rename(fs.makeQualified(source_path), fs.makeQualified(target_path), options)
 
 
 def part_files(spark: SparkSession, folder: str) -> list[str]:
@@ -37,9 +42,3 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     pattern, fs = _path(spark, path)
     found = fs.globStatus(pattern) or []
     return sum(fs.getContentSummary(status.getPath()).getLength() for status in found)
-
-
-def file_bytes(spark: SparkSession, path: str) -> int:
-    """Size of one file, its name taken as it is."""
-    file, fs = _path(spark, path)
-    return fs.getFileStatus(file).getLen()

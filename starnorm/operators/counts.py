@@ -51,13 +51,13 @@ def count_by_dimension(
 
 
 def with_share(grouped: DataFrame, n: str = "n", share: str = "share") -> DataFrame:
-    """Add each group's part of the total.
+    """Add each group's part of the total; null where the total is zero.
 
     The total is a scalar subquery over the grouped rows, so the groups themselves
     stay where they are.
     """
     total = grouped.agg(F.sum(n)).scalar()
-    return grouped.withColumn(share, F.col(n) / total)
+    return grouped.withColumn(share, F.try_divide(F.col(n), total))
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -8,8 +8,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from starnorm.operators.keys import common_type, in_type
 from starnorm.operators.lookup import lookup
 from starnorm.sizing import BROADCAST_BYTES
 from starnorm.staging import staged
@@ -27,15 +27,10 @@ class FkEdge:
 
 
 def _comparable(facts: DataFrame, fk: str, dim: DataFrame, dim_key: str) -> tuple[Column, Column]:
-    """Both columns in one type: integers as 64 bits, unlike kinds as text."""
+    """Both columns in the type in which plain equality compares them."""
     left, right = facts.schema[fk].dataType, dim.schema[dim_key].dataType
-    if left == right:
-        return F.col(fk), F.col(dim_key)
-    if isinstance(left, T.IntegralType) and isinstance(right, T.IntegralType):
-        return F.col(fk).cast("bigint"), F.col(dim_key).cast("bigint")
-    if isinstance(left, T.NumericType) and isinstance(right, T.NumericType):
-        return F.col(fk), F.col(dim_key)
-    return F.col(fk).cast("string"), F.col(dim_key).cast("string")
+    kind = common_type(left, right)
+    return in_type(F.col(fk), left, kind), in_type(F.col(dim_key), right, kind)
 
 
 def fk_check(
@@ -55,19 +50,20 @@ def fk_check(
     reuses the partitioning of the count.
     """
     fk_value, key_value = _comparable(facts, fk, dim, dim_key)
-    counts = facts.groupBy(fk_value.alias("__fk")).agg(F.count("*").alias("__rows"))
+    counts = facts.groupBy(fk_value.alias("__fk")).agg(
+        F.count("*").alias("__rows"), F.count_if(F.col(fk).isNull()).alias("__nulls")
+    )
     keys = dim.select(key_value.alias("__key")).distinct()
     joined = counts.join(keys, F.col("__fk") == F.col("__key"), "left")
-    is_null = F.col("__fk").isNull()
-    unmatched = F.col("__key").isNull()
-    if nullable:
-        unmatched &= ~is_null
+    # A key that is no value of the other's type is unmatched, but not null.
+    counted = F.col("__rows") - F.col("__nulls") if nullable else F.col("__rows")
 
-    def rows_where(condition: Column) -> Column:
-        return F.coalesce(F.sum(F.when(condition, F.col("__rows"))), F.lit(0))
+    def total(rows: Column) -> Column:
+        return F.coalesce(F.sum(rows), F.lit(0))
 
     report = joined.agg(
-        rows_where(is_null).alias("null_count"), rows_where(unmatched).alias("mismatch_count")
+        total(F.col("__nulls")).alias("null_count"),
+        total(F.when(F.col("__key").isNull(), counted)).alias("mismatch_count"),
     )
     return report.select(
         F.lit(dim_name).alias("dim_name"),
@@ -91,7 +87,7 @@ def fk_orphans(
     fk_value, key_value = _comparable(facts, fk, dim, dim_key)
     rows = facts.withColumn("__fk", fk_value)
     if nullable:
-        rows = rows.filter(F.col("__fk").isNotNull())
+        rows = rows.filter(F.col(fk).isNotNull())
     keys = dim.select(key_value.alias("__dim_key")).filter(F.col("__dim_key").isNotNull())
     keys = staged(keys.distinct().withColumn("__known", F.lit(True)), "dim-keys")
     found = lookup(

@@ -9,14 +9,15 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starnorm.operators.keys import common_type, in_type
 from starnorm.sizing import BROADCAST_BYTES, fits
 from starnorm.staging import staged
 
 # A key is hot when it holds more than one part in HOT_PARTS of the rows, so there
 # are fewer than HOT_PARTS hot keys however large the table is.
 HOT_PARTS = 20_000
-# Rows enough to recognise such keys: a hot one shows up over a thousand times.
-HOT_EVIDENCE = 25_000_000
+# Parts a hot key is split into where its row is too wide to broadcast.
+SALTS = 64
 
 
 def _matches(left: Sequence[str], right: Sequence[str], null_safe: bool) -> Column:
@@ -24,18 +25,10 @@ def _matches(left: Sequence[str], right: Sequence[str], null_safe: bool) -> Colu
     return reduce(and_, (a.eqNullSafe(b) if null_safe else a == b for a, b in pairs))
 
 
-def _hot_keys(source: DataFrame, on: Sequence[str]) -> DataFrame:
-    """The keys that hold an outsized share of the rows of ``source``.
-
-    Beyond HOT_EVIDENCE rows the shares are estimated from that many. The choice
-    only decides which route a row takes, never whether it is in the result.
-    """
+def _hot_keys(source: DataFrame, keys: Sequence[Column]) -> DataFrame:
+    """The keys that hold an outsized share of the rows of ``source``, counted exactly."""
     total = source.count()
-    seen = source.select(*on)
-    if total > HOT_EVIDENCE:
-        seen = seen.sample(HOT_EVIDENCE / total, seed=0)
-        total = HOT_EVIDENCE
-    counts = seen.groupBy(*[F.col(c).alias(f"__on{i}") for i, c in enumerate(on)]).count()
+    counts = source.groupBy(*[c.alias(f"__on{i}") for i, c in enumerate(keys)]).count()
     return counts.filter(F.col("count") * HOT_PARTS > total).drop("count")
 
 
@@ -58,10 +51,14 @@ def lookup(
     ``table``. Rows without a partner get nulls; a null key has no partner unless
     ``null_safe``.
 
+    Keys of unlike types are brought into one type first, whatever way the join goes;
+    kinds that do not compare raise.
+
     A table measured to fit ``broadcast_bytes`` is broadcast and ``facts`` does not
     move. Beyond that both sides are shuffled on the key, except that the few hot
     keys are served from a small broadcast and their rows, like those with a null
-    key, are spread evenly instead of meeting in one task.
+    key, are spread evenly instead of meeting in one task. Hot keys whose columns are
+    too wide for that are split on both sides instead.
 
     ``row_count`` names a column of ``table`` with the fact rows per key, if known;
     ``small`` is the outcome of an earlier measurement of the same columns.
@@ -69,11 +66,19 @@ def lookup(
     to count. ``spread_by`` names the fact columns the spreading hashes (default: all
     but the join columns).
     """
-    on_columns = list(on)
+    on_columns = [f"__fk{i}" for i in range(len(on))]
     keys = [f"__key{i}" for i in range(len(on))]
+    left_types = [facts.schema[c].dataType for c in on]
+    right_types = [table.schema[c].dataType for c in on.values()]
+    kinds = [common_type(a, b) for a, b in zip(left_types, right_types, strict=True)]
+    fact_keys = [in_type(F.col(c), t, k) for c, t, k in zip(on, left_types, kinds, strict=True)]
+    keyed = facts.withColumns(dict(zip(on_columns, fact_keys, strict=True)))
     extra = [F.col(row_count).alias("__rows")] if row_count else []
     right = table.select(
-        *[F.col(c).alias(k) for k, c in zip(keys, on.values(), strict=True)],
+        *[
+            in_type(F.col(c), t, k).alias(name)
+            for name, c, t, k in zip(keys, on.values(), right_types, kinds, strict=True)
+        ],
         *[F.col(c).alias(f"__take{i}") for i, c in enumerate(take.values())],
         *extra,
     )
@@ -84,7 +89,7 @@ def lookup(
     if small is None:
         small = fits(partners, broadcast_bytes)
     if small:
-        joined = facts.join(F.broadcast(partners), matched, "left")
+        joined = keyed.join(F.broadcast(partners), matched, "left")
         return joined.select(
             *facts.columns, *[F.col(t).alias(n) for t, n in zip(taken, take, strict=True)]
         )
@@ -93,7 +98,7 @@ def lookup(
         total = right.agg(F.sum("__rows").alias("n")).first()["n"] or 0
         hot = right.filter(F.col("__rows") * HOT_PARTS > total)
     else:
-        heavy = _hot_keys(facts if source is None else source, on_columns)
+        heavy = _hot_keys(facts if source is None else source, fact_keys)
         same_key = _matches(heavy.columns, keys, null_safe)
         hot = right.join(F.broadcast(heavy), same_key, "left_semi")
     hot = staged(
@@ -103,12 +108,16 @@ def lookup(
         "hot-keys",
     )
     hot_matched = _matches(on_columns, [f"__hot{k}" for k in keys], null_safe)
-    if fits(hot, max(broadcast_bytes, BROADCAST_BYTES)):
-        facts_hot = facts.join(F.broadcast(hot), hot_matched, "left")
-    else:
-        # Keys too wide to broadcast: leave the skew to the run-time split of AQE.
-        none = [F.lit(None).cast(f.dataType).alias(f.name) for f in hot.schema]
-        facts_hot = facts.select("*", *none)
+    # The input partition keeps exact copies of a row apart; both parts of the seed
+    # are the same when a lost task runs again.
+    seed = spread_by or [c for c in facts.columns if c not in on] or facts.columns
+    spread = F.xxhash64(F.spark_partition_id(), *seed)
+    if not fits(hot, max(broadcast_bytes, BROADCAST_BYTES)):
+        joined = _salted(keyed, partners, hot, on_columns, keys, matched, spread, null_safe)
+        return joined.select(
+            *facts.columns, *[F.col(t).alias(n) for t, n in zip(taken, take, strict=True)]
+        )
+    facts_hot = keyed.join(F.broadcast(hot), hot_matched, "left")
 
     # Rows are shuffled and sorted on a slot, the hash of their key. Rows that are
     # served already, or have no partner, take a slot of their own instead. Should
@@ -116,20 +125,11 @@ def lookup(
     served = F.col("__hot").isNotNull()
     if not null_safe:
         served = reduce(or_, (F.col(c).isNull() for c in on_columns), served)
-    seed = spread_by or [c for c in facts.columns if c not in on] or facts.columns
-    # The input partition keeps exact copies of a row apart; both parts of the seed
-    # are the same when a lost task runs again.
-    spread = F.xxhash64(F.spark_partition_id(), *seed)
-    in_type_of_key = [
-        F.col(c).try_cast(partners.schema[k].dataType)
-        if facts.schema[c].dataType != partners.schema[k].dataType
-        else F.col(c)
-        for c, k in zip(on_columns, keys, strict=True)
-    ]
     facts_slots = facts_hot.withColumn(
-        "__slot", F.when(served, spread).otherwise(F.xxhash64(*in_type_of_key))
+        "__slot", F.when(served, spread).otherwise(F.xxhash64(*on_columns))
     )
-    cold = partners.withColumn("__key_slot", F.xxhash64(*keys))
+    # Measured as too large: no later guess of its size should broadcast it after all.
+    cold = partners.withColumn("__key_slot", F.xxhash64(*keys)).hint("merge")
     joined = facts_slots.join(cold, (F.col("__slot") == F.col("__key_slot")) & matched, "left")
     return joined.select(
         *facts.columns,
@@ -138,3 +138,46 @@ def lookup(
             for t, n in zip(taken, take, strict=True)
         ],
     )
+
+
+def _salted(
+    keyed: DataFrame,
+    partners: DataFrame,
+    hot: DataFrame,
+    on_columns: Sequence[str],
+    keys: Sequence[str],
+    matched: Column,
+    spread: Column,
+    null_safe: bool,
+) -> DataFrame:
+    """Join on slots, the rows of a hot key dealt over ``SALTS`` of them.
+
+    Only hashes of the hot keys are broadcast, eight bytes each. A key that shares its
+    hash with a hot one is split along with it.
+    """
+    hashes = hot.select(F.xxhash64(*[f"__hot{k}" for k in keys]).alias("__hot_hash")).distinct()
+    hashes = F.broadcast(hashes)
+    salt = F.pmod(spread, F.lit(SALTS))
+    is_hot = F.col("__hot_hash").isNotNull()
+    slot = F.when(is_hot, F.xxhash64(*on_columns, salt)).otherwise(F.xxhash64(*on_columns))
+    if not null_safe:
+        no_key = reduce(or_, (F.col(c).isNull() for c in on_columns))
+        slot = F.when(no_key, spread).otherwise(slot)
+    left = (
+        keyed.withColumn("__hash", F.xxhash64(*on_columns))
+        .join(hashes, F.col("__hash") == F.col("__hot_hash"), "left")
+        .withColumn("__slot", slot)
+        .drop("__hash", "__hot_hash")
+    )
+    every_salt = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
+    right = (
+        partners.withColumn("__hash", F.xxhash64(*keys))
+        .join(hashes, F.col("__hash") == F.col("__hot_hash"), "left")
+        .withColumn("__salt", F.explode(F.when(is_hot, every_salt).otherwise(F.array(F.lit(-1).cast("long")))))
+        .withColumn(
+            "__key_slot",
+            F.when(is_hot, F.xxhash64(*keys, F.col("__salt"))).otherwise(F.col("__hash")),
+        )
+        .drop("__hash", "__hot_hash", "__salt")
+    )
+    return left.join(right, (F.col("__slot") == F.col("__key_slot")) & matched, "left")

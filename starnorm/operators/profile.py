@@ -4,11 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def _as_text(df: DataFrame, name: str) -> Column:
+    """A text that differs exactly where the values differ."""
+    kind, column = df.schema[name].dataType, F.col(name)
+    if isinstance(kind, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+        raise ValueError(f"{name}: nested values have no text that tells them apart")
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        # Adding zero makes the two zeros of floating point one value, as grouping does.
+        column = column + F.lit(0.0)
+    elif isinstance(kind, T.TimestampType):
+        # Two instants of a repeated autumn hour read alike in local time.
+        column = F.unix_micros(column)
+    elif isinstance(kind, T.BinaryType):
+        column = F.hex(column)
+    return column.cast("string")
+
+
 def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Per column: distinct values, null counting as one, and null rows.
 
@@ -17,14 +33,7 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     row is widened as it would be by several distinct counts side by side.
     """
     names = list(columns or df.columns)
-    # Adding zero makes the two zeros of floating point one value, as grouping does.
-    floats = (T.DoubleType, T.FloatType)
-    values = [
-        (F.col(c) + F.lit(0.0) if isinstance(df.schema[c].dataType, floats) else F.col(c))
-        .cast("string")
-        .alias(c)
-        for c in names
-    ]
+    values = [_as_text(df, c).alias(c) for c in names]
     pairs = df.select(*values).unpivot([], names, "column_name", "value")
     counted = pairs.groupBy("column_name", "value").agg(F.count("*").alias("rows"))
     return counted.groupBy("column_name").agg(

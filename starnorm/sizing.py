@@ -2,21 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from urllib.parse import unquote
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starnorm.hadoop import file_bytes
-
 BROADCAST_BYTES = 32 * 1024 * 1024
-# One reducer's share of a shuffle, and the reducers a shuffle may have at most.
+# One reducer's share of a shuffle.
 SHUFFLE_BYTES = 128 * 1024 * 1024
-SHUFFLE_PARTITIONS = 100_000
-# What one task reads; input with less than this per core leaves cores idle.
-SPLIT_BYTES = 256 * 1024 * 1024
 
 _VARIABLE = (T.StringType, T.BinaryType)
 _NESTED = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
@@ -50,24 +42,6 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     A number the session was given explicitly is left alone if it is larger.
     """
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(SHUFFLE_PARTITIONS, -(-input_bytes // SHUFFLE_BYTES))
-    chosen = max(current, wanted)
+    chosen = max(current, -(-input_bytes // SHUFFLE_BYTES))
     spark.conf.set("spark.sql.shuffle.partitions", str(chosen))
     return chosen
-
-
-def spread_small_input(df: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Use every core on an input of few, small files.
-
-    Such files may hold a single row group or be compressed as a whole, and one task
-    would do all the work. Input worth a split per core is left as it is: moving it
-    would cost more than it gains.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    if not files or len(files) > 4 * cores:
-        return df
-    if sum(file_bytes(spark, unquote(f)) for f in files) >= cores * SPLIT_BYTES:
-        return df
-    return df.repartition(cores, *by)

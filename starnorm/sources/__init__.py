@@ -1,10 +1,18 @@
 """Readers of flat input and of written stars."""
 
-from starnorm.sources.csv import STAR_TIMESTAMP, from_rows, preview, read_flat, read_star_csv
+from starnorm.sources.csv import (
+    STAR_TIMESTAMP,
+    count_malformed,
+    from_rows,
+    preview,
+    read_flat,
+    read_star_csv,
+)
 from starnorm.sources.parquet import read_star_parquet
 
 __all__ = [
     "STAR_TIMESTAMP",
+    "count_malformed",
     "from_rows",
     "preview",
     "read_flat",

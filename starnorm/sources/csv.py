@@ -5,24 +5,63 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Fixed value: timestamp pattern of the exported tables.
-STAR_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSXXX"
+# Fixed value: timestamp pattern of the exported tables, with or without a fraction.
+STAR_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]XXX"
+LOCAL_STAR_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]"
+# Quotes are doubled inside text. No field equals the null mark, so an empty field is
+# null and two quotes are an empty text.
+_DIALECT = {"header": True, "escape": '"', "nullValue": "\ue000", "emptyValue": ""}
+_CORRUPT = "_corrupt_record"
+
+
+def _bound(
+    spark: SparkSession, path: str, schema: T.StructType, options: Mapping[str, object]
+) -> T.StructType:
+    """``schema`` in the order of the file's header; other columns of the file as text."""
+    header = spark.read.options(**options).csv(path).columns
+    missing = [name for name in schema.fieldNames() if name not in header]
+    if missing:
+        raise ValueError(f"{path}: no column named {', '.join(missing)}")
+    known = set(schema.fieldNames())
+    return T.StructType([schema[n] if n in known else T.StructField(n, T.StringType()) for n in header])
+
+
+def _read(spark: SparkSession, path: str, schema: T.StructType, options: Mapping[str, object]):
+    bound = _bound(spark, path, schema, options)
+    # Spark compares the header of every further file with this order.
+    reader = spark.read.options(**options).option("enforceSchema", False)
+    return reader.schema(bound).csv(path).select(*schema.fieldNames())
 
 
 def read_flat(
     spark: SparkSession, path: str, schema: T.StructType | None = None, **options: str
 ) -> DataFrame:
-    """Read flat records.
+    """Read flat records; columns are found by the names in the header.
 
-    With a schema the scan is lazy and text such as a zip code with a leading zero
-    stays as it is. Without one Spark reads the input once more to infer types.
+    With a schema the scan is lazy, text such as a zip code with a leading zero stays
+    as it is, further columns are ignored and a missing one raises. Without one Spark
+    reads the input once more to infer types. Values that do not parse become null;
+    ``mode="FAILFAST"`` raises instead, and ``count_malformed`` counts their rows.
     """
-    reader = spark.read.option("header", True).options(**options)
+    chosen = {**_DIALECT, **options}
     if schema is None:
-        return reader.option("inferSchema", True).csv(path)
-    return reader.schema(schema).csv(path)
+        return spark.read.options(**chosen).option("inferSchema", True).csv(path)
+    return _read(spark, path, schema, chosen)
+
+
+def count_malformed(
+    spark: SparkSession, path: str, schema: T.StructType, **options: str
+) -> int:
+    """Rows with a value that does not parse as its column's type."""
+    chosen = {**_DIALECT, **options, "columnNameOfCorruptRecord": _CORRUPT}
+    bound = _bound(spark, path, schema, chosen).add(_CORRUPT, T.StringType())
+    rows = spark.read.options(**chosen).schema(bound).csv(path)
+    # Naming all columns makes Spark parse them all.
+    whole = [F.count(c) for c in schema.fieldNames()]
+    return rows.agg(F.count_if(F.col(_CORRUPT).isNotNull()).alias("bad"), *whole).first()["bad"]
 
 
 def read_star_csv(
@@ -32,10 +71,20 @@ def read_star_csv(
     *,
     timestamp_format: str = STAR_TIMESTAMP,
 ) -> dict[str, DataFrame]:
-    """Typed scans of ``<folder>/<table>.csv``, one file or a folder of parts each."""
-    reader = spark.read.options(header=True, encoding="UTF-8", timestampFormat=timestamp_format)
+    """Typed scans of ``<folder>/<table>.csv``, one file or a folder of parts each.
+
+    Line breaks inside quotes are part of the text.
+    """
+    options = {
+        **_DIALECT,
+        "encoding": "UTF-8",
+        "multiLine": True,
+        "timestampFormat": timestamp_format,
+        "timestampNTZFormat": LOCAL_STAR_TIMESTAMP,
+    }
     return {
-        name: reader.schema(schema).csv(f"{folder}/{name}.csv") for name, schema in schemas.items()
+        name: _read(spark, f"{folder}/{name}.csv", schema, options)
+        for name, schema in schemas.items()
     }
 
 

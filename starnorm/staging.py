@@ -7,6 +7,7 @@ recomputed frame offers.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -20,13 +21,13 @@ _LOCAL_FOLDERS: dict[str, str] = {}
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local master, which has no second machine, may fall back to a
-    temporary folder.
+    Only a local master within one process, which has no second machine, may fall
+    back to a temporary folder.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not (spark.conf.get("spark.master", None) or "").startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", None) or ""):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     app = spark.conf.get("spark.app.id")
     if app not in _LOCAL_FOLDERS:

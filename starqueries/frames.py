@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from starnorm.operators import FkEdge, JoinEdge, star_join
 from starnorm.plans.spec import FactSpec, KeyedDim, NaturalDim, StarSpec, StatusDim
-from starnorm.sizing import spread_small_input
 
 GRAIN = ("l_orderkey", "l_linenumber")
 CUTOFF = "2001-07-20 00:00:00"
@@ -63,7 +62,6 @@ def flat(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     needed += [c for _, sources in derived.values() for c in sources]
     needed = list(dict.fromkeys(needed))
     tables = {name: table(spark, sf_dir, name) for name in _OWNERS.values()}
-    tables["lineitem"] = spread_small_input(tables["lineitem"], GRAIN)
     wide = star_join(
         tables,
         "lineitem",

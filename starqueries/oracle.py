@@ -171,6 +171,8 @@ LEFT JOIN second s ON {condition}"""
 
 ORACLE: dict[str, str] = {
     "scan_csv": "SELECT * FROM orders",
+    "scan_csv_reordered": "SELECT * FROM orders",
+    "csv_text_roundtrip": "SELECT doc_id, text FROM documents",
     "scan_csv_inferred": "SELECT * FROM customer",
     "scan_star_csv": """
 SELECT o_orderkey, o_orderdate, o_totalprice, c_name, n_name

@@ -67,6 +67,25 @@ def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_flat(spark, path, orders.schema)
 
 
+@query
+def scan_csv_reordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file whose columns stand in another order than the schema's, one of them unknown."""
+    orders = table(spark, sf_dir, "orders")
+    path = staging_path(spark, "scan-csv")
+    backwards = orders.select(*reversed(orders.columns), F.lit("?").alias("further"))
+    backwards.write.option("header", True).csv(path)
+    return read_flat(spark, path, orders.schema)
+
+
+@query
+def csv_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with line breaks, quotes and spaces, written and read with the defaults."""
+    texts = table(spark, sf_dir, "documents").select("doc_id", "text")
+    folder = staging_path(spark, "csv-text")
+    write_csv(texts, folder, "documents")
+    return read_star_csv(spark, folder, {"documents": texts.schema})["documents"]
+
+
 @query
 def scan_csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
@@ -84,7 +103,7 @@ def scan_star_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
         frame = table(spark, sf_dir, name)
         stamps = [f.name for f in frame.schema if isinstance(f.dataType, T.TimestampNTZType)]
         frame = frame.withColumns({c: F.col(c).cast("timestamp") for c in stamps})
-        write_csv(frame, folder, name, timestamps="ms")
+        write_csv(frame, folder, name)
         schemas[name] = frame.schema
     star = read_star_csv(spark, folder, schemas)
     wide = star_join(
@@ -105,7 +124,7 @@ def scan_star_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def sink_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
-    path = write_csv(customer, staging_path(spark, "sink-csv"), "customer")
+    path = write_csv(customer, staging_path(spark, "sink-csv"), "customer", layout="single")
     return read_flat(spark, path, customer.schema)
 
 
@@ -113,7 +132,7 @@ def sink_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sink_csv_parts_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = table(spark, sf_dir, "lineitem")
     folder = staging_path(spark, "sink-csv")
-    path = write_csv(lineitem, folder, "lineitem", single_file_bytes=0)
+    path = write_csv(lineitem, folder, "lineitem")
     return read_flat(spark, path, lineitem.schema)
 
 
@@ -525,7 +544,7 @@ def _dimension(name: str) -> Query:
 
 
 def _worksheet(question: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
-    return lambda spark, sf_dir: question(visits.tables(spark, sf_dir))
+    return lambda spark, sf_dir: question(visits.stored_star(spark, sf_dir))
 
 
 QUERIES |= {f"visits_{_snake(d.name)}": _dimension(d.name) for d in VISIT_STAR.dims}

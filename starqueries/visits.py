@@ -16,7 +16,10 @@ from starnorm.plans import visits as plan
 from starnorm.plans.normalize import normalize
 from starnorm.plans.spec import NaturalDim, StatusDim
 from starnorm.plans.visits import STAR
-from starnorm.staging import staged
+from starnorm.hadoop import stored_bytes
+from starnorm.sinks import write_parquet
+from starnorm.sources import read_star_parquet
+from starnorm.staging import staged, staging_path
 from starqueries.frames import flat
 
 # Every visit column as an expression over an order line and what surrounds it, in
@@ -120,6 +123,26 @@ def stored_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return normalize(visits(spark, sf_dir), STAR, keep=staged, stage_input=True)
 
 
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def stored_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The star as Parquet, written by the first query of a session that asks for it."""
+    key = spark.sparkContext.applicationId, sf_dir
+    folder = _STORED.get(key)
+    if folder is None or not stored_bytes(spark, folder):
+        folder = staging_path(spark, "visit-star")
+
+        def keep(table: DataFrame, name: str) -> DataFrame:
+            write_parquet(table, folder, name)
+            return spark.read.schema(table.schema).parquet(f"{folder}/{name}")
+
+        normalize(visits(spark, sf_dir), STAR, keep=keep, stage_input=True)
+        _STORED[key] = folder
+    names = [*(dim.name for dim in STAR.dims), STAR.fact.name]
+    return read_star_parquet(spark, folder, names)
+
+
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables(spark, sf_dir)[STAR.fact.name]
 

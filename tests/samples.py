@@ -1,77 +1,58 @@
-"""Two visits by two patients, enough to build every table of the star."""
+"""Visits made from their number, with the cases a star has to cope with."""
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
-SHARED = {
-    "patient_address_line1": "7 Harbour Road",
-    "patient_city": "Eastport",
-    "patient_state": "ME",
-    "patient_zip": "01234",
-    "patient_phone": "207-0000",
-    "patient_email": "someone@example.com",
-    "insurance_policy_number": "P-77",
-    "insurance_group_number": "G-5",
-    "billing_total_charge": 240.5,
-    "billing_amount_paid": 200.25,
-    "billing_date": "2024-06-01",
-    "billing_payment_status": "Pending",
-    "primary_diagnosis_code": "DX10",
-    "primary_diagnosis_desc": "Sprain",
-    "treatment_code": "TR3",
-    "treatment_desc": "Rest",
-    "prescription_id": "RX9",
-    "prescription_drug_name": "Ibuprofen",
-    "prescription_dosage": "200mg",
-    "prescription_frequency": "Three a day",
-    "prescription_duration_days": 5.0,
-    "lab_order_id": "LB4",
-    "lab_test_code": "CBC",
-    "lab_name": "Blood count, complete",
-    "lab_result_value": 4.75,
-    "lab_result_units": "M/uL",
-    "lab_result_date": datetime(2024, 5, 14, 8, 30, 0, 824916),
-}
+from starnorm.functions.activity import CUTOFF
+from starnorm.plans.visits import FLAT_SCHEMA
 
+FIRST_DAY = datetime(2022, 3, 1, 6, 30, 15, 120034)
+ON_THE_CUTOFF = datetime.fromisoformat(CUTOFF)
 
-def visit(number: int, patient: str, when: datetime, **fields) -> dict:
-    """A visit; the ids of a patient's insurance follow the patient's."""
-    suffix = patient.removeprefix("P")
-    row = {
-        **SHARED,
-        "visit_id": f"V{number:03d}",
-        "visit_datetime": when,
-        "visit_type": "Follow-up",
-        "patient_id": patient,
-        "patient_first_name": f"First{suffix}",
-        "patient_last_name": f"Last{suffix}",
-        "patient_date_of_birth": date(1980, 1, 1),
-        "patient_gender": "F" if int(suffix) % 2 else "M",
-        "insurance_id": f"I{suffix}",
-        "insurance_payer_name": "Northern Mutual",
-        "insurance_plan_type": "PPO",
-        "billing_id": f"B{number}",
-        "doctor_name": "Ada Okafor",
-        "doctor_title": "GP",
-        "doctor_department": "Orthopaedics",
-        "clinic_name": "Harbour Clinic",
-        "room_number": 12,
+
+def visit(number: int, **changes) -> dict:
+    """Visit ``number``: every text field says whose it is, every other follows the number.
+
+    Three patients and three clinics take turns; insurance, billing and the rest go
+    with them. Secondary diagnoses are rare.
+    """
+    turn = number % 3
+    row = {}
+    for field in FLAT_SCHEMA:
+        kind = field.dataType.typeName()
+        if kind == "string":
+            row[field.name] = f"{field.name}-{turn}"
+        elif kind == "double":
+            row[field.name] = turn + 0.25
+        elif kind == "integer":
+            row[field.name] = 100 + turn
+        elif kind == "date":
+            row[field.name] = date(1960 + turn, 2, 28)
+        else:
+            row[field.name] = FIRST_DAY + timedelta(days=turn)
+    row |= {
+        "visit_id": f"visit-{number}",
+        "visit_datetime": FIRST_DAY + timedelta(days=40 * number, hours=number),
+        "patient_zip": f"0{number % 3}042",
+        "secondary_diagnosis_code": None,
+        "secondary_diagnosis_desc": None,
     }
-    return {**row, **fields}
+    return {**row, **changes}
 
 
-TWO_VISITS = [
-    visit(1, "P1", datetime(2024, 5, 14, 8, 5, 0)),
-    visit(
-        2,
-        "P2",
-        datetime(2020, 11, 30, 17, 45, 0),
-        visit_type="Routine",
-        doctor_name="Bela Szabo",
-        doctor_title="RN",
-        doctor_department="Emergency",
-        clinic_name="Hill Clinic",
-        room_number=34,
-    ),
+# A clinic nearly everybody goes to, and one visit elsewhere.
+_HOT = {"clinic_name": "everyone, here", "room_number": 7}
+VISITS = [
+    visit(0, **_HOT),
+    visit(1, **_HOT, patient_id="long ago", visit_datetime=ON_THE_CUTOFF),
+    visit(2, **_HOT, patient_id="long ago", visit_datetime=ON_THE_CUTOFF - timedelta(days=9)),
+    visit(3, **_HOT, patient_id="just after", visit_datetime=ON_THE_CUTOFF + timedelta(seconds=1)),
+    # A null part of a natural key, and a null key that has attributes.
+    visit(4, **_HOT, doctor_title=None, lab_order_id=None),
+    visit(5, secondary_diagnosis_code="rare", secondary_diagnosis_desc=None),
+    # No lab order and no prescription at all.
+    visit(6, **_HOT, **{n: None for n in FLAT_SCHEMA.names if n.startswith(("lab_", "prescription_"))}),
 ]
+# The same visit twice, apart from what it cost.
+TWICE = [*VISITS, {**VISITS[0], "billing_id": "billed again"}]

@@ -1,6 +1,7 @@
 """Plans and placement: what must hold for the operators to work on large data."""
 
 import re
+import sys
 
 import pytest
 from compare import plan
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from starnorm.operators import (
     Attach,
     attach_keys,
+    column_profile,
     count_by_dimension,
     dense_key,
     fk_check,
@@ -18,9 +20,10 @@ from starnorm.operators import (
     one_row_per_key,
     row_counts,
     status_dim,
+    with_share,
 )
 from starnorm.plans.normalize import normalize
-from starnorm.sizing import fits, size_shuffles, spread_small_input
+from starnorm.sizing import fits, size_shuffles
 from starqueries.frames import STAR, star_input, table
 from starqueries.spark import QUERIES
 
@@ -93,18 +96,78 @@ def test_copies_of_one_row_are_spread(spark, settings):
     assert largest_share(found) < 0.3
 
 
-def test_sampled_hot_keys_leave_the_result_whole(spark, monkeypatch, skewed):
-    import sys
-
+def test_wide_hot_keys_are_salted(spark, monkeypatch, settings, skewed):
+    settings(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__enabled="false",
+        spark__sql__shuffle__partitions="16",
+    )
     module = sys.modules["starnorm.operators.lookup"]
-    monkeypatch.setattr(module, "HOT_EVIDENCE", 1_000)
+    monkeypatch.setattr(module, "BROADCAST_BYTES", 0)
     monkeypatch.setattr(module, "HOT_PARTS", 100)
     dim = natural_dim(skewed, ["k"], "key", drop_all_null=True)
-    whole = lookup(skewed, dim, {"k": "k"}, {"key": "key"})
+    whole = lookup(skewed, dim, {"k": "k"}, {"key": "key"}, broadcast_bytes=1 << 30)
     split = lookup(skewed, dim, {"k": "k"}, {"key": "key"}, broadcast_bytes=0)
+    assert largest_share(split) < 0.2
     assert whole.exceptAll(split).count() == split.exceptAll(whole).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("fact", "key", "matches"),
+    [
+        ("int", "bigint", 40_000),
+        ("int", "double", 40_000),
+        ("double", "decimal(12,2)", 40_000),
+        ("decimal(10,0)", "bigint", 40_000),
+        ("int", "string", 40_000),
+        ("double", "string", 40_000),
+        ("date", "timestamp", 40_000),
+        ("timestamp", "timestamp_ntz", 40_000),
+    ],
+)
+def test_lookup_is_the_same_at_any_size(spark, settings, fact, key, matches):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    stamp = "date" in fact or "time" in fact
+
+    def typed(kind):
+        if stamp:
+            return F.date_add(F.lit("1900-01-01").cast("date"), F.col("id").cast("int")).cast(kind)
+        text = F.lpad(F.col("id").cast("string"), 9, "0")
+        return text if kind == "string" else F.col("id").cast(kind)
+
+    facts = spark.range(60_000).select("id", typed(fact).alias("k"))
+    table = spark.range(40_000).select(typed(key).alias("key"), F.col("id").alias("v"))
+    found = [
+        lookup(facts, table, {"k": "key"}, {"v": "v"}, broadcast_bytes=limit)
+        for limit in (0, 1 << 30)
+    ]
+    assert "SortMergeJoin" in plan(found[0])
+    assert [f.filter("v = id").count() for f in found] == [matches, matches]
+    assert [f.filter("v IS NULL").count() for f in found] == [60_000 - matches] * 2
+    check = fk_check(facts, table, "k", "key", "table").first()
+    assert check.mismatch_count == 60_000 - matches and check.null_count == 0
+
+
+def test_kinds_that_do_not_compare_are_refused(spark):
+    facts = spark.createDataFrame([(1,)], "k int")
+    table = spark.createDataFrame([], "key date")
+    with pytest.raises(ValueError, match="do not compare"):
+        lookup(facts, table, {"k": "key"}, {"v": "key"})
+
+
+def test_share_of_nothing_is_null(spark):
+    grouped = spark.createDataFrame([("a", 0)], "g string, n long")
+    assert with_share(grouped).first().share is None
+
+
+def test_profile_tells_instants_apart(spark, settings):
+    settings(spark__sql__session__timeZone="America/New_York")
+    stamps = spark.sql("SELECT explode(array(timestamp_seconds(1730611800), timestamp_seconds(1730615400))) AS t")
+    assert column_profile(stamps).first().n_distinct == 2
+    with pytest.raises(ValueError, match="nested"):
+        column_profile(spark.createDataFrame([(["a"],)], "a array<string>"))
+
+
 def test_broadcast_follows_measured_size(spark, settings, skewed):
     settings(spark__sql__autoBroadcastJoinThreshold="-1")
     dim = natural_dim(skewed, ["k"], "key")
@@ -215,17 +278,5 @@ def test_shuffles_grow_with_the_input(spark, settings):
     settings(spark__sql__shuffle__partitions="8")
     assert size_shuffles(spark, 1000) == 8
     assert size_shuffles(spark, 10**12) == 7451
-    assert size_shuffles(spark, 10**14) == 100_000
-    assert spark.conf.get("spark.sql.shuffle.partitions") == "100000"
-
-
-def test_small_input_uses_every_core(spark, monkeypatch):
-    lines = table(spark, SF_DIR, "lineitem")
-    spread = spread_small_input(lines, ["l_orderkey"])
-    assert "hashpartitioning(l_orderkey" in plan(spread)
-    assert spread.exceptAll(lines).count() == 0
-    # Large input, and input that comes from no file, stays where it is.
-    monkeypatch.setattr("starnorm.sizing.SPLIT_BYTES", 1)
-    assert spread_small_input(lines, ["l_orderkey"]) is lines
-    rows = spark.range(3)
-    assert spread_small_input(rows, ["id"]) is rows
+    assert size_shuffles(spark, 10**14) == 745_059
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "745059"
