@@ -7,7 +7,7 @@ from starnorm.operators.dimensions import keyed_dim, last_activity, natural_dim,
 from starnorm.operators.fact import Attach, attach_keys, build_fact
 from starnorm.operators.integrity import FkEdge, fk_check, fk_orphans, fk_suite
 from starnorm.operators.lookup import lookup
-from starnorm.operators.profile import approximate_profile, column_profile
+from starnorm.operators.profile import approximate_profile, column_profile, profile_tables
 from starnorm.operators.star_join import JoinEdge, star_join
 
 __all__ = [
@@ -18,6 +18,7 @@ __all__ = [
     "attach_keys",
     "build_fact",
     "column_profile",
+    "profile_tables",
     "count_by",
     "count_by_dimension",
     "dense_key",

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,6 +45,15 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     )
 
 
+def profile_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """:func:`column_profile` of every table, with its name."""
+    profiles = [
+        column_profile(df).select(F.lit(name).alias("table_name"), "*")
+        for name, df in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, profiles)
+
+
 def approximate_profile(
     df: DataFrame, columns: Sequence[str] | None = None, rsd: float = 0.05
 ) -> DataFrame:

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import ExitStack
+from contextvars import copy_context
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
+from starnorm.hadoop import stored_bytes
 from starnorm.operators.dimensions import keyed_dim, natural_dim, status_dim
 from starnorm.operators.fact import Attach, build_fact
 from starnorm.plans.spec import KeyedDim, NaturalDim, StarSpec, StatusDim
-from starnorm.sizing import BROADCAST_BYTES, fits
-from starnorm.staging import staged
+from starnorm.sizing import BROADCAST_BYTES, fits, sized_shuffles
+from starnorm.staging import lasting, scratch, write_staged
 
 ROW_COUNT = "__rows"
 Dim = KeyedDim | StatusDim | NaturalDim
@@ -58,51 +61,82 @@ def normalize(
     flat: DataFrame,
     spec: StarSpec,
     *,
+    only: Collection[str] | None = None,
     keep: Callable[[DataFrame, str], DataFrame] = _lazy,
     stage_input: bool = False,
     side_by_side: int = 8,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> dict[str, DataFrame]:
-    """All dimensions of ``spec`` in order, then the fact.
+    """The dimensions of ``spec`` in order, then the fact.
+
+    ``only`` names the tables to build; no other is computed, but for the dimensions
+    that number keys of the fact, and no other column of ``flat`` is read or staged.
 
     ``keep`` makes a finished table durable and returns the frame to go on with:
-    :func:`starnorm.staging.staged`, or a sink and a read. By default tables stay
-    lazy, but for the surrogate numbering, which is always staged. ``stage_input``
-    turns row-oriented input into Parquet first, so that every dimension reads its
-    own columns only.
+    :func:`starnorm.staging.staged`, or a sink and a read. What was staged on the way
+    is then deleted. By default tables stay lazy, but for the surrogate numbering,
+    which is always staged. ``stage_input`` turns row-oriented input into Parquet
+    first, so that every dimension reads its own columns only, and sizes the shuffles
+    by it.
 
     Dimensions do not depend on one another; up to ``side_by_side`` are submitted
     at a time, and the fact as soon as its surrogates are there, so the tail of one
     job leaves no executor idle.
     """
-    if stage_input:
-        flat = staged(flat, "flat")
+    names = spec.tables if only is None else only
+    unknown = set(names) - set(spec.tables)
+    if unknown:
+        raise ValueError(f"no table named {', '.join(sorted(unknown))}")
+    spark = flat.sparkSession
+    flat = flat.select(*spec.sources(names))
+    with ExitStack() as stack:
+        if keep is not _lazy:
+            stack.enter_context(scratch(spark))
+        if stage_input:
+            path = write_staged(flat, "flat")
+            stack.enter_context(sized_shuffles(spark, stored_bytes(spark, path)))
+            flat = spark.read.schema(flat.schema).parquet(path)
+        return _build(flat, spec, names, keep, side_by_side, broadcast_bytes)
+
 
-    def finish(dim: Dim) -> tuple[DataFrame, Attach | None]:
+def _build(
+    flat: DataFrame,
+    spec: StarSpec,
+    names: Collection[str],
+    keep: Callable[[DataFrame, str], DataFrame],
+    side_by_side: int,
+    broadcast_bytes: int,
+) -> dict[str, DataFrame]:
+    def kept(table: DataFrame, name: str) -> DataFrame:
+        with lasting():
+            return keep(table, name)
+
+    def finish(dim: Dim) -> tuple[DataFrame | None, Attach | None]:
         built = build_dimension(flat, dim)
         table = built.drop(ROW_COUNT)
-        if not isinstance(dim, NaturalDim):
-            return keep(table, dim.name), None
-        small = fits(table, broadcast_bytes)
-        return (
-            keep(table, dim.name),
-            Attach(built, dim.natural_key, dim.id_name, row_count=ROW_COUNT, small=small),
-        )
+        attach = None
+        if with_fact and isinstance(dim, NaturalDim):
+            small = fits(table, broadcast_bytes)
+            attach = Attach(built, dim.natural_key, dim.id_name, row_count=ROW_COUNT, small=small)
+        return kept(table, dim.name) if dim.name in names else None, attach
 
-    submit_first = sorted(spec.dims, key=lambda dim: not isinstance(dim, NaturalDim))
+    with_fact = spec.fact.name in names
+    dims = spec.dims_for(names)
+    submit_first = sorted(dims, key=lambda dim: not isinstance(dim, NaturalDim))
     run = inheritable_thread_target(flat.sparkSession)(finish)
     with ThreadPoolExecutor(max_workers=side_by_side) as pool:
-        jobs = {dim.name: pool.submit(run, dim) for dim in submit_first}
-        # The fact waits for the surrogates only.
-        attach = [jobs[dim.name].result()[1] for dim in spec.dims if isinstance(dim, NaturalDim)]
-        fact = build_fact(
-            flat,
-            attach,
-            spec.fact.columns,
-            spec.fact.grain,
-            null_safe=spec.fact.null_safe,
-            broadcast_bytes=broadcast_bytes,
-        )
-        fact = keep(fact, spec.fact.name)
-        tables = {dim.name: jobs[dim.name].result()[0] for dim in spec.dims}
-    return {**tables, spec.fact.name: fact}
+        jobs = {dim.name: pool.submit(copy_context().run, run, dim) for dim in submit_first}
+        if with_fact:
+            # The fact waits for the surrogates only.
+            numbered = [jobs[d.name].result()[1] for d in dims if isinstance(d, NaturalDim)]
+            fact = build_fact(
+                flat,
+                [attach for attach in numbered if attach.id_name in spec.fact.columns],
+                spec.fact.columns,
+                spec.fact.grain,
+                null_safe=spec.fact.null_safe,
+                broadcast_bytes=broadcast_bytes,
+            )
+            fact = kept(fact, spec.fact.name)
+        tables = {dim.name: jobs[dim.name].result()[0] for dim in dims if dim.name in names}
+    return {**tables, spec.fact.name: fact} if with_fact else tables

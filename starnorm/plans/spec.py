@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from dataclasses import dataclass
 
 from starnorm.functions.activity import ACTIVE, CUTOFF, INACTIVE
@@ -21,6 +22,11 @@ class KeyedDim:
     drop_all_null: bool = False
     drop_null_key: bool = False
 
+    @property
+    def sources(self) -> tuple[str, ...]:
+        """The flat columns this dimension reads."""
+        return (self.key, *self.attributes, *self.order_by)
+
 
 @dataclass(frozen=True)
 class StatusDim:
@@ -35,6 +41,10 @@ class StatusDim:
     inactive: str = INACTIVE
     active: str = ACTIVE
 
+    @property
+    def sources(self) -> tuple[str, ...]:
+        return (self.key, *self.attributes, self.ts)
+
 
 @dataclass(frozen=True)
 class NaturalDim:
@@ -45,6 +55,10 @@ class NaturalDim:
     natural_key: tuple[str, ...]
     drop_all_null: bool = False
 
+    @property
+    def sources(self) -> tuple[str, ...]:
+        return self.natural_key
+
 
 @dataclass(frozen=True)
 class FactSpec:
@@ -62,3 +76,21 @@ class StarSpec:
     fact: FactSpec
     fk_edges: tuple[FkEdge, ...] = ()
     join_edges: tuple[JoinEdge, ...] = ()
+
+    @property
+    def tables(self) -> tuple[str, ...]:
+        return (*[dim.name for dim in self.dims], self.fact.name)
+
+    def dims_for(self, tables: Collection[str]) -> list[KeyedDim | StatusDim | NaturalDim]:
+        """The dimensions to build for ``tables``: the fact brings those it numbers."""
+        fact = self.fact.columns if self.fact.name in tables else ()
+        return [d for d in self.dims if d.name in tables or getattr(d, "id_name", None) in fact]
+
+    def sources(self, tables: Collection[str] | None = None) -> list[str]:
+        """The flat columns ``tables`` (default: all) are made from, each once."""
+        tables = self.tables if tables is None else tables
+        names = [c for dim in self.dims_for(tables) for c in dim.sources]
+        if self.fact.name in tables:
+            numbered = {d.id_name for d in self.dims if isinstance(d, NaturalDim)}
+            names += [c for c in self.fact.columns if c not in numbered]
+        return list(dict.fromkeys(names))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,13 +38,18 @@ def fits(df: DataFrame, limit_bytes: int, *, rows_of: DataFrame | None = None) -
     return fixed + text_bytes <= limit_bytes
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
-    """Set the shuffle partitions for an input of this size; adaptive execution merges
-    those that turn out small.
+@contextmanager
+def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[int]:
+    """Shuffle partitions for an input of this size, for what runs inside the block.
 
-    A number the session was given explicitly is left alone if it is larger.
+    Adaptive execution merges those that turn out small. A larger number of the
+    session is left alone; the session has its own again at the end.
     """
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    chosen = max(current, -(-input_bytes // SHUFFLE_BYTES))
-    spark.conf.set("spark.sql.shuffle.partitions", str(chosen))
-    return chosen
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    chosen = max(int(before), -(-input_bytes // SHUFFLE_BYTES))
+    spark.conf.set(name, str(chosen))
+    try:
+        yield chosen
+    finally:
+        spark.conf.set(name, before)

@@ -10,12 +10,17 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 from starnorm.hadoop import delete_tree
 
 _LOCAL_FOLDERS: dict[str, str] = {}
+# Tables staged in each open block of scratch work, the innermost last.
+_SCRATCH: ContextVar[tuple[list[str], ...]] = ContextVar("scratch", default=())
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -44,12 +49,44 @@ def staging_path(spark: SparkSession, label: str) -> str:
     return f"{_app_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def write_staged(df: DataFrame, label: str = "table") -> str:
+    """Write ``df`` as Parquet under the shared folder; returns its path."""
+    path = staging_path(df.sparkSession, label)
+    for paths in _SCRATCH.get()[-1:]:
+        paths.append(path)
+    df.write.parquet(path)
+    return path
+
+
 def staged(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and read it back."""
-    spark = df.sparkSession
-    path = staging_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(write_staged(df, label))
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete what is staged in this block, by threads in a copy of its context, too.
+
+    Only results that do not read staged tables any more may leave the block.
+    """
+    paths: list[str] = []
+    token = _SCRATCH.set((*_SCRATCH.get(), paths))
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        for path in paths:
+            delete_tree(spark, path)
+
+
+@contextmanager
+def lasting() -> Iterator[None]:
+    """What is staged in this block outlives the scratch work around it."""
+    token = _SCRATCH.set(_SCRATCH.get()[:-1])
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
 
 
 def clear_staged(spark: SparkSession) -> None:

@@ -140,15 +140,4 @@ STAR = StarSpec(
 
 def star_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flat columns the star above is made from."""
-    names: list[str] = []
-    surrogates = set()
-    for dim in STAR.dims:
-        if isinstance(dim, NaturalDim):
-            surrogates.add(dim.id_name)
-            names += dim.natural_key
-        else:
-            names += (dim.key, *dim.attributes)
-        if isinstance(dim, StatusDim):
-            names.append(dim.ts)
-    names += [c for c in STAR.fact.columns if c not in surrogates]
-    return flat(spark, sf_dir, *dict.fromkeys(names))
+    return flat(spark, sf_dir, *STAR.sources())

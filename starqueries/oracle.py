@@ -460,6 +460,36 @@ VISIT_SUITE = f"WITH {VISIT_STAR} " + _suite(
          "insurance_id", False),
     ]
 )
+COLUMNS_OF = {
+    "DimPatient": [*PATIENT, "patient_status"],
+    "DimInsurance": ["patient_id", *INSURANCE],
+    "DimBilling": ["insurance_id", *BILLING],
+    "DimProvider": ["provider_id", "doctor_name", "doctor_title", "doctor_department"],
+    "DimLocation": ["location_id", "clinic_name", "room_number"],
+    "DimPrimaryDiagnosis": [
+        "primary_diagnosis_id", "primary_diagnosis_code", "primary_diagnosis_desc"
+    ],
+    "DimSecondaryDiagnosis": ["secondary_diagnosis_id", *SECONDARY],
+    "DimTreatment": ["treatment_id", "treatment_code", "treatment_desc"],
+    "DimPrescription": PRESCRIPTION,
+    "DimLabOrder": LAB,
+    "FactVisit": ["visit_id", *FACT],
+}
+
+
+def _profiled(column: str, table: str) -> str:
+    return (
+        f"SELECT '{column}' AS column_name, count(DISTINCT {column}) "
+        f"+ coalesce(max(CASE WHEN {column} IS NULL THEN 1 ELSE 0 END), 0) AS n_distinct, "
+        f"count(*) FILTER ({column} IS NULL) AS n_null FROM {table}"
+    )
+
+
+VISIT_PROFILE = f"WITH {VISIT_STAR} " + " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, * FROM ({_profiled(c, TABLE_OF[name])})"
+    for name, columns in COLUMNS_OF.items()
+    for c in columns
+)
 VISIT_JOINS = """
 FROM fact_visit f
 LEFT JOIN dim_billing b ON f.billing_id = b.billing_id
@@ -481,12 +511,10 @@ ORACLE |= {
     "visits_job": VISIT_SUITE,
     "visits_wide": f"WITH {VISIT_STAR} SELECT {', '.join(WIDE)} {VISIT_JOINS}",
     "visits_profile": f"WITH {VISIT_STAR} "
-    + " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, "
-        f"count(DISTINCT {c}) + max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS n_distinct, "
-        f"count(*) FILTER ({c} IS NULL) AS n_null FROM fact_visit"
-        for c in ["visit_id", *FACT]
-    ),
+    + " UNION ALL ".join(_profiled(c, "fact_visit") for c in ["visit_id", *FACT]),
+    "visits_star_profile": VISIT_PROFILE,
+    "visits_job_fact_csv": f"WITH {VISIT_STAR} SELECT * FROM fact_visit",
+    "visits_job_profile_parquet": VISIT_PROFILE,
     "worksheet_patients_by_gender": f"""
 WITH {VISIT_STAR}
 SELECT patient_gender, count(f.patient_id) AS n_visits,

@@ -31,6 +31,7 @@ from starnorm.operators import (
     lookup,
     natural_dim,
     one_row_per_key,
+    profile_tables,
     row_counts,
     star_join,
     status_dim,
@@ -42,6 +43,7 @@ from starnorm.sources import read_flat, read_star_csv, read_star_parquet
 from starnorm.staging import staged, staging_path
 from starnorm.job import run as run_job
 from starnorm.plans.visits import STAR as VISIT_STAR
+from starnorm.plans.visits import star_schemas
 from starnorm.plans.worksheets import WORKSHEETS
 from starqueries import visits
 from starqueries.frames import CUTOFF, EDGES, STAR, flat, star_input, table
@@ -554,14 +556,39 @@ QUERIES |= {
     "visits_fk_suite": visits.suite,
     "visits_wide": visits.wide,
     "visits_profile": visits.profile,
+    "visits_star_profile": visits.star_profile,
 }
 QUERIES |= {f"worksheet_{name}": _worksheet(q) for name, q in WORKSHEETS.items()}
 
 
-@query
-def visits_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The batch job over a CSV of the visits, writing both formats; its key report."""
+def _run_visits_job(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """The batch job over a CSV of the visits, writing both formats; output and key report."""
     folder = staging_path(spark, "visits-job")
     visits.visits(spark, sf_dir).write.option("header", True).csv(f"{folder}/visits.csv")
     _, report = run_job(spark, f"{folder}/visits.csv", f"{folder}/out", output_format="both")
-    return report
+    return f"{folder}/out", report
+
+
+def _with_local_time(table: DataFrame) -> DataFrame:
+    """Timestamps as the supplied tables have them, without a zone."""
+    zoned = [f.name for f in table.schema if isinstance(f.dataType, T.TimestampType)]
+    return table.withColumns({name: F.col(name).cast("timestamp_ntz") for name in zoned})
+
+
+@query
+def visits_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run_visits_job(spark, sf_dir)[1]
+
+
+@query
+def visits_job_fact_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact as the job wrote it, read from its CSV."""
+    output, _ = _run_visits_job(spark, sf_dir)
+    return _with_local_time(read_star_csv(spark, f"{output}/csv", star_schemas())["FactVisit"])
+
+
+@query
+def visits_job_profile_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of every table the job wrote, read from its Parquet."""
+    output, _ = _run_visits_job(spark, sf_dir)
+    return profile_tables(read_star_parquet(spark, f"{output}/parquet", VISIT_STAR.tables))

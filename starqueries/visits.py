@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from starnorm.operators import (
     column_profile,
     fk_suite,
+    profile_tables,
     row_counts,
     star_join,
 )
 from starnorm.plans import visits as plan
 from starnorm.plans.normalize import normalize
-from starnorm.plans.spec import NaturalDim, StatusDim
 from starnorm.plans.visits import STAR
 from starnorm.hadoop import stored_bytes
 from starnorm.sinks import write_parquet
@@ -104,13 +104,7 @@ def visits(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
 def dimension(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One dimension, from the columns it needs."""
     dim = next(d for d in STAR.dims if d.name == name)
-    if isinstance(dim, NaturalDim):
-        columns = dim.natural_key
-    else:
-        columns = (dim.key, *dim.attributes)
-    if isinstance(dim, StatusDim):
-        columns += (dim.ts,)
-    return plan.dimension(visits(spark, sf_dir, *columns), name)
+    return plan.dimension(visits(spark, sf_dir, *dim.sources), name)
 
 
 def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -144,7 +138,10 @@ def stored_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables(spark, sf_dir)[STAR.fact.name]
+    """The fact alone, from the columns it needs."""
+    name = STAR.fact.name
+    made = visits(spark, sf_dir, *STAR.sources([name]))
+    return normalize(made, STAR, only=[name], stage_input=True)[name]
 
 
 def sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,3 +164,8 @@ def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return column_profile(fact(spark, sf_dir))
+
+
+def star_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of every table of the star."""
+    return profile_tables(stored_star(spark, sf_dir))

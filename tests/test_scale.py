@@ -23,7 +23,7 @@ from starnorm.operators import (
     with_share,
 )
 from starnorm.plans.normalize import normalize
-from starnorm.sizing import fits, size_shuffles
+from starnorm.sizing import fits, sized_shuffles
 from starqueries.frames import STAR, star_input, table
 from starqueries.spark import QUERIES
 
@@ -276,7 +276,8 @@ def test_orphans_and_counts_agree(spark):
 
 def test_shuffles_grow_with_the_input(spark, settings):
     settings(spark__sql__shuffle__partitions="8")
-    assert size_shuffles(spark, 1000) == 8
-    assert size_shuffles(spark, 10**12) == 7451
-    assert size_shuffles(spark, 10**14) == 745_059
-    assert spark.conf.get("spark.sql.shuffle.partitions") == "745059"
+    for size, partitions in ((1000, 8), (10**12, 7451), (10**14, 745_059)):
+        with sized_shuffles(spark, size) as chosen:
+            assert chosen == partitions
+            assert spark.conf.get("spark.sql.shuffle.partitions") == str(partitions)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "8"

@@ -170,3 +170,28 @@ def test_worksheets(spark):
             (1, "Sunday", 0, 1), (2, "Monday", 0, 2), (7, "Saturday", 13, 1)],
         "yearly_visits_by_clinic": [(2023, "C", 1), (2024, "C", 3)],
     }
+
+
+def test_a_part_of_the_star(flat, tables):
+    """Only what is asked for, with the same rows; other columns are not needed."""
+    needed = flat.select("visit_type", *STAR.sources(["DimPatient", "DimProvider"]))
+    made = normalize(needed, STAR, only=["DimProvider", "DimPatient"])
+    assert list(made) == ["DimPatient", "DimProvider"]
+    for name, table in made.items():
+        assert sorted(table.collect(), key=repr) == sorted(tables[name].collect(), key=repr)
+    alone = normalize(flat.select(*STAR.sources(["FactVisit"])), STAR, only=["FactVisit"])
+    assert list(alone) == ["FactVisit"]
+    rows = [sorted(t["FactVisit"].collect(), key=repr) for t in (alone, tables)]
+    assert rows[0] == rows[1]
+    with pytest.raises(ValueError, match="DimNothing"):
+        normalize(flat, STAR, only=["DimNothing"])
+
+
+def test_only_kept_tables_stay_staged(spark, flat, monkeypatch, tmp_path):
+    import starnorm.staging as staging
+
+    monkeypatch.setattr(staging, "_app_folder", lambda _: str(tmp_path))
+    kept = normalize(flat, STAR, keep=staged, stage_input=True)
+    left = sorted(path.name.rsplit("-", 1)[0] for path in tmp_path.iterdir())
+    assert left == sorted(kept)
+    assert kept["FactVisit"].count() == len(VISITS)
