@@ -56,6 +56,7 @@ from starnorm.llm.spans import (
     windows_inside,
     word_spans,
 )
+from starnorm.operators.lookup import lookup
 from starnorm.staging import staged
 
 WORDS = 4
@@ -350,10 +351,26 @@ def _heads(nodes: DataFrame) -> DataFrame:
         .agg(F.min(F.struct("own", "key", "n", "place")).alias("h"), F.count(F.lit(1)).alias("nodes"))
         .where("nodes > 1")
         .selectExpr(
-            "gram", "h.own AS head_own", "h.key AS head", "h.n AS head_n", "h.place AS head_place"
+            "gram",
+            "h.own AS head_own",
+            "h.key AS head",
+            "h.n AS head_n",
+            "h.place AS head_place",
+            "nodes",
         )
     )
-    return staged(lists.drop("own").join(heads, "gram"), "lists")
+    taken = ["head_own", "head", "head_n", "head_place"]
+    return staged(_of_list(lists.drop("own"), staged(heads, "heads"), taken), "lists")
+
+
+def _of_list(rows: DataFrame, lists: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows of the given lists with what is known of the whole list; others go.
+
+    ``lists`` counts its ``nodes``, so that a list that very many share does not meet in
+    one task.
+    """
+    found = lookup(rows, lists, {"gram": "gram"}, {c: c for c in columns}, row_count="nodes")
+    return found.where(F.col(columns[0]).isNotNull())
 
 
 def _unsettled(lists: DataFrame, grouped: DataFrame) -> DataFrame:
@@ -368,8 +385,10 @@ def _unsettled(lists: DataFrame, grouped: DataFrame) -> DataFrame:
         F.min("component").alias("low"),
         F.max("component").alias("high"),
         F.max(F.when(F.col("key") == F.col("head"), F.col("component"))).alias("head_component"),
+        F.count(F.lit(1)).alias("nodes"),
     )
-    return labelled.join(ends.where("low <> high").drop("low", "high"), "gram")
+    mixed_lists = staged(ends.where("low <> high").drop("low", "high"), "mixed-lists")
+    return _of_list(labelled, mixed_lists, ["head_component"])
 
 
 def _apart(lists: DataFrame, found: DataFrame, percent: int) -> DataFrame:

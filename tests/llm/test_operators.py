@@ -6,6 +6,7 @@ import math
 import sys
 import zlib
 from collections import Counter, defaultdict
+from functools import partial
 from pathlib import Path
 
 import numpy as np
@@ -39,6 +40,7 @@ from starnorm.llm import (  # noqa: E402
 )
 from starnorm.llm.oracle import ORACLE  # noqa: E402
 from starnorm.llm.queries import QUERIES  # noqa: E402
+from starnorm.sizing import BROADCAST_BYTES  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 ROWS = C.corpus()
@@ -101,8 +103,12 @@ def test_quality_rules(docs):
     assert good.columns == docs.columns and good.count() == kept
 
 
-@pytest.mark.parametrize(("words", "percent"), [(4, 85), (5, 80)])
-def test_jaccard_components(docs, words, percent):
+@pytest.mark.parametrize(
+    ("words", "percent", "broadcast_bytes"), [(4, 85, BROADCAST_BYTES), (5, 80, BROADCAST_BYTES), (4, 85, 0)]
+)
+def test_jaccard_components(docs, monkeypatch, words, percent, broadcast_bytes):
+    by_size = partial(jaccard_join.lookup, broadcast_bytes=broadcast_bytes)
+    monkeypatch.setattr(jaccard_join, "lookup", by_size)
     got = jaccard_join.jaccard_components(docs, words=words, percent=percent)
     expected = C.jaccard_components(ROWS, words, percent)
     assert rows_of(got, "id", "n_shingles", "component_id") == as_rows(expected)
