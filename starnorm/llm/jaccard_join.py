@@ -367,16 +367,9 @@ def _of_list(rows: DataFrame, lists: DataFrame, columns: list[str]) -> DataFrame
     """Rows of the given lists with what is known of the whole list; others go.
 
     ``lists`` counts its ``nodes``, so that a list that very many share does not meet in
-    one task. Only such lists, fewer than 20,000 at any size, are broadcast.
+    one task.
     """
-    found = lookup(
-        rows,
-        lists,
-        {"gram": "gram"},
-        {c: c for c in columns},
-        row_count="nodes",
-        broadcast_bytes=0,
-    )
+    found = lookup(rows, lists, {"gram": "gram"}, {c: c for c in columns}, row_count="nodes")
     return found.where(F.col(columns[0]).isNotNull())
 
 
