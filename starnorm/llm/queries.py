@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from starnorm.llm import packing as best_fit
 from starnorm.llm import sentencepiece_codec as pieces
+from starnorm.llm.decontamination import mark
+from starnorm.llm.filter_audit import audit_documents
 from starnorm.llm.hamming_topk import top_k
 from starnorm.llm.jaccard_join import jaccard_components
 from starnorm.llm.lm_scoring import score_documents
@@ -93,6 +95,22 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mark(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_quality_rules": op2_quality_rules,
@@ -104,4 +122,6 @@ QUERIES: dict[str, Query] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_decontamination": op12_decontamination,
 }

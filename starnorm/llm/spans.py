@@ -46,12 +46,13 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray):
+def word_spans(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = IS_SPACE):
     """Starts and ends of all words, and the index of each row's first word.
 
-    The third array has one more entry than there are rows.
+    The third array has one more entry than there are rows. ``between`` tells for each
+    byte whether it stands between words.
     """
-    word = ~IS_SPACE[data]
+    word = ~between[data]
     filled = offsets[1:] > offsets[:-1]
     row_first, row_last = offsets[:-1][filled], offsets[1:][filled] - 1
     first, last = word.copy(), word.copy()
