@@ -19,6 +19,7 @@ from starnorm.llm.sharding import shard_documents
 from starnorm.llm.substring_dedup import remove_repeated_windows
 from starnorm.llm.suffix_dedup import remove_repeated_bytes
 from starnorm.llm.token_counts import count_tokens
+from starnorm.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -111,6 +112,21 @@ def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``deviation`` is null where a long cannot hold it; ``deviation_exact`` always can."""
+    found = whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return found.select(
+        F.col("id").alias("vec_id"),
+        "component",
+        "n",
+        F.col("deviation").try_cast("long").alias("deviation"),
+        "whitened",
+        "explained",
+        "identity_error",
+        F.col("deviation").alias("deviation_exact"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_quality_rules": op2_quality_rules,
@@ -124,4 +140,5 @@ QUERIES: dict[str, Query] = {
     "op10_sentencepiece": op10_sentencepiece,
     "op11_filter_audit": op11_filter_audit,
     "op12_decontamination": op12_decontamination,
+    "op13_whitening": op13_whitening,
 }
