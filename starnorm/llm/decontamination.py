@@ -58,22 +58,36 @@ BETWEEN = np.ones(256, bool)
 BETWEEN[0x30:0x3A] = BETWEEN[0x61:0x7B] = BETWEEN[0x80:] = False
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+class Sizes(NamedTuple):
+    """How much a task looks at together; results do not depend on it."""
+
+    shard: int
+    slice: int
+    piece: int
+
+
+def sizes() -> Sizes:
+    return Sizes(SHARD_BYTES, SLICE_BYTES, PIECE_WORDS)
+
+
+def word_hashes(
+    data: np.ndarray, offsets: np.ndarray, size: int
+) -> tuple[np.ndarray, np.ndarray]:
     """A hash of every word, and the index of each row's first word.
 
-    Long rows are hashed a slice at a time, cut between words.
+    Rows longer than ``size`` are hashed a slice at a time, cut between words.
     """
     cuts = [offsets]
-    for row in np.flatnonzero(np.diff(offsets) > SLICE_BYTES):
-        at, end = int(offsets[row]) + SLICE_BYTES, int(offsets[row + 1])
+    for row in np.flatnonzero(np.diff(offsets) > size):
+        at, end = int(offsets[row]) + size, int(offsets[row + 1])
         while at < end:
-            between = np.flatnonzero(BETWEEN[LOWER[data[at : min(at + SLICE_BYTES, end)]]])
+            between = np.flatnonzero(BETWEEN[LOWER[data[at : min(at + size, end)]]])
             if between.size:
                 cuts.append(np.array([at + between[0]]))
-            at += SLICE_BYTES
+            at += size
     parts = np.sort(np.concatenate(cuts), kind="stable")
     hashes, counts = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
-    for lo, hi in row_slices(parts, SLICE_BYTES):
+    for lo, hi in row_slices(parts, size):
         own = parts[lo : hi + 1] - parts[lo]
         lowered = LOWER[data[parts[lo] : parts[hi]]]
         starts, ends, bounds = word_spans(lowered, own, BETWEEN)
@@ -138,9 +152,9 @@ class Matches(NamedTuple):
     places: np.ndarray
 
 
-def search(data: np.ndarray, offsets: np.ndarray, bench: Benchmark) -> Matches:
+def search(data: np.ndarray, offsets: np.ndarray, bench: Benchmark, size: Sizes) -> Matches:
     """Build the suffix array of these rows and look up all test suffixes."""
-    hashes, bounds = word_hashes(data, offsets)
+    hashes, bounds = word_hashes(data, offsets, size.slice)
     n_rows = offsets.size - 1
     none = Matches(
         bounds,
@@ -208,14 +222,14 @@ _FOUND = (
 _SPAN = [pa.field("start", pa.int64()), pa.field("end", pa.int64())]
 
 
-def _found(texts: pa.Array, bench: Benchmark) -> pa.Array:
+def _found(texts: pa.Array, bench: Benchmark, size: Sizes) -> pa.Array:
     """Per text its words, the stretches covered by windows, and the items they are of."""
     data, offsets = text_bytes(texts)
     n_words, starts, ends, per_text = [], [], [], []
     items: list[list[str]] = []
-    for a, b in row_slices(offsets, SHARD_BYTES):
+    for a, b in row_slices(offsets, size.shard):
         own = offsets[a : b + 1] - offsets[a]
-        found = search(data[offsets[a] : offsets[b]], own, bench)
+        found = search(data[offsets[a] : offsets[b]], own, bench, size)
         n_words.append(np.diff(found.bounds))
         first, last, index = runs(found.hit, found.bounds)
         row_first = np.repeat(found.bounds[:-1], np.diff(index))
@@ -248,30 +262,30 @@ def _found(texts: pa.Array, bench: Benchmark) -> pa.Array:
     )
 
 
-def _finder(shared: Broadcast):
+def _finder(shared: Broadcast, size: Sizes):
     """A function from texts to what a chunk of the benchmark has in them."""
 
     @F.arrow_udf(_FOUND)
     def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bench = shared.value
         for batch in batches:
-            yield _found(batch, bench)
+            yield _found(batch, bench, size)
 
     return found
 
 
-def _hashes_of(window: int):
+def _hashes_of(window: int, size: Sizes):
     """A function from item texts to the word hashes of their pieces."""
 
     @F.arrow_udf("array<binary>")
     def pieces(texts: pa.Array) -> pa.Array:
         data, offsets = text_bytes(texts)
-        hashes, bounds = word_hashes(data, offsets)
+        hashes, bounds = word_hashes(data, offsets, size.slice)
         out = []
         for a, b in zip(bounds, bounds[1:], strict=False):
-            step = PIECE_WORDS - window + 1
+            step = size.piece - window + 1
             cuts = range(int(a), max(int(b) - window + 1, int(a) + 1), step)
-            out.append([hashes[c : min(c + PIECE_WORDS, b)].tobytes() for c in cuts if b > a])
+            out.append([hashes[c : min(c + size.piece, b)].tobytes() for c in cuts if b > a])
         return pa.array(out, pa.list_(pa.binary()))
 
     return pieces
@@ -280,7 +294,7 @@ def _hashes_of(window: int):
 def chunks(benchmark: DataFrame, item_col: str, text: str, window: int) -> Iterator[Benchmark]:
     """The benchmark, in chunks of about ``CHUNK_BYTES`` that the driver holds one at a time."""
     item = F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item")
-    raw = benchmark.select(item, F.explode(_hashes_of(window)(F.col(text))).alias("raw"))
+    raw = benchmark.select(item, F.explode(_hashes_of(window, sizes())(F.col(text))).alias("raw"))
     pieces = staged(raw, "benchmark")
     size = pieces.agg(F.sum(F.octet_length("raw") + F.octet_length("item"))).first()[0] or 0
     n = max(1, -(-size // CHUNK_BYTES))
@@ -326,7 +340,7 @@ def mark(
             # One chunk at a time is with the tasks; the next pass starts from what is written.
             marked = staged(marked, "searched")
         names.append(f"found{k}")
-        found = _finder(docs.sparkSession.sparkContext.broadcast(chunk))
+        found = _finder(docs.sparkSession.sparkContext.broadcast(chunk), sizes())
         marked = marked.withColumn(names[-1], found(F.col("text")))
     if len(names) == 1:
         spans, items = F.col("found0.spans"), F.col("found0.items")
@@ -376,10 +390,10 @@ def longest_matches(
     for chunk in chunks(benchmark, item_col, item_text, window):
         shared = docs.sparkSession.sparkContext.broadcast(chunk)
 
-        def best(batches, shared=shared):
+        def best(batches, shared=shared, size=sizes()):
             bench = shared.value
             for batch in batches:
-                yield _longest(batch, bench)
+                yield _longest(batch, bench, size)
 
         parts.append(staged(_least_of(rows.mapInArrow(best, schema)), "longest"))
     union = parts[0]
@@ -395,14 +409,15 @@ def _least_of(found: DataFrame) -> DataFrame:
     return found.groupBy("item").agg(best).select("item", "best.*")
 
 
-def _longest(batch: pa.RecordBatch, bench: Benchmark) -> pa.RecordBatch:
+def _longest(batch: pa.RecordBatch, bench: Benchmark, size: Sizes) -> pa.RecordBatch:
     table = pa.table([batch["id"], batch["text"]], ["id", "text"])
     # By id, so that the first of several shards and rows has the smallest.
     table = table.sort_by([("id", "ascending"), ("text", "ascending")])
     data, offsets = text_bytes(table["text"])
     best: dict[int, tuple[int, int, int]] = {}
-    for a, b in row_slices(offsets, SHARD_BYTES):
-        found = search(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], bench)
+    for a, b in row_slices(offsets, size.shard):
+        own = offsets[a : b + 1] - offsets[a]
+        found = search(data[offsets[a] : offsets[b]], own, bench, size)
         whole = np.flatnonzero((found.longest >= bench.size) & (found.longest > 0))
         for k in whole[np.argsort(-found.longest[whole], kind="stable")].tolist():
             c, length = int(bench.item[k]), int(found.longest[k])

@@ -11,7 +11,7 @@ class SuffixArray:
     """The suffixes of ``words`` in order, as far as ``depth`` words tell them apart.
 
     Words are numbered from 1 on; 0 stands between rows, below all words, and matches
-    nothing. Suffixes that are equal that far are in the order of their places.
+    nothing. A suffix counts up to the next 0; equal ones are in some fixed order.
     """
 
     def __init__(self, words: np.ndarray, depth: int):
