@@ -33,12 +33,14 @@ from starnorm.staging import staged
 COMPONENTS = 8
 SCALE, SHIFT = 1024, 100_000
 LARGEST = float(1 << 40)
-# Columns of the block beside the wanted ones, and passes in a filter.
-GUARDS = 12
-DEGREE = 8
+# Columns of the block beside the wanted ones, and the most passes in a filter.
+GUARDS = 24
+DEGREE = 24
+# How much more, as a logarithm, a filter may lift the first vector than the last wanted.
+SPREAD = 20.0
 # Residuals, in parts of the largest eigenvalue: good enough to stop, and to accept
 # when they fall no further. Lesser eigenvalues than RANK parts are rounding.
-CERTAIN, ACCEPTED, RANK = 2e-15, 1e-13, 1e-12
+CERTAIN, ACCEPTED, RANK = 1e-14, 1e-13, 1e-12
 
 Pass = Callable[[np.ndarray], np.ndarray]
 
@@ -139,7 +141,20 @@ def leading(
             block, width, before = np.linalg.qr(np.hstack([block, fresh]))[0], wider, np.inf
             continue
         before = worst
-        block = np.linalg.qr(_filtered(multiply, block, image, value, degree))[0]
+        passes = min(degree, _passes(value, wanted, worst))
+        block = np.linalg.qr(_filtered(multiply, block, image, value, passes))[0]
+
+
+def _passes(value: np.ndarray, wanted: int, worst: float) -> int:
+    """The degree that should lift the last wanted vector far enough, but not the first too far.
+
+    A filter lifts a vector by about the exponential of degree times rate.
+    """
+    half = max(value[-1], value[0] * np.finfo(float).eps) / 2
+    first, last = np.arccosh(np.maximum(1.0, (value[[0, wanted - 1]] - half) / half))
+    needed = np.log(worst / CERTAIN) / max(last, 1e-3)
+    allowed = SPREAD / max(first - last, 1e-3)
+    return int(np.ceil(max(2.0, min(needed, allowed, 1e6))))
 
 
 def _filtered(multiply: Pass, block, image, value, degree: int) -> np.ndarray:
