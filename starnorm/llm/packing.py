@@ -116,10 +116,9 @@ def pieces_of(spark: SparkSession, path: str | None = None, capacity: int = CAPA
 
 def encoded(texts: pa.Array, path: str, closing: int = CLOSING_ID) -> Iterator[np.ndarray]:
     """The ids of each text, with the closing id, as little-endian 32-bit numbers."""
-    encoding = vocabulary.load(path).encoding
+    known = vocabulary.load(path)
     for text in texts:
-        ids = encoding.encode_to_numpy(text.as_py() or "", allowed_special="all")
-        yield np.append(ids, closing).astype("<u4")
+        yield np.append(known.encode(text.as_py() or ""), closing).astype("<u4")
 
 
 def pack(

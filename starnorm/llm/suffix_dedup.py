@@ -490,17 +490,23 @@ def _parsed(docs: DataFrame, ddl: str) -> T.StructType:
 
 
 def without_repeated_bytes(
-    docs: DataFrame, id_col: str = "doc_id", text: str = "text", match: int = MATCH
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text: str = "text",
+    match: int = MATCH,
+    length: str | None = "n_chars",
 ) -> DataFrame:
     """The rows of ``docs``, all columns, with what is kept of each text.
 
     A character cut by a removal goes whole. Rows of whose text nothing is kept go.
+    ``length`` names the column, if there is one, that has the characters of the text.
     """
     cleaned = remove_repeated_bytes(docs, id_col, text, match, carry=docs.columns)
     kept = cleaned.where("readable <> ''")
+    types = docs.schema
+    renewed = {text: F.col("readable")}
+    if length in docs.columns:
+        renewed[length] = F.length("readable").cast(types[length].dataType)
     return kept.select(
-        *[
-            (F.col("readable") if c == text else F.col("row").getField(c)).alias(c)
-            for c in docs.columns
-        ]
+        *[renewed.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns]
     )

@@ -11,7 +11,7 @@ token each, the default of the file's library. Texts are taken whole.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
@@ -21,8 +21,10 @@ from pyspark.sql import functions as F
 from starnorm.llm import vocabulary
 
 CONTEXT = 1024
-# Merged pre-tokens remembered per worker; beyond it the memory starts afresh.
+# Merged pre-tokens remembered per worker, and the characters of one; beyond the number
+# the memory starts afresh, and longer ones are merged whenever they are met.
 REMEMBERED = 400_000
+REMEMBERED_CHARS = 100
 
 
 @lru_cache(maxsize=4)
@@ -44,24 +46,26 @@ def whole_tokens(path: str) -> frozenset[str]:
 class _Counts(dict):
     """Tokens per pre-token: the proven ones from the start, the rest merged when met."""
 
-    def __init__(self, whole: frozenset[str], encoding):
+    def __init__(self, whole: frozenset[str], merged: Callable[[str], list[int]]):
         super().__init__(dict.fromkeys(whole, 1))
         self._whole = whole
         self._limit = len(whole) + REMEMBERED
-        self._encode = encoding.encode_ordinary
+        self._merged = merged
 
     def __missing__(self, pre_token: str) -> int:
+        if len(pre_token) > REMEMBERED_CHARS:
+            return len(self._merged(pre_token))
         if len(self) >= self._limit:
             self.clear()
             self.update(dict.fromkeys(self._whole, 1))
-        count = self[pre_token] = len(self._encode(pre_token))
+        count = self[pre_token] = len(self._merged(pre_token))
         return count
 
 
 @lru_cache(maxsize=1)
 def _worker(path: str, whole: frozenset[str]) -> tuple[vocabulary.Vocabulary, _Counts]:
     known = vocabulary.load(path)
-    return known, _Counts(whole, known.encoding)
+    return known, _Counts(whole, known.merged)
 
 
 def token_counter(spark, path: str | None = None):

@@ -7,11 +7,15 @@ from dataclasses import dataclass
 from functools import cached_property, lru_cache
 from pathlib import Path
 
+import numpy as np
 import public_tokenizers
 import regex
 import tiktoken
 
 DEFAULT = "byte_bpe_50k.json"
+# White space from which on the library's own cutting, which backtracks, is not used.
+LONG_SPACE = 10_000
+_SPACE = regex.compile(r"\s+")
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -48,6 +52,25 @@ class Vocabulary:
             special_tokens=self.specials,
         )
 
+    def merged(self, pre_token: str) -> list[int]:
+        """The ids of a pre-token, which is not cut any more, however long it is."""
+        return self.encoding._encode_single_piece(pre_token)
+
+    def encode(self, text: str) -> np.ndarray:
+        """The ids of a text; special strings in it are one id each."""
+        if len(text) < LONG_SPACE or max(map(len, _SPACE.findall(text)), default=0) < LONG_SPACE:
+            return self.encoding.encode_to_numpy(text, allowed_special="all")
+        found = [] if self.special is None else list(self.special.finditer(text))
+        ids, at = [], 0
+        for match in [*found, None]:
+            part = text[at : match.start()] if match else text[at:]
+            for pre_token in self.pre_token.findall(part):
+                ids += self.merged(pre_token)
+            if match:
+                ids.append(self.specials[match[0]])
+                at = match.end()
+        return np.array(ids, np.uint32)
+
 
 def default_path() -> str:
     return str(public_tokenizers.path(DEFAULT))

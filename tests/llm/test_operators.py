@@ -88,6 +88,29 @@ def test_token_counts(docs):
     assert got == as_rows((d, *of(t)) for d, t in ROWS)
 
 
+def test_very_long_runs(spark):
+    """Runs of two million characters, with what stands around them, as the library has them."""
+    library = Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json")))
+    texts = [f"a{c * 2_000_000}b <|endoftext|>{c}" for c in (" ", "\n", "\t", "a", "1", "!", "漢", " \n")]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    ids = [np.array(library.encode(t, add_special_tokens=False).ids + [0], "<u4") for t in texts]
+    counts = rows_of(token_counts.count_tokens(df), "id", "n_tokens")
+    assert counts == [(i, own.size - 1) for i, own in enumerate(ids)]
+    pieces = packing.pack(df)
+    got = rows_of(pieces, "id", "start", "length", "ids_crc32")
+    assert got == [
+        (i, lo, hi - lo, zlib.crc32(own[lo:hi].tobytes()))
+        for i, own in enumerate(ids)
+        for lo, hi in _cuts(own.size, packing.CAPACITY)
+    ]
+
+
+def _cuts(size, capacity):
+    marks = [0, *range(size % capacity or capacity, size + 1, capacity)]
+    return list(zip(marks, marks[1:], strict=False))
+
+
 def test_quality_rules(docs):
     ledger = quality_rules.ledger(docs)
     names = ["word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -403,6 +426,7 @@ def test_pipeline_on_awkward_rows(spark, docs):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         kept = stage(spark, kept, SF_DIR)
         assert kept.columns == plain.columns
+        assert kept.where("n_chars <> length(text)").count() == 0
     good = [(d, t) for d, t in ROWS if _good(t)]
     groups = {c for _, _, c in C.jaccard_components(list(enumerate(t for _, t in good)), 5, 80)}
     assert corpus_pipeline.STAGES[1][1](spark, corpus_pipeline.quality(spark, plain, SF_DIR), SF_DIR).count() == len(groups)
