@@ -8,6 +8,14 @@ from starnorm.operators.fact import Attach, attach_keys, build_fact
 from starnorm.operators.integrity import FkEdge, fk_check, fk_orphans, fk_suite
 from starnorm.operators.lookup import lookup
 from starnorm.operators.profile import approximate_profile, column_profile, profile_tables
+from starnorm.operators.sketches import (
+    column_sketches,
+    estimated,
+    group_sketches,
+    merged,
+    relative_error,
+    rolled_up,
+)
 from starnorm.operators.star_join import JoinEdge, star_join
 
 __all__ = [
@@ -18,18 +26,24 @@ __all__ = [
     "attach_keys",
     "build_fact",
     "column_profile",
-    "profile_tables",
+    "column_sketches",
     "count_by",
     "count_by_dimension",
     "dense_key",
+    "estimated",
     "fk_check",
     "fk_orphans",
     "fk_suite",
+    "group_sketches",
     "keyed_dim",
     "last_activity",
     "lookup",
+    "merged",
     "natural_dim",
     "one_row_per_key",
+    "profile_tables",
+    "relative_error",
+    "rolled_up",
     "row_counts",
     "star_join",
     "status_dim",

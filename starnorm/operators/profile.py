@@ -1,47 +1,63 @@
-"""Distinct values and nulls of every column."""
+"""Distinct values and nulls of every column, counted or estimated."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starnorm.operators.sketches import LG_K, column_sketches, estimated
 
-def _as_text(df: DataFrame, name: str) -> Column:
-    """A text that differs exactly where the values differ."""
-    kind, column = df.schema[name].dataType, F.col(name)
+
+def _grouped_as(kind: T.DataType, name: str) -> T.DataType:
+    """The type in which a column's values are grouped; it tells the same values apart."""
     if isinstance(kind, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
-        raise ValueError(f"{name}: nested values have no text that tells them apart")
-    if isinstance(kind, (T.DoubleType, T.FloatType)):
-        # Adding zero makes the two zeros of floating point one value, as grouping does.
-        column = column + F.lit(0.0)
-    elif isinstance(kind, T.TimestampType):
-        # Two instants of a repeated autumn hour read alike in local time.
-        column = F.unix_micros(column)
-    elif isinstance(kind, T.BinaryType):
-        column = F.hex(column)
-    return column.cast("string")
+        raise ValueError(f"{name}: nested values are not profiled")
+    if isinstance(kind, T.IntegralType):
+        return T.LongType()
+    if isinstance(kind, T.FloatType):
+        return T.DoubleType()
+    return T.StringType() if isinstance(kind, T.NullType) else kind
 
 
 def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Per column: distinct values, null counting as one, and null rows.
 
-    All columns become (name, value) pairs and the pairs are counted, with a
-    map-side step, before anything is shuffled. One scan serves all columns, and no
-    row is widened as it would be by several distinct counts side by side.
+    Columns of one type become (column, value) pairs in that type, no value being turned
+    into text. Pairs are counted with a map-side step and dealt out by their hash, so a
+    task counts the distinct values of its share of every column; the shares are summed.
+    Each type is one scan of its own columns: over stored tables each column is read
+    once, and frames that are dear to compute should be stored first.
     """
     names = list(columns or df.columns)
-    values = [_as_text(df, c).alias(c) for c in names]
-    pairs = df.select(*values).unpivot([], names, "column_name", "value")
-    counted = pairs.groupBy("column_name", "value").agg(F.count("*").alias("rows"))
-    return counted.groupBy("column_name").agg(
-        F.count("*").alias("n_distinct"),
-        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("rows"))), F.lit(0)).alias(
-            "n_null"
-        ),
+    by_type: dict[T.DataType, list[int]] = {}
+    for i, name in enumerate(names):
+        by_type.setdefault(_grouped_as(df.schema[name].dataType, name), []).append(i)
+    counts = []
+    for kind, places in by_type.items():
+        values = [F.col(names[i]).cast(kind).alias(str(i)) for i in places]
+        pairs = df.select(*values).unpivot([], [str(i) for i in places], "column", "value")
+        counted = pairs.groupBy("column", "value").agg(F.count(F.lit(1)).alias("rows"))
+        counts.append(
+            counted.groupBy("column").agg(
+                F.count(F.lit(1)).alias("n_distinct"),
+                F.sum(F.when(F.col("value").isNull(), F.col("rows")).otherwise(0)).alias("n_null"),
+            )
+        )
+    # A column of no rows has a row, too.
+    zero = F.lit(0).cast("bigint")
+    every = df.sparkSession.range(len(names)).select(
+        F.col("id").cast("string").alias("column"), zero.alias("n_distinct"), zero.alias("n_null")
+    )
+    name = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("column").cast("int") + 1)
+    return (
+        reduce(DataFrame.unionByName, counts, every)
+        .groupBy("column")
+        .agg(F.sum("n_distinct").alias("n_distinct"), F.sum("n_null").alias("n_null"))
+        .select(name.alias("column_name"), "n_distinct", "n_null")
     )
 
 
@@ -55,23 +71,7 @@ def profile_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def approximate_profile(
-    df: DataFrame, columns: Sequence[str] | None = None, rsd: float = 0.05
+    df: DataFrame, columns: Sequence[str] | None = None, lg_k: int = LG_K
 ) -> DataFrame:
     """As :func:`column_profile` with estimated distinct counts and no shuffle of values."""
-    names = list(columns or df.columns)
-    sketches = df.agg(
-        *[
-            F.struct(
-                F.lit(c).alias("column_name"),
-                (
-                    F.approx_count_distinct(c, rsd)
-                    + F.coalesce(F.max(F.col(c).isNull().cast("bigint")), F.lit(0))
-                ).alias("n_distinct"),
-                F.count_if(F.col(c).isNull()).alias("n_null"),
-            ).alias(f"__p{i}")
-            for i, c in enumerate(names)
-        ]
-    )
-    return sketches.select(
-        F.inline(F.array(*[F.col(f"__p{i}") for i in range(len(names))]))
-    )
+    return estimated(column_sketches(df, columns, lg_k))

@@ -60,6 +60,7 @@ LINE_REST = [
     "l_linestatus",
     "l_shipdate",
 ]
+LINES = ["l_orderkey", "l_linenumber", *LINE_REST]
 CUSTOMER = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 SECOND = ["second_priority", "second_status"]
 SECOND_KNOWN = "second_priority IS NOT NULL OR second_status IS NOT NULL"
@@ -325,6 +326,15 @@ WITH {FLAT} SELECT l_orderkey, l_linenumber, c_name, n_name, r_name FROM flat"""
         f"count(*) FILTER ({c} IS NULL) AS n_null FROM flat"
         for c in PROFILED
     ),
+    "approximate_profile": " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) AS n_rows, count(DISTINCT {c}) "
+        f"+ max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS n_distinct, "
+        f"count(*) FILTER ({c} IS NULL) AS n_null, true AS within FROM lineitem"
+        for c in LINES
+    ),
+    "mart_users_rolled_up": """
+SELECT event_type, count(user_id) AS n_events, count(DISTINCT user_id) AS n_users, true AS within
+FROM events GROUP BY event_type""",
     "mart_gender": """
 SELECT c_mktsegment, count(o_custkey) AS n_visits, count(DISTINCT o_custkey) AS n_patients
 FROM orders LEFT JOIN customer ON o_custkey = c_custkey GROUP BY c_mktsegment""",

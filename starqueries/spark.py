@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,18 +20,24 @@ from starnorm.operators import (
     FkEdge,
     attach_keys,
     column_profile,
+    column_sketches,
     count_by,
     count_by_dimension,
     dense_key,
+    estimated,
     fk_check,
     fk_orphans,
     fk_suite,
+    group_sketches,
     keyed_dim,
     last_activity,
     lookup,
+    merged,
     natural_dim,
     one_row_per_key,
     profile_tables,
+    relative_error,
+    rolled_up,
     row_counts,
     star_join,
     status_dim,
@@ -457,6 +463,55 @@ def column_profile_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return column_profile(star_input(spark, sf_dir))
 
 
+# How far an estimate may be off, in standard errors.
+TOLERANCE = 5
+
+
+def _within(estimate: Column, exact: Column) -> Column:
+    return F.abs(estimate - exact) <= TOLERANCE * relative_error() * exact
+
+
+@query
+def approximate_profile_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of two loads of the lines, stored apart and merged, against exact counts."""
+    lines = table(spark, sf_dir, "lineitem")
+    returned = F.col("l_returnflag") == "N"
+    loads = [
+        staged(column_sketches(lines.filter(part)), "sketches") for part in (returned, ~returned)
+    ]
+    whole = merged(*loads)
+    estimates = estimated(whole).select("column_name", F.col("n_distinct").alias("estimate"))
+    exact = column_profile(lines)
+    return (
+        exact.join(estimates, "column_name")
+        .join(whole.select("column_name", "n_rows"), "column_name")
+        .select(
+            "column_name",
+            "n_rows",
+            "n_distinct",
+            "n_null",
+            _within(F.col("estimate"), F.col("n_distinct")).alias("within"),
+        )
+    )
+
+
+@query
+def mart_users_rolled_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct users per event type, from stored sketches per day and type."""
+    events = table(spark, sf_dir, "events")
+    day = F.to_date("ts").alias("day")
+    daily = staged(group_sketches(events, [day, "event_type"], "user_id"), "daily-users")
+    users = rolled_up(daily, ["event_type"], "estimate")
+    exact = events.groupBy("event_type", "user_id").agg(F.count(F.lit(1)).alias("n"))
+    exact = exact.groupBy("event_type").agg(F.count("user_id").alias("n_users"))
+    return users.join(exact, "event_type").select(
+        "event_type",
+        F.col("n_rows").alias("n_events"),
+        "n_users",
+        _within(F.col("estimate"), F.col("n_users")).alias("within"),
+    )
+
+
 @query
 def mart_gender(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_by_dimension(
