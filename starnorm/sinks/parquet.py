@@ -6,11 +6,20 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from starnorm.hadoop import replace_tree
+from starnorm.sinks.aside import written_aside
+
 
 def write_parquet(
     df: DataFrame, folder: str, name: str, *, partition_by: Sequence[str] = ()
 ) -> str:
-    """Write ``<folder>/<name>`` with as many part files as the frame has partitions."""
+    """Write ``<folder>/<name>`` with as many part files as the frame has partitions.
+
+    An earlier table is replaced once the new one is whole; a job that fails leaves it.
+    ``df`` may read the table it replaces.
+    """
     target = f"{folder.rstrip('/')}/{name}"
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(target)
+    with written_aside(df.sparkSession, target) as path:
+        df.write.partitionBy(*partition_by).parquet(path)
+        replace_tree(df.sparkSession, path, target)
     return target

@@ -173,7 +173,23 @@ LEFT JOIN second s ON {condition}"""
 ORACLE: dict[str, str] = {
     "scan_csv": "SELECT * FROM orders",
     "scan_csv_reordered": "SELECT * FROM orders",
+    "scan_csv_malformed": " UNION ALL ".join(
+        f"SELECT {name} AS column_name, count(*) FILTER ({where}) AS n_malformed FROM orders"
+        for name, where in {
+            **{f"'{c}'": "false" for c in ["o_orderkey", *ORDER_REST]},
+            "'o_totalprice'": "o_orderkey % 97 = 0",
+            "'o_orderdate'": "o_orderkey % 89 = 0",
+            "NULL": "false",
+        }.items()
+    ),
+    "scan_csv_rejected": """
+SELECT concat_ws(',', CASE WHEN o_orderkey % 97 = 0 THEN 'o_totalprice' END,
+                 CASE WHEN o_orderkey % 89 = 0 THEN 'o_orderdate' END) AS malformed,
+       count(*) AS n_rows
+FROM orders GROUP BY 1""",
+    "scan_csv_good": "SELECT * FROM orders WHERE o_orderkey % 97 <> 0 AND o_orderkey % 89 <> 0",
     "csv_text_roundtrip": "SELECT doc_id, text FROM documents",
+    "csv_text_roundtrip_escaped": "SELECT doc_id, text FROM documents",
     "scan_csv_inferred": "SELECT * FROM customer",
     "scan_star_csv": """
 SELECT o_orderkey, o_orderdate, o_totalprice, c_name, n_name

@@ -45,7 +45,13 @@ from starnorm.operators import (
 )
 from starnorm.plans.normalize import normalize
 from starnorm.sinks import write_csv, write_table
-from starnorm.sources import read_flat, read_star_csv, read_star_parquet
+from starnorm.sources import (
+    CheckedRead,
+    read_checked,
+    read_flat,
+    read_star_csv,
+    read_star_parquet,
+)
 from starnorm.staging import staged, staging_path
 from starnorm.job import run as run_job
 from starnorm.plans.visits import STAR as VISIT_STAR
@@ -85,6 +91,53 @@ def scan_csv_reordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_flat(spark, path, orders.schema)
 
 
+def _spoiled_orders(spark: SparkSession, sf_dir: str) -> CheckedRead:
+    """The orders from a CSV in which some prices and dates are words."""
+    orders = table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    price, day = F.col("o_totalprice").cast("string"), F.col("o_orderdate").cast("string")
+    path = staging_path(spark, "scan-csv")
+    orders.withColumns(
+        {
+            "o_totalprice": F.when(key % 97 == 0, "none").otherwise(price),
+            "o_orderdate": F.when(key % 89 == 0, "soon, they said").otherwise(day),
+        }
+    ).write.option("header", True).csv(path)
+    return read_checked(spark, path, orders.schema)
+
+
+@query
+def scan_csv_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values that do not parse, by column."""
+    return _spoiled_orders(spark, sf_dir).counts
+
+
+@query
+def scan_csv_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records left out, by what is wrong with them; and those that stay."""
+    read = _spoiled_orders(spark, sf_dir)
+    wrong = F.array_join("columns", ",").alias("malformed")
+    out = read.rejected.groupBy(wrong).agg(F.count("record").alias("n_rows"))
+    return out.unionByName(
+        read.good.agg(F.count("o_orderkey").alias("n_rows")).select(F.lit("").alias("malformed"), "n_rows")
+    )
+
+
+@query
+def scan_csv_good(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _spoiled_orders(spark, sf_dir).good
+
+
+@query
+def csv_text_roundtrip_escaped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As below, in lines that readers may split anywhere."""
+    texts = table(spark, sf_dir, "documents").select("doc_id", "text")
+    folder = staging_path(spark, "csv-text")
+    write_csv(texts, folder, "documents", line_breaks="escaped")
+    schemas = {"documents": texts.schema}
+    return read_star_csv(spark, folder, schemas, line_breaks="escaped")["documents"]
+
+
 @query
 def csv_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts with line breaks, quotes and spaces, written and read with the defaults."""

@@ -7,13 +7,15 @@ import pytest
 from pyspark.sql import functions as F
 from samples import VISITS
 
-from starnorm.job import parse_args, run
+from starnorm.hadoop import recover_tree
+from starnorm.job import malformed_counts, parse_args, run
 from starnorm.plans.visits import FLAT_SCHEMA, star_schemas
 from starnorm.sinks import write_csv, write_parquet, write_table
 from starnorm.sources import (
     count_malformed,
     from_rows,
     preview,
+    read_checked,
     read_flat,
     read_star_csv,
     read_star_parquet,
@@ -175,3 +177,131 @@ def test_staged_tables_can_be_cleared(spark, monkeypatch):
     assert staged(spark.range(3)).count() == 3
     clear_staged(spark)
     assert not Path(folder).exists()
+
+
+def test_every_malformed_value_is_accounted_for(spark, tmp_path):
+    path = tmp_path / "in.csv"
+    path.write_text(
+        "s,b,a,t,further\n"
+        "x,2.5,1,2024-01-01T00:00:00Z,f\n"
+        '"q ""u"", z",bad,no,2024-01-01,f\n'
+        ",,,,\n"
+        "short,4\n"
+        "long,6,5,2020-01-01,f,extra\n"
+        '"",,7,soon,f\n'
+        "nan,NaN,9,2024-02-30,f\n"
+    )
+    schema = spark.createDataFrame([], "a int, b double, t timestamp, s string").schema
+    read = read_checked(spark, str(path), schema)
+    assert read.rows.columns == read.good.columns == ["a", "b", "t", "s"]
+    assert read.rows.count() == 7
+    assert sorted((r.a, r.b, r.s) for r in read.rows.where("s IS NOT NULL").collect() if r.a) == [
+        (1, 2.5, "x"), (5, 6.0, "long"), (7, None, ""), (9, pytest.approx(float("nan"), nan_ok=True), "nan")
+    ]
+    assert sorted(map(str, (r.s for r in read.good.collect()))) == ["None", "x"]
+    assert sorted((r.record, r.columns) for r in read.rejected.collect()) == [
+        ('"",,7,soon,f', ["t"]),
+        ('"q ""u"", z",bad,no,2024-01-01,f', ["a", "b"]),
+        ("long,6,5,2020-01-01,f,extra", []),
+        ("nan,NaN,9,2024-02-30,f", ["t"]),
+        ("short,4", []),
+    ]
+    counts = {r.column_name: r.n_malformed for r in read.counts.collect()}
+    assert counts == {"a": 1, "b": 1, "t": 2, "s": 0, None: 2}
+
+
+def test_nothing_malformed(spark, visits_csv):
+    read = read_checked(spark, visits_csv, FLAT_SCHEMA)
+    given = from_rows(spark, VISITS, FLAT_SCHEMA)
+    for rows in (read.rows, read.good):
+        assert sorted(rows.collect(), key=repr) == sorted(given.collect(), key=repr)
+    assert read.rejected.count() == 0
+    assert {r.n_malformed for r in read.counts.collect()} == {0}
+    assert read.counts.count() == len(FLAT_SCHEMA) + 1
+
+
+@pytest.mark.parametrize("malformed", ["null", "reject"])
+def test_job_reports_malformed_values(spark, tmp_path, malformed):
+    given = from_rows(spark, VISITS, FLAT_SCHEMA).coalesce(1)
+    first = given.agg(F.min("visit_id")).first()[0]
+    spoiled = given.withColumn(
+        "billing_total_charge",
+        F.when(F.col("visit_id") == first, "a lot").otherwise(F.col("billing_total_charge").cast("string")),
+    )
+    path = write_csv(spoiled, str(tmp_path), "visits")
+    tables, _ = run(spark, path, str(tmp_path / "out"), malformed=malformed)
+    counts = malformed_counts(spark, str(tmp_path / "out")).collect()
+    assert [(r.column_name, r.n_malformed) for r in counts] == [("billing_total_charge", 1)]
+    (rejected,) = spark.read.parquet(str(tmp_path / "out/malformed/rejected")).collect()
+    assert rejected.columns == ["billing_total_charge"] and "a lot" in rejected.record
+    assert tables["FactVisit"].count() == len(VISITS) - (malformed == "reject")
+    with pytest.raises(ValueError, match="malformed"):
+        run(spark, path, str(tmp_path / "out"), malformed="ignore")
+
+
+AWKWARD = [" a ", "", None, 'say "hi"', "two\nlines", "back\\", "\\n", "\\\\s\\", "a,b", "\r\n", "\n"]
+AWKWARD += ["", "\\e", "\\n"]
+
+
+@pytest.mark.parametrize("layout", ["parts", "single"])
+def test_escaped_lines_are_records(spark, tmp_path, layout):
+    frame = spark.createDataFrame(list(enumerate(AWKWARD)), "n int, s string")
+    path = write_csv(frame, str(tmp_path), "t", layout=layout, line_breaks="escaped")
+    assert spark.read.text(path).where("value <> 'n,s'").count() == len(AWKWARD)
+    again = read_star_csv(spark, str(tmp_path), {"t": frame.schema}, line_breaks="escaped")["t"]
+    assert {r.n: r.s for r in again.collect()} == dict(enumerate(AWKWARD))
+    with pytest.raises(ValueError, match="line_breaks"):
+        write_csv(frame, str(tmp_path), "t", line_breaks="none")
+
+
+def test_one_file_is_read_by_several_tasks(spark, tmp_path):
+    words = F.concat_ws("\n", F.col("id").cast("string"), F.repeat(F.lit("word\\ "), 40))
+    frame = spark.range(20_000).select("id", words.alias("s"))
+    write_csv(frame, str(tmp_path), "t", layout="single", line_breaks="escaped")
+    schemas = {"t": frame.schema}
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(512 * 1024))
+    try:
+        split = read_star_csv(spark, str(tmp_path), schemas, line_breaks="escaped")["t"]
+        tasks = split.select(F.spark_partition_id().alias("p")).distinct().count()
+        assert tasks >= 8
+        assert split.exceptAll(frame).count() == frame.exceptAll(split).count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def _failing(frame):
+    """A frame whose last rows raise, after others are written."""
+    return frame.withColumn("id", F.when(F.col("id") < 990, F.col("id")).otherwise(F.raise_error(F.lit("midway")).cast("long")))
+
+
+@pytest.mark.parametrize("layout", ["parts", "single", "parquet"])
+def test_a_job_that_fails_leaves_the_old_table(spark, tmp_path, layout):
+    def write(frame):
+        if layout == "parquet":
+            return write_parquet(frame, str(tmp_path), "t")
+        return write_csv(frame, str(tmp_path), "t", layout=layout)
+
+    def read(path):
+        frame = spark.read.parquet(path) if layout == "parquet" else read_flat(spark, path, schema)
+        return frame.count()
+
+    old, new = spark.range(10), spark.range(0, 1000, numPartitions=8)
+    schema = old.schema
+    path = write(old)
+    with pytest.raises(Exception, match="midway"):
+        write(_failing(new))
+    assert read(path) == 10
+    assert read(write(new)) == 1000
+    left = [p.name for p in tmp_path.iterdir() if not p.name.endswith(".crc")]
+    assert left == ["t" if layout == "parquet" else "t.csv"]
+
+
+def test_a_replacement_cut_off_is_undone(spark, tmp_path):
+    path = Path(write_parquet(spark.range(10), str(tmp_path), "t"))
+    path.rename(tmp_path / ".t.replaced")  # as if the process had died between two renames
+    recover_tree(spark, str(path))
+    assert spark.read.parquet(str(path)).count() == 10
+    again = write_parquet(spark.read.parquet(str(path)).limit(3), str(tmp_path), "t")
+    assert spark.read.parquet(again).count() == 3
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
