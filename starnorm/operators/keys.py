@@ -52,3 +52,15 @@ def in_type(column: Column, kind: T.DataType, wanted: T.DataType) -> Column:
     if kind == wanted:
         return column
     return column.try_cast(wanted) if isinstance(kind, T.StringType) else column.cast(wanted)
+
+
+def may_merge(kind: T.DataType, wanted: T.DataType) -> bool:
+    """Whether unlike values of one type may become one value in another."""
+    if kind == wanted:
+        return False
+    if isinstance(kind, T.StringType):
+        return not isinstance(wanted, T.StringType)  # '1' and '01'
+    if isinstance(wanted, T.DoubleType):
+        return not isinstance(kind, (T.FloatType, T.ByteType, T.ShortType, T.IntegerType))
+    # An hour of local time that a zone skips is another hour there.
+    return isinstance(kind, T.TimestampNTZType) and isinstance(wanted, T.TimestampType)

@@ -6,10 +6,11 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starnorm.operators.keys import common_type, in_type
+from starnorm.operators.dedupe import one_row_per_key
+from starnorm.operators.keys import common_type, in_type, may_merge
 from starnorm.sizing import BROADCAST_BYTES, fits
 from starnorm.staging import staged
 
@@ -32,6 +33,24 @@ def _hot_keys(source: DataFrame, keys: Sequence[Column]) -> DataFrame:
     return counts.filter(F.col("count") * HOT_PARTS > total).drop("count")
 
 
+def _first_of_each(
+    right: DataFrame, keys: Sequence[str], stored: Sequence[str], row_count: str | None
+) -> DataFrame:
+    """One row per aligned key, with the fact rows of all keys that became it.
+
+    A key that is no value of the wanted type is null and goes: it has no partner, and
+    must not become one of a null key.
+    """
+    lost = reduce(
+        or_, (F.col(k).isNull() & F.col(s).isNotNull() for k, s in zip(keys, stored, strict=True))
+    )
+    right = right.filter(~lost)
+    if row_count:
+        total = F.sum("__rows").over(Window.partitionBy(*keys))
+        right = right.withColumn("__rows", total)
+    return one_row_per_key(right, keys, order_by=stored)
+
+
 def lookup(
     facts: DataFrame,
     table: DataFrame,
@@ -52,7 +71,9 @@ def lookup(
     ``null_safe``.
 
     Keys of unlike types are brought into one type first, whatever way the join goes;
-    kinds that do not compare raise.
+    kinds that do not compare raise. Keys of ``table`` that become one key there, as
+    '1' and '01' do next to a number, are one row: the first by its key as stored, then
+    by what is taken. So a row of ``facts`` is one row of the result.
 
     A table measured to fit ``broadcast_bytes`` is broadcast and ``facts`` does not
     move. Beyond that both sides are shuffled on the key, except that the few hot
@@ -74,6 +95,8 @@ def lookup(
     fact_keys = [in_type(F.col(c), t, k) for c, t, k in zip(on, left_types, kinds, strict=True)]
     keyed = facts.withColumns(dict(zip(on_columns, fact_keys, strict=True)))
     extra = [F.col(row_count).alias("__rows")] if row_count else []
+    stored = [f"__stored{i}" for i in range(len(on))]
+    extra += [F.col(c).alias(name) for name, c in zip(stored, on.values(), strict=True)]
     right = table.select(
         *[
             in_type(F.col(c), t, k).alias(name)
@@ -83,7 +106,14 @@ def lookup(
         *extra,
     )
     taken = [f"__take{i}" for i in range(len(take))]
+    if any(may_merge(t, k) for t, k in zip(right_types, kinds, strict=True)):
+        right = _first_of_each(right, keys, stored, row_count)
     matched = _matches(on_columns, keys, null_safe)
+    if null_safe:
+        # A key that is no value of the wanted type is null now, but matches no null.
+        lost = (F.col(c).isNull() & F.col(raw).isNotNull() for c, raw in zip(on_columns, on, strict=True))
+        keyed = keyed.withColumn("__lost", reduce(or_, lost))
+        matched &= ~F.col("__lost")
 
     partners = right.select(*keys, *taken)
     if small is None:
@@ -108,6 +138,8 @@ def lookup(
         "hot-keys",
     )
     hot_matched = _matches(on_columns, [f"__hot{k}" for k in keys], null_safe)
+    if null_safe:
+        hot_matched &= ~F.col("__lost")
     # The input partition keeps exact copies of a row apart; both parts of the seed
     # are the same when a lost task runs again.
     seed = spread_by or [c for c in facts.columns if c not in on] or facts.columns

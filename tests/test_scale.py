@@ -148,6 +148,39 @@ def test_lookup_is_the_same_at_any_size(spark, settings, fact, key, matches):
     assert check.mismatch_count == 60_000 - matches and check.null_count == 0
 
 
+@pytest.mark.parametrize("null_safe", [False, True])
+@pytest.mark.parametrize("route", ["broadcast", "shuffled", "hot", "salted", "counted"])
+def test_keys_that_become_one_are_one_row(spark, monkeypatch, settings, route, null_safe):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    module = sys.modules["starnorm.operators.lookup"]
+    if route in ("hot", "salted"):
+        monkeypatch.setattr(module, "HOT_PARTS", 3)
+    if route == "salted":
+        monkeypatch.setattr(module, "BROADCAST_BYTES", 0)
+    facts = spark.createDataFrame([(i, i % 4 or None) for i in range(40)], "id int, k int")
+    table = spark.createDataFrame(
+        [("1", "b", 9), ("01", "a", 1), (" 1", "c", 1), ("2", "d", 5), ("x", "e", 0), (None, "n", 10)],
+        "key string, v string, n long",
+    )
+    limit = 1 << 30 if route == "broadcast" else 0
+    counted = "n" if route == "counted" else None
+    found = lookup(
+        facts, table, {"k": "key"}, {"v": "v"}, null_safe=null_safe, broadcast_bytes=limit, row_count=counted
+    )
+    # The first of ' 1', '01' and '1' as text; 'x' is no number, and not a null either.
+    expected = {0: "n" if null_safe else None, 1: "c", 2: "d", 3: None}
+    assert {r.id: r.v for r in found.collect()} == {i: expected[i % 4] for i in range(40)}
+    assert found.count() == 40
+
+
+def test_text_that_is_no_number_matches_no_null(spark):
+    facts = spark.createDataFrame([("x",), ("01",), (None,)], "k string")
+    table = spark.createDataFrame([(1, "one"), (None, "none")], "key int, v string")
+    for limit in (0, 1 << 30):
+        found = lookup(facts, table, {"k": "key"}, {"v": "v"}, null_safe=True, broadcast_bytes=limit)
+        assert {r.k: r.v for r in found.collect()} == {"x": None, "01": "one", None: "none"}
+
+
 def test_kinds_that_do_not_compare_are_refused(spark):
     facts = spark.createDataFrame([(1,)], "k int")
     table = spark.createDataFrame([], "key date")
