@@ -82,3 +82,16 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     pattern, fs = _path(spark, path)
     found = fs.globStatus(pattern) or []
     return sum(fs.getContentSummary(status.getPath()).getLength() for status in found)
+
+
+def stored_version(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """Files, bytes and newest change below a path: unlike for unlike contents in practice."""
+    pattern, fs = _path(spark, path)
+    files = size = newest = 0
+    for status in fs.globStatus(pattern) or []:
+        found = fs.listFiles(status.getPath(), True)
+        while found.hasNext():
+            each = found.next()
+            files, size = files + 1, size + each.getLen()
+            newest = max(newest, each.getModificationTime())
+    return files, size, newest

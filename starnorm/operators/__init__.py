@@ -2,8 +2,15 @@
 
 from starnorm.operators.counts import count_by, count_by_dimension, row_counts, with_share
 from starnorm.operators.dedupe import one_row_per_key
-from starnorm.operators.dense_key import dense_key
-from starnorm.operators.dimensions import keyed_dim, last_activity, natural_dim, status_dim
+from starnorm.operators.dense_key import dense_key, dense_keys
+from starnorm.operators.dimensions import (
+    Numbered,
+    keyed_dim,
+    last_activity,
+    natural_dim,
+    natural_dims,
+    status_dim,
+)
 from starnorm.operators.fact import Attach, attach_keys, build_fact
 from starnorm.operators.integrity import FkEdge, fk_check, fk_orphans, fk_suite
 from starnorm.operators.lookup import lookup
@@ -22,6 +29,7 @@ __all__ = [
     "Attach",
     "FkEdge",
     "JoinEdge",
+    "Numbered",
     "approximate_profile",
     "attach_keys",
     "build_fact",
@@ -30,6 +38,7 @@ __all__ = [
     "count_by",
     "count_by_dimension",
     "dense_key",
+    "dense_keys",
     "estimated",
     "fk_check",
     "fk_orphans",
@@ -40,6 +49,7 @@ __all__ = [
     "lookup",
     "merged",
     "natural_dim",
+    "natural_dims",
     "one_row_per_key",
     "profile_tables",
     "relative_error",

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
+from graphlib import CycleError, TopologicalSorter
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +14,7 @@ from pyspark.sql import functions as F
 from starnorm.functions.activity import ACTIVE, CUTOFF, INACTIVE, activity_status, as_timestamp
 from starnorm.functions.nulls import any_null
 from starnorm.operators.dedupe import one_row_per_key
-from starnorm.operators.dense_key import dense_key
+from starnorm.operators.dense_key import dense_key, dense_keys
 
 
 def keyed_dim(
@@ -59,6 +63,81 @@ def natural_dim(
     return dense_key(counted, natural_key, id_name)
 
 
+@dataclass(frozen=True)
+class Numbered:
+    """A natural-keyed dimension among several built in one pass; see :func:`natural_dims`."""
+
+    natural_key: tuple[str, ...]
+    id_name: str
+    drop_all_null: bool = False
+
+
+def in_one_order(keys: Iterable[Sequence[str]]) -> list[str] | None:
+    """All columns in an order that keeps every key's own; None if no order does."""
+    after: dict[str, set[str]] = {}
+    for key in keys:
+        for i, column in enumerate(key):
+            after.setdefault(column, set()).update(key[:i])
+    try:
+        return list(TopologicalSorter(after).static_order())
+    except CycleError:
+        return None
+
+
+def natural_dims(
+    df: DataFrame, dims: Mapping[str, Numbered], row_count: str = "n_rows"
+) -> dict[str, DataFrame]:
+    """Several natural-keyed dimensions from one scan, one shuffle and one sort.
+
+    The keys of all dimensions are the grouping sets of one aggregation, which counts the
+    rows behind each key and leaves a task with a key once, however hot it is. The keys of
+    all sets are then sorted and numbered together, within their set.
+
+    Each result has its surrogate first, its key, and ``row_count``. They read one staged
+    table, sorted by dimension. Where two keys have the same columns, but not the same
+    order or treatment of nulls, or where their orders contradict each other, all are
+    built one by one.
+    """
+    flags: dict[tuple[str, ...], set[bool]] = {}
+    for dim in dims.values():
+        flags.setdefault(dim.natural_key, set()).add(dim.drop_all_null)
+    keys = list(flags)
+    columns = in_one_order(keys)
+    alike = len({frozenset(key) for key in keys}) < len(keys) or any(len(f) > 1 for f in flags.values())
+    if columns is None or len(keys) < 2 or alike:
+        return {
+            name: natural_dim(
+                df, dim.natural_key, dim.id_name, drop_all_null=dim.drop_all_null, row_count=row_count
+            )
+            for name, dim in dims.items()
+        }
+    stand_ins = {c: f"__c{i}" for i, c in enumerate(columns)}
+    sets = [[F.col(stand_ins[c]) for c in key] for key in keys]
+    rows = df.select(*[F.col(c).alias(s) for c, s in stand_ins.items()])
+    grouped = rows.groupingSets(sets, *[F.col(s) for s in stand_ins.values()]).agg(
+        F.grouping_id().alias("__set"), F.count(F.lit(1)).alias("__rows")
+    )
+    # In the number of a set, the bit of a column it lacks is set, the first column's highest.
+    last = len(columns) - 1
+    number = {
+        key: sum(1 << last - i for i, c in enumerate(columns) if c not in key) for key in keys
+    }
+    for key in keys:
+        if flags[key] == {True}:
+            absent = reduce(and_, (F.col(stand_ins[c]).isNull() for c in key))
+            grouped = grouped.filter((F.col("__set") != number[key]) | ~absent)
+    numbered = dense_keys(grouped, ["__set"], list(stand_ins.values()), "__id")
+
+    def of(dim: Numbered) -> DataFrame:
+        return numbered.filter(F.col("__set") == number[dim.natural_key]).select(
+            F.col("__id").alias(dim.id_name),
+            *[F.col(stand_ins[c]).alias(c) for c in dim.natural_key],
+            F.col("__rows").alias(row_count),
+        )
+
+    return {name: of(dim) for name, dim in dims.items()}
+
+
 def last_activity(df: DataFrame, key: str, ts: str, name: str = "last_activity") -> DataFrame:
     """Latest timestamp per key."""
     moment = as_timestamp(F.col(ts), df.schema[ts].dataType)

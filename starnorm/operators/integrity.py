@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starnorm.operators.keys import common_type, in_type
 from starnorm.operators.lookup import lookup
@@ -101,15 +102,118 @@ def fk_orphans(
     return found.filter(F.col("__known").isNull()).select(*facts.columns)
 
 
+# Keys of these types are compared as numbers, all others as a text that differs exactly
+# where the values do.
+_LONG, _TEXT = "__long", "__text"
+
+
+def _as_entry(column: Column, kind: T.DataType) -> tuple[Column, Column]:
+    """A key in the common type as (number, text), one of which is always null."""
+    none_long, none_text = F.lit(None).cast("bigint"), F.lit(None).cast("string")
+    if isinstance(kind, (T.IntegralType, T.BooleanType)):
+        return column.cast("bigint"), none_text
+    if isinstance(kind, T.DateType):
+        return F.unix_date(column).cast("bigint"), none_text
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(column), none_text
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return none_long, (column + F.lit(0.0)).cast("string")  # one zero
+    if isinstance(kind, T.BinaryType):
+        return none_long, F.hex(column)
+    return none_long, column.cast("string")
+
+
+_ENTRY = (_LONG, _TEXT, "__rows", "__nulls", "__known")
+
+
+def _unpivoted(table: DataFrame, entries: Mapping[int, tuple[Column, ...]]) -> DataFrame:
+    """A row (edge, number, text, rows, nulls, known) for every row of ``table`` and edge."""
+    wide = table.select(
+        *[c.alias(f"{name}{i}") for i, entry in entries.items() for name, c in zip(_ENTRY, entry, strict=True)]
+    )
+    sets = ", ".join(f"({', '.join(f'{n}{i}' for n in _ENTRY)}) AS `{i}`" for i in entries)
+    return table.sparkSession.sql(
+        f"SELECT CAST(__edge AS INT) AS __edge, {', '.join(_ENTRY)} FROM {{wide}} "
+        f"UNPIVOT INCLUDE NULLS (({', '.join(_ENTRY)}) FOR __edge IN ({sets}))",
+        wide=wide,
+    )
+
+
 def fk_suite(tables: Mapping[str, DataFrame], edges: Iterable[FkEdge]) -> DataFrame:
-    """One report row per edge, all edges in one Spark job."""
-    reports = [
-        fk_check(
-            tables[e.table], tables[e.dim], e.fk, e.dim_key, e.dim, nullable=e.nullable
-        ).withColumn("table_name", F.lit(e.table))
-        for e in edges
+    """One report row per edge; every table is read once for all edges that leave it.
+
+    A table becomes (edge, key) pairs, counted with a map-side step, so a hot key leaves
+    a task as one row. The keys of a dimension are pairs of every edge that leads to it,
+    counted as zero rows. All of them are brought together by one shuffle on edge and
+    key: a pair that no dimension gave is unmatched.
+    """
+    edges = list(edges)
+    leaving: dict[str, dict[int, tuple[Column, ...]]] = {}
+    entering: dict[str, dict[int, tuple[Column, ...]]] = {}
+    for i, e in enumerate(edges):
+        left, right = tables[e.table].schema[e.fk].dataType, tables[e.dim].schema[e.dim_key].dataType
+        kind = common_type(left, right)
+        number, text = _as_entry(in_type(F.col(e.fk), left, kind), kind)
+        is_null = F.col(e.fk).isNull().cast("int")
+        leaving.setdefault(e.table, {})[i] = (number, text, F.lit(1), is_null, F.lit(False))
+        number, text = _as_entry(in_type(F.col(e.dim_key), right, kind), kind)
+        # A null key of a dimension is nobody's partner.
+        known = number.isNotNull() | text.isNotNull()
+        entering.setdefault(e.dim, {})[i] = (number, text, F.lit(0), F.lit(0), known)
+    parts = [
+        _unpivoted(tables[table], entries)
+        for pairs in (leaving, entering)
+        for table, entries in pairs.items()
     ]
-    union = reduce(DataFrame.unionByName, reports)
-    return union.select(
-        "table_name", "dim_name", "fk_col", "null_count", "mismatch_count", "passed"
+    counts = (
+        reduce(DataFrame.unionByName, parts)
+        .groupBy("__edge", _LONG, _TEXT)
+        .agg(
+            F.sum("__rows").alias("__rows"),
+            F.sum("__nulls").alias("__nulls"),
+            F.max("__known").alias("__known"),
+        )
+    )
+    spark = counts.sparkSession
+    described = F.array(
+        *[
+            F.struct(
+                F.lit(e.table).alias("table_name"),
+                F.lit(e.dim).alias("dim_name"),
+                F.lit(e.fk).alias("fk_col"),
+                F.lit(e.nullable).alias("nullable"),
+            )
+            for e in edges
+        ]
+    )
+    # Edges of empty tables have a report, too.
+    zero = F.lit(0).cast("bigint")
+    every = spark.range(len(edges)).select(
+        F.col("id").cast("int").alias("__edge"),
+        zero.alias("__rows"),
+        zero.alias("__nulls"),
+        F.lit(True).alias("__known"),
+    )
+    unmatched = F.when(~F.col("__known"), F.col("__rows")).otherwise(0)
+    # A key that is no value of the other's type is unmatched, but not null.
+    unmatched_nulls = F.when(~F.col("__known"), F.col("__nulls")).otherwise(0)
+    totals = (
+        counts.select("__edge", "__rows", "__nulls", "__known")
+        .unionByName(every)
+        .groupBy("__edge")
+        .agg(
+            F.sum("__nulls").alias("null_count"),
+            F.sum(unmatched).alias("__unmatched"),
+            F.sum(unmatched_nulls).alias("__unmatched_nulls"),
+        )
+        .withColumn("__e", F.element_at(described, F.col("__edge") + 1))
+    )
+    allowed = F.when(F.col("__e.nullable"), F.col("__unmatched_nulls")).otherwise(0)
+    return totals.withColumn("mismatch_count", F.col("__unmatched") - allowed).select(
+        "__e.table_name",
+        "__e.dim_name",
+        "__e.fk_col",
+        "null_count",
+        "mismatch_count",
+        (F.col("mismatch_count") == 0).alias("passed"),
     )

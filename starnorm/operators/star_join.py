@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starnorm.catalogue import TableSizes
 from starnorm.operators.lookup import lookup
 from starnorm.sizing import BROADCAST_BYTES, fits
 
@@ -29,6 +30,7 @@ def star_join(
     columns: Mapping[str, tuple[str, str]],
     *,
     spread_by: Sequence[str] | None = None,
+    sizes: Mapping[str, TableSizes] | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Every row of ``root`` with the requested columns of the tables around it.
@@ -37,7 +39,12 @@ def star_join(
     requested column needs it. Chains are joined from their far end, each at the
     size of its own table, so the root moves at most once per direct edge.
     ``spread_by`` names columns of ``root``; see :func:`lookup`.
+
+    ``sizes`` is what is known of the tables, by name. A table that this proves small
+    enough to broadcast, with what hangs on it, is not measured: it has as many rows as
+    it had before, and each text from further tables is at most the longest there.
     """
+    sizes = sizes or {}
     edges = list(edges)
     if len({e.to for e in edges}) < len(edges):
         raise ValueError("two edges lead to one table; give it a name per role")
@@ -46,6 +53,20 @@ def star_join(
         own = any(t == table for t, _ in columns.values())
         return own or any(e.table == table and wanted(e.to) for e in edges)
 
+    def proven(table: str, key: str, take: Sequence[str]) -> bool:
+        """Whether the sizes say that ``take``, which come with ``table``, are small."""
+        if table not in sizes or broadcast_bytes <= 0:
+            return False
+        rows = sizes[table].rows
+        total = sizes[table].bound([key])
+        for owner, column in (columns[name] for name in take):
+            if total is None or owner not in sizes:
+                return False
+            own = owner == table
+            more = sizes[owner].bound([column], rows=None if own else rows)
+            total = None if more is None else total + more
+        return total is not None and total <= broadcast_bytes
+
     def collect(table: str) -> DataFrame:
         """``table`` with its own and its descendants' requested columns."""
         out = [e for e in edges if e.table == table and wanted(e.to)]
@@ -63,7 +84,10 @@ def star_join(
             below = collect(e.to)
             take = [c for c in below.columns if c in columns]
             needed = below.select(f"__{e.to}_{e.key}", *take)
-            steps.append((e, needed, take, fits(needed, broadcast_bytes, rows_of=tables[e.to])))
+            small = proven(e.to, e.key, take) or fits(
+                needed, broadcast_bytes, rows_of=tables[e.to]
+            )
+            steps.append((e, needed, take, small))
         # Tables too large to broadcast go first, while the rows to shuffle are narrow.
         for e, below, take, small in sorted(steps, key=lambda step: step[3]):
             rows = lookup(

@@ -11,10 +11,16 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
 from starnorm.hadoop import stored_bytes
-from starnorm.operators.dimensions import keyed_dim, natural_dim, status_dim
+from starnorm.operators.dimensions import (
+    Numbered,
+    keyed_dim,
+    natural_dim,
+    natural_dims,
+    status_dim,
+)
 from starnorm.operators.fact import Attach, build_fact
 from starnorm.plans.spec import KeyedDim, NaturalDim, StarSpec, StatusDim
-from starnorm.sizing import BROADCAST_BYTES, fits, sized_shuffles
+from starnorm.sizing import BROADCAST_BYTES, fit_together, sized_shuffles
 from starnorm.staging import lasting, scratch, write_staged
 
 ROW_COUNT = "__rows"
@@ -79,9 +85,10 @@ def normalize(
     first, so that every dimension reads its own columns only, and sizes the shuffles
     by it.
 
-    Dimensions do not depend on one another; up to ``side_by_side`` are submitted
-    at a time, and the fact as soon as its surrogates are there, so the tail of one
-    job leaves no executor idle.
+    All natural-keyed dimensions are found by one scan and one shuffle; see
+    :func:`natural_dims`. The others do not depend on one another; up to ``side_by_side``
+    are submitted at a time, and the fact as soon as its surrogates are there, so the
+    tail of one job leaves no executor idle.
     """
     names = spec.tables if only is None else only
     unknown = set(names) - set(spec.tables)
@@ -111,32 +118,46 @@ def _build(
         with lasting():
             return keep(table, name)
 
-    def finish(dim: Dim) -> tuple[DataFrame | None, Attach | None]:
-        built = build_dimension(flat, dim)
-        table = built.drop(ROW_COUNT)
-        attach = None
-        if with_fact and isinstance(dim, NaturalDim):
-            small = fits(table, broadcast_bytes)
-            attach = Attach(built, dim.natural_key, dim.id_name, row_count=ROW_COUNT, small=small)
-        return kept(table, dim.name) if dim.name in names else None, attach
-
     with_fact = spec.fact.name in names
     dims = spec.dims_for(names)
-    submit_first = sorted(dims, key=lambda dim: not isinstance(dim, NaturalDim))
-    run = inheritable_thread_target(flat.sparkSession)(finish)
+    natural = [dim for dim in dims if isinstance(dim, NaturalDim)]
+
+    def number() -> dict[str, DataFrame]:
+        keys = {d.name: Numbered(d.natural_key, d.id_name, d.drop_all_null) for d in natural}
+        return natural_dims(flat, keys, ROW_COUNT)
+
+    def finish(dim: Dim) -> DataFrame:
+        return kept(build_dimension(flat, dim), dim.name)
+
+    def side_job(pool: ThreadPoolExecutor, function: Callable, *args):
+        run = inheritable_thread_target(flat.sparkSession)(function)
+        return pool.submit(copy_context().run, run, *args)
+
     with ThreadPoolExecutor(max_workers=side_by_side) as pool:
-        jobs = {dim.name: pool.submit(copy_context().run, run, dim) for dim in submit_first}
+        # The fact waits for the surrogates only.
+        numbering = side_job(pool, number)
+        jobs = {d.name: side_job(pool, finish, d) for d in dims if d not in natural}
+        built = numbering.result()
+        for dim in natural:
+            if dim.name in names:
+                table = built[dim.name].drop(ROW_COUNT)
+                jobs[dim.name] = side_job(pool, kept, table, dim.name)
         if with_fact:
-            # The fact waits for the surrogates only.
-            numbered = [jobs[d.name].result()[1] for d in dims if isinstance(d, NaturalDim)]
+            numbered = [d for d in natural if d.id_name in spec.fact.columns]
+            small = fit_together(
+                {d.name: built[d.name].drop(ROW_COUNT) for d in numbered}, broadcast_bytes
+            )
             fact = build_fact(
                 flat,
-                [attach for attach in numbered if attach.id_name in spec.fact.columns],
+                [
+                    Attach(built[d.name], d.natural_key, d.id_name, ROW_COUNT, small[d.name])
+                    for d in numbered
+                ],
                 spec.fact.columns,
                 spec.fact.grain,
                 null_safe=spec.fact.null_safe,
                 broadcast_bytes=broadcast_bytes,
             )
             fact = kept(fact, spec.fact.name)
-        tables = {dim.name: jobs[dim.name].result()[0] for dim in dims if dim.name in names}
+        tables = {dim.name: jobs[dim.name].result() for dim in dims if dim.name in names}
     return {**tables, spec.fact.name: fact} if with_fact else tables

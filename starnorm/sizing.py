@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,28 @@ def fits(df: DataFrame, limit_bytes: int, *, rows_of: DataFrame | None = None) -
     return fixed + text_bytes <= limit_bytes
 
 
+def fit_together(frames: Mapping[str, DataFrame], limit_bytes: int) -> dict[str, bool]:
+    """:func:`fits` for each of several small-looking frames, in one job."""
+
+    def size(name: str, df: DataFrame) -> DataFrame:
+        texts = [f.name for f in df.schema if isinstance(f.dataType, _VARIABLE)]
+        fixed = F.lit(8 * len(df.columns)).cast("long")
+        lengths = (F.coalesce(F.octet_length(F.col(c)), F.lit(0)).cast("long") for c in texts)
+        total = F.coalesce(F.sum(sum(lengths, fixed)), F.lit(0))
+        return df.agg(total.alias("bytes")).select(F.lit(name).alias("name"), "bytes")
+
+    plain = {
+        name: df
+        for name, df in frames.items()
+        if not any(isinstance(f.dataType, _NESTED) for f in df.schema)
+    }
+    if limit_bytes <= 0 or not plain:
+        return dict.fromkeys(frames, False)
+    sizes = reduce(DataFrame.unionByName, [size(name, df) for name, df in plain.items()])
+    found = {row["name"]: row["bytes"] for row in sizes.collect()}  # a row a frame
+    return {name: name in found and found[name] <= limit_bytes for name in frames}
+
+
 @contextmanager
 def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[int]:
     """Shuffle partitions for an input of this size, for what runs inside the block.

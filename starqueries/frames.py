@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starnorm.catalogue import scan, sizes_of
 from starnorm.operators import FkEdge, JoinEdge, star_join
 from starnorm.plans.spec import FactSpec, KeyedDim, NaturalDim, StarSpec, StatusDim
 
@@ -32,7 +33,7 @@ _OWNERS = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return scan(spark, f"{sf_dir}/{name}.parquet")
 
 
 def _derived() -> dict[str, tuple[Column, tuple[str, ...]]]:
@@ -62,12 +63,14 @@ def flat(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     needed += [c for _, sources in derived.values() for c in sources]
     needed = list(dict.fromkeys(needed))
     tables = {name: table(spark, sf_dir, name) for name in _OWNERS.values()}
+    paths = {f"{sf_dir}/{name}.parquet": name for name in tables if name != "lineitem"}
     wide = star_join(
         tables,
         "lineitem",
         EDGES,
         {c: (_OWNERS[c[0]], c) for c in needed},
         spread_by=GRAIN,
+        sizes={paths[path]: sizes for path, sizes in sizes_of(spark, paths).items()},
     )
     return wide.select(
         *[derived[c][0].alias(c) if c in derived else F.col(c) for c in columns]

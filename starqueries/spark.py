@@ -408,7 +408,8 @@ def fact_attach_keys_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fact_build(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return normalize(star_input(spark, sf_dir), STAR, stage_input=True)[STAR.fact.name]
+    name = STAR.fact.name
+    return normalize(star_input(spark, sf_dir), STAR, only=[name], stage_input=True)[name]
 
 
 @query

@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starnorm.catalogue import TableSizes, staged_with_sizes
 from starnorm.operators import (
     column_profile,
     fk_suite,
@@ -153,12 +154,20 @@ def suite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sizes: dict[str, TableSizes] = {}
+
+    def keep(table: DataFrame, name: str) -> DataFrame:
+        stored, sizes[name] = staged_with_sizes(table, name)
+        return stored
+
+    star = normalize(visits(spark, sf_dir), STAR, keep=keep, stage_input=True)
     return star_join(
-        stored_tables(spark, sf_dir),
+        star,
         STAR.fact.name,
         STAR.join_edges,
         {column: (owner, column) for column, owner in WIDE.items()},
         spread_by=STAR.fact.grain,
+        sizes=sizes,
     )
 
 

@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from starnorm.operators import (
     Attach,
+    FkEdge,
     attach_keys,
     column_profile,
     count_by_dimension,
     dense_key,
     fk_check,
     fk_orphans,
+    fk_suite,
     lookup,
     natural_dim,
     one_row_per_key,
@@ -314,3 +316,33 @@ def test_shuffles_grow_with_the_input(spark, settings):
             assert chosen == partitions
             assert spark.conf.get("spark.sql.shuffle.partitions") == str(partitions)
         assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+
+
+def test_suite_agrees_with_single_checks_and_reads_each_table_once(spark, tmp_path):
+    facts = spark.createDataFrame(
+        [(1, "01", 1.5, "2024-01-01", None), (2, "x", -0.0, "2024-02-30", 1), (None, None, None, None, None)] * 3,
+        "a int, b string, c double, d string, e int",
+    ).withColumn("a2", F.col("a"))
+    dim = spark.createDataFrame([(1, "1", 0.0), (7, None, 1.5), (None, "2", None)], "k long, s string, f double")
+    dim = dim.withColumn("day", F.make_date(F.lit(2024), F.lit(1), F.lit(1)))
+    names = {"facts": facts, "dim": dim, "none": dim.limit(0), "empty": facts.limit(0)}
+    tables = {}
+    for name, frame in names.items():
+        frame.write.parquet(f"{tmp_path}/{name}")
+        tables[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    pairs = [("a", "k"), ("b", "k"), ("a", "s"), ("c", "f"), ("d", "day"), ("a2", "k"), ("e", "k"), ("b", "s")]
+    edges = [
+        FkEdge(table, fk, to, key, nullable)
+        for fk, key in pairs
+        for table, to, nullable in (("facts", "dim", False), ("facts", "dim", True), ("facts", "none", False), ("empty", "dim", True))
+    ]
+    suite = fk_suite(tables, edges)
+    text = plan(suite)
+    assert text.count(f"{tmp_path}/facts") == text.count(f"{tmp_path}/dim") == 1
+    expected = [
+        fk_check(tables[e.table], tables[e.dim], e.fk, e.dim_key, e.dim, nullable=e.nullable)
+        .select(F.lit(e.table).alias("table_name"), "*")
+        .first()
+        for e in edges
+    ]
+    assert sorted(map(tuple, suite.collect())) == sorted(map(tuple, expected))
