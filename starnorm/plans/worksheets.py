@@ -61,7 +61,7 @@ def visits_by_weekday_and_hour(tables: Tables) -> DataFrame:
 
 
 def yearly_visits_by_clinic(tables: Tables) -> DataFrame:
-    """Visits per year and clinic."""
+    """Visits per year and clinic, and the distinct patients behind them."""
     return count_by_dimension(
         tables["FactVisit"],
         tables["DimLocation"],
@@ -71,6 +71,8 @@ def yearly_visits_by_clinic(tables: Tables) -> DataFrame:
         "visit_id",
         by=[year_of(F.col("visit_datetime")).alias("year")],
         name="n_visits",
+        distinct_name="n_patients",
+        distinct="patient_id",
     )
 
 

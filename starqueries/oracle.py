@@ -364,8 +364,13 @@ SELECT dayofweek(ts) + 1 AS weekday_no, dayname(ts) AS weekday, hour(ts) AS hour
        count(event_id) AS n_visits
 FROM events GROUP BY ALL""",
     "mart_year_clinic": """
-SELECT year(o_orderdate) AS year, c_mktsegment, count(o_orderkey) AS n_visits
+SELECT year(o_orderdate) AS year, c_mktsegment, count(o_orderkey) AS n_visits,
+       count(DISTINCT o_custkey) AS n_patients
 FROM orders LEFT JOIN customer ON o_custkey = c_custkey GROUP BY ALL""",
+    "mart_year_status_parts": """
+SELECT year(l_shipdate) AS year, o_orderstatus, count(l_linenumber) AS n_lines,
+       count(DISTINCT l_partkey) AS n_parts
+FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL""",
     "lines_per_product": f"""
 WITH {FLAT},
 product AS ({_numbered("part", ["p_brand", "p_type", "p_size"], "product_id")})
@@ -564,7 +569,8 @@ SELECT dayofweek(visit_datetime) + 1 AS weekday_no, dayname(visit_datetime) AS w
 FROM fact_visit GROUP BY ALL""",
     "worksheet_yearly_visits_by_clinic": f"""
 WITH {VISIT_STAR}
-SELECT year(visit_datetime) AS year, clinic_name, count(visit_id) AS n_visits
+SELECT year(visit_datetime) AS year, clinic_name, count(visit_id) AS n_visits,
+       count(DISTINCT patient_id) AS n_patients
 FROM fact_visit f LEFT JOIN dim_location l ON f.location_id = l.location_id
 GROUP BY ALL""",
 }

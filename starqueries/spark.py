@@ -625,6 +625,24 @@ def mart_year_clinic(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey",
         by=[year_of(F.col("o_orderdate")).alias("year")],
         name="n_visits",
+        distinct_name="n_patients",
+    )
+
+
+@query
+def mart_year_status_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines and distinct parts per year and order status: neither column is the key."""
+    return count_by_dimension(
+        table(spark, sf_dir, "lineitem"),
+        table(spark, sf_dir, "orders"),
+        "l_orderkey",
+        "o_orderkey",
+        ["o_orderstatus"],
+        "l_linenumber",
+        by=[year_of(F.col("l_shipdate")).alias("year")],
+        name="n_lines",
+        distinct_name="n_parts",
+        distinct="l_partkey",
     )
 
 

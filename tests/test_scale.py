@@ -346,3 +346,33 @@ def test_suite_agrees_with_single_checks_and_reads_each_table_once(spark, tmp_pa
         for e in edges
     ]
     assert sorted(map(tuple, suite.collect())) == sorted(map(tuple, expected))
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 30])
+def test_distinct_values_by_fact_and_dimension_columns(spark, settings, limit):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    number = F.col("id")
+    facts = spark.range(6_000).select(
+        F.when(number % 3 == 0, "01").when(number % 3 == 1, (number % 9).cast("string")).alias("fk"),
+        F.when(number % 2 == 0, "hot").when(number % 4 == 1, (number % 700).cast("string")).alias("who"),
+        (number % 5).alias("day"),
+        F.when(number % 8 > 0, 1).alias("n"),
+    )
+    dim = spark.createDataFrame([(i, "g" if i % 2 else None) for i in range(6)], "k int, g string")
+    rows = facts.collect()
+    group = {i: "g" if i % 2 else None for i in range(6)}
+    for distinct in ("who", "fk", None):
+        got = count_by_dimension(
+            facts, dim, "fk", "k", ["g"], "n",
+            by=[(F.col("day") % 2).alias("odd")], name="rows", distinct_name="values", distinct=distinct,
+            broadcast_bytes=limit,
+        )
+        assert got.columns == ["odd", "g", "rows", "values"]
+        expected = {}
+        for r in rows:
+            key = (r.day % 2, group.get(int(r.fk)) if r.fk is not None else None)
+            entry = expected.setdefault(key, [0, set()])
+            entry[0] += r.n is not None
+            entry[1].add(r[distinct or "fk"])
+        expected = {k: (n, len(v - {None})) for k, (n, v) in expected.items()}
+        assert {(r.odd, r.g): (r.rows, r["values"]) for r in got.collect()} == expected

@@ -168,7 +168,7 @@ def test_worksheets(spark):
         "visit_type_distribution": [("t", 3, 0.75), ("u", 1, 0.25)],
         "visits_by_weekday_and_hour": [
             (1, "Sunday", 0, 1), (2, "Monday", 0, 2), (7, "Saturday", 13, 1)],
-        "yearly_visits_by_clinic": [(2023, "C", 1), (2024, "C", 3)],
+        "yearly_visits_by_clinic": [(2023, "C", 1, 1), (2024, "C", 3, 2)],
     }
 
 
