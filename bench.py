@@ -37,6 +37,8 @@ HEADLINES = (
     "star_wide",
     "snowflake_chain",
     "column_profile",
+    "approximate_profile",
+    "scan_csv_malformed",
     "mart_gender",
     "mart_payment_share",
     "mart_visit_type",
@@ -44,6 +46,7 @@ HEADLINES = (
     "mart_year_clinic",
     "visits_fact",
     "visits_job",
+    "visits_fk_suite",
     "worksheet_yearly_visits_by_clinic",
 )
 

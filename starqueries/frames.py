@@ -32,6 +32,9 @@ _OWNERS = {
 }
 
 
+SOURCES = tuple(_OWNERS.values())
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return scan(spark, f"{sf_dir}/{name}.parquet")
 
@@ -62,7 +65,7 @@ def flat(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     needed = [c for c in columns if c not in derived]
     needed += [c for _, sources in derived.values() for c in sources]
     needed = list(dict.fromkeys(needed))
-    tables = {name: table(spark, sf_dir, name) for name in _OWNERS.values()}
+    tables = {name: table(spark, sf_dir, name) for name in SOURCES}
     paths = {f"{sf_dir}/{name}.parquet": name for name in tables if name != "lineitem"}
     wide = star_join(
         tables,

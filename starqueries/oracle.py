@@ -545,6 +545,8 @@ ORACLE |= {
     + " UNION ALL ".join(_profiled(c, "fact_visit") for c in ["visit_id", *FACT]),
     "visits_star_profile": VISIT_PROFILE,
     "visits_job_fact_csv": f"WITH {VISIT_STAR} SELECT * FROM fact_visit",
+    "visits_job_inferred_fact": f"WITH {VISIT_STAR} SELECT * FROM fact_visit",
+    "visits_job_escaped_csv": f"WITH {VISIT_STAR} SELECT * FROM dim_billing",
     "visits_job_profile_parquet": VISIT_PROFILE,
     "worksheet_patients_by_gender": f"""
 WITH {VISIT_STAR}

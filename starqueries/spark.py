@@ -688,11 +688,12 @@ QUERIES |= {
 QUERIES |= {f"worksheet_{name}": _worksheet(q) for name, q in WORKSHEETS.items()}
 
 
-def _run_visits_job(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+def _run_visits_job(spark: SparkSession, sf_dir: str, **options) -> tuple[str, DataFrame]:
     """The batch job over a CSV of the visits, writing both formats; output and key report."""
     folder = staging_path(spark, "visits-job")
     visits.visits(spark, sf_dir).write.option("header", True).csv(f"{folder}/visits.csv")
-    _, report = run_job(spark, f"{folder}/visits.csv", f"{folder}/out", output_format="both")
+    options = {"output_format": "both", **options}
+    _, report = run_job(spark, f"{folder}/visits.csv", f"{folder}/out", **options)
     return f"{folder}/out", report
 
 
@@ -714,6 +715,22 @@ def visits_job_fact_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_local_time(read_star_csv(spark, f"{output}/csv", star_schemas())["FactVisit"])
 
 
+@query
+def visits_job_inferred_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact of a job that infers the types of all 47 columns."""
+    output, _ = _run_visits_job(spark, sf_dir, output_format="parquet", infer_schema=True)
+    name = VISIT_STAR.fact.name
+    return _with_local_time(read_star_parquet(spark, f"{output}/parquet", [name])[name])
+
+
+@query
+def visits_job_escaped_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Billing as the job wrote it in lines that readers may split."""
+    output, _ = _run_visits_job(spark, sf_dir, output_format="csv", line_breaks="escaped")
+    star = read_star_csv(spark, f"{output}/csv", star_schemas(), line_breaks="escaped")
+    return star["DimBilling"]
+
+
 @query
 def visits_job_profile_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The columns of every table the job wrote, read from its Parquet."""

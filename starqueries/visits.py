@@ -17,11 +17,11 @@ from starnorm.operators import (
 from starnorm.plans import visits as plan
 from starnorm.plans.normalize import normalize
 from starnorm.plans.visits import STAR
-from starnorm.hadoop import stored_bytes
+from starnorm.hadoop import delete_tree, stored_bytes, stored_version
 from starnorm.sinks import write_parquet
 from starnorm.sources import read_star_parquet
 from starnorm.staging import staged, staging_path
-from starqueries.frames import flat
+from starqueries.frames import SOURCES, flat
 
 # Every visit column as an expression over an order line and what surrounds it, in
 # words both engines read alike.
@@ -118,14 +118,21 @@ def stored_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return normalize(visits(spark, sf_dir), STAR, keep=staged, stage_input=True)
 
 
-_STORED: dict[tuple[str, str], str] = {}
+# By session and input: the version of the input's files, and the folder of the star.
+_STORED: dict[tuple[str, str], tuple[tuple, str]] = {}
 
 
 def stored_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The star as Parquet, written by the first query of a session that asks for it."""
+    """The star as Parquet, written by the first query of a session that asks for it.
+
+    It is built anew when a file of the input has changed, and the old one deleted.
+    """
     key = spark.sparkContext.applicationId, sf_dir
-    folder = _STORED.get(key)
-    if folder is None or not stored_bytes(spark, folder):
+    version = tuple(stored_version(spark, f"{sf_dir}/{name}.parquet") for name in SOURCES)
+    known, folder = _STORED.get(key, (None, None))
+    if known != version or not stored_bytes(spark, folder):
+        if folder:
+            delete_tree(spark, folder)
         folder = staging_path(spark, "visit-star")
 
         def keep(table: DataFrame, name: str) -> DataFrame:
@@ -133,7 +140,7 @@ def stored_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             return spark.read.schema(table.schema).parquet(f"{folder}/{name}")
 
         normalize(visits(spark, sf_dir), STAR, keep=keep, stage_input=True)
-        _STORED[key] = folder
+        _STORED[key] = version, folder
     names = [*(dim.name for dim in STAR.dims), STAR.fact.name]
     return read_star_parquet(spark, folder, names)
 

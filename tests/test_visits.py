@@ -1,6 +1,7 @@
 """The clinic-visit star on a small sample."""
 
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from samples import ON_THE_CUTOFF, TWICE, VISITS, visit
@@ -195,3 +196,19 @@ def test_only_kept_tables_stay_staged(spark, flat, monkeypatch, tmp_path):
     left = sorted(path.name.rsplit("-", 1)[0] for path in tmp_path.iterdir())
     assert left == sorted(kept)
     assert kept["FactVisit"].count() == len(VISITS)
+
+
+def test_a_stored_star_follows_its_input(spark, tmp_path):
+    from starqueries import visits
+    from starqueries.frames import SOURCES
+
+    for name in SOURCES:
+        spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    first = visits.stored_star(spark, str(tmp_path))["FactVisit"]
+    n, files = first.count(), first.inputFiles()
+    assert visits.stored_star(spark, str(tmp_path))["FactVisit"].inputFiles() == files
+    half = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").where("l_orderkey % 2 = 0")
+    half.write.mode("overwrite").parquet(f"{tmp_path}/lineitem.parquet")
+    again = visits.stored_star(spark, str(tmp_path))["FactVisit"]
+    assert again.count() == half.select("l_orderkey", "l_linenumber").distinct().count() < n
+    assert not any(Path(f.removeprefix("file://")).exists() for f in files)
