@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starnorm.sizing import SHUFFLE_BYTES
+
 # Text in a block: what a task holds in memory, with its hashes.
 BLOCK_BYTES = 4 << 20
 # Pieces one shard merges at a time.
@@ -42,6 +44,10 @@ def pow2(n: int) -> int:
     return max(0, int(n - 1).bit_length())
 
 
+def n_blocks(size: int) -> int:
+    return max(1, -(-size // BLOCK_BYTES))
+
+
 def blocked(
     docs: DataFrame, id_col: str, text: str, size: int, carry: Sequence[str] = ()
 ) -> DataFrame:
@@ -52,7 +58,7 @@ def blocked(
     that share an id, null included, spread as far as their texts differ. ``print`` is
     a hash of the text; ``carry`` names columns to take along in a struct ``row``.
     """
-    n = max(1, -(-size // BLOCK_BYTES))
+    n = n_blocks(size)
     columns = [
         F.col(id_col).cast("long").alias("id"),
         F.col(text).cast("string").alias("text"),
@@ -61,7 +67,10 @@ def blocked(
     if carry:
         columns.append(F.struct(*[F.col(quoted(c)).alias(c) for c in carry]).alias("row"))
     block = F.pmod(F.xxhash64("id", "print"), F.lit(n)).cast("int").alias("block")
-    return docs.select(*columns).select(block, "*").repartition(n, "block")
+    # A task takes some blocks, one after the other; small inputs still feed all cores.
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    parts = max(-(-size // SHUFFLE_BYTES), min(n, 4 * cores))
+    return docs.select(*columns).select(block, "*").repartition(parts, "block")
 
 
 def quoted(name: str) -> str:
@@ -182,15 +191,6 @@ def unpack_ids(payload: bytes, size: int, at: int) -> np.ndarray:
     return (apart + np.uint64(least & (2**64 - 1))).astype(np.int64)
 
 
-def by_block(texts: DataFrame, answers: DataFrame, function, schema: str) -> DataFrame:
-    """Run ``function(block table, answers table)`` on every block that has texts."""
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        return function(left, right)
-
-    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
-
-
 def unused_name(wanted: str, taken: list[str]) -> str:
     """``wanted``, made longer until no column in ``taken`` has that name."""
     names = {t.lower() for t in taken}

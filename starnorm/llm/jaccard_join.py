@@ -33,9 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starnorm.llm.blocks import (
-    MESSAGE,
     blocked,
-    by_block,
     in_order,
     messages,
     quoted,
@@ -43,7 +41,9 @@ from starnorm.llm.blocks import (
     unused_name,
 )
 from starnorm.llm.components import components
+from starnorm.llm.routes import network
 from starnorm.llm.sketch import Sketch
+from starnorm.llm.sketch import merged as counters_merged
 from starnorm.llm.spans import (
     LOWER,
     SEEDS,
@@ -193,9 +193,10 @@ def candidate_sets(docs: DataFrame, id_col: str, text: str, words: int, percent:
         found = _rare(sets, level, percent)
         return found.add_column(0, "print", sets.table["print"]).add_column(0, "id", sets.table["id"])
 
-    counts = texts.groupBy("block").applyInArrow(counted, MESSAGE)
-    levels = sketch.merge(counts, levels=True)
-    return by_block(texts, levels, rated, f"id long, print long, {_SETS}")
+    route = network(size, sketch.shards)
+    counts = route.from_blocks(texts, counted)
+    levels = route.at_shards(counts, lambda t: counters_merged(t, levels=True))
+    return route.by_block(texts, levels, rated, f"id long, print long, {_SETS}")
 
 
 def _product(table: pa.Table, words: int) -> pa.Table:

@@ -19,13 +19,12 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starnorm.llm.blocks import (
     MESSAGE,
     blocked,
-    by_block,
     in_order,
     messages,
     pack_sorted,
@@ -36,6 +35,7 @@ from starnorm.llm.blocks import (
     unpack_sorted,
 )
 from starnorm.llm.context_tree import DEPTH, Forest, mixture, weighted
+from starnorm.llm.routes import BLOCK, SHARD, Network, network
 from starnorm.llm.spans import (
     LOWER,
     group_starts,
@@ -53,6 +53,8 @@ END = 10
 SLICE_BYTES = 2 << 20
 # Text behind each shard of grams, and of words.
 SHARD_BYTES = 16 << 20
+# Lots of shards whose sums are added up before all are.
+LOTS = 256
 
 _WORD_SHARDS = 1 << 30  # shards of words are numbered from here
 _HASH_BITS = 62
@@ -227,8 +229,14 @@ def _partial_top(table: pa.Table) -> pa.Table:
     return _top_rows([(context, shard, sums[context].tobytes()) for context in asked])
 
 
+def _added(table: pa.Table) -> pa.Table:
+    """The sums of some shards for one context, as those of one."""
+    total = np.sum([np.frombuffer(p) for p in table["payload"].to_pylist()], axis=0)
+    return _top_rows([(table["context"][0].as_py(), table["lot"][0].as_py(), total.tobytes())])
+
+
 def _merged_top(table: pa.Table) -> pa.Table:
-    """One context's nodes: to each shard that asked, and once more for the empty context."""
+    """One context's nodes for the shards, and once more, as shard -1, for the empty context."""
     context = table["context"][0].as_py()
     found = sorted(
         zip(table["shard"].to_pylist(), table["payload"].to_pylist(), strict=True),
@@ -241,11 +249,11 @@ def _merged_top(table: pa.Table) -> pa.Table:
     log_weighted, stop = weighted(zeros.astype(np.int64), ones.astype(np.int64), below)
     nodes = np.stack([zeros, ones, stop]).tobytes()
     up = np.stack([zeros, ones, log_weighted]).tobytes()
-    return _top_rows([(context, -1, up), *((context, shard, nodes) for shard, _ in found)])
+    return _top_rows([(context, -1, up), (context, 0, nodes)])
 
 
-def _empty_context(table: pa.Table, shards: list[int]) -> pa.Table:
-    """The nodes without context and the word totals, to every shard."""
+def _empty_context(table: pa.Table) -> pa.Table:
+    """The nodes without context and the word totals, for the shards."""
     rows = sorted(
         zip(table["context"].to_pylist(), table["payload"].to_pylist(), strict=True),
         key=lambda row: row[0],
@@ -259,8 +267,23 @@ def _empty_context(table: pa.Table, shards: list[int]) -> pa.Table:
             sums += np.frombuffer(payload).reshape(3, 256)
     zeros, ones, below = sums
     _, stop = weighted(zeros.astype(np.int64), ones.astype(np.int64), below)
-    payload = np.concatenate([totals, zeros, ones, stop]).tobytes()
-    return _top_rows([(-1, shard, payload) for shard in shards])
+    return _top_rows([(-1, 0, np.concatenate([totals, zeros, ones, stop]).tobytes())])
+
+
+def upper_nodes(arrived: DataFrame, route: Network) -> Column:
+    """The nodes of all one-byte contexts and of none: at most 257 of 6 KB, whatever the input.
+
+    Shards are added up in lots first, so that no task gathers what all of them have.
+    """
+    partial = arrived.groupBy("shard").applyInArrow(
+        lambda t: _partial_top(route.inbox(t, SHARD)), _TOP
+    )
+    lot = F.pmod(F.xxhash64("shard"), F.lit(LOTS)).cast("int").alias("lot")
+    lots = partial.select("context", "payload", lot).groupBy("context", "lot")
+    top = lots.applyInArrow(_added, _TOP).groupBy("context").applyInArrow(_merged_top, _TOP)
+    root = top.where("shard < 0").groupBy("shard").applyInArrow(_empty_context, _TOP)
+    every = top.where("shard >= 0").union(root)
+    return every.agg(F.collect_list(F.struct("context", "payload"))).scalar()
 
 
 def _answers(table: pa.Table, top: pa.Table) -> pa.Table:
@@ -269,7 +292,8 @@ def _answers(table: pa.Table, top: pa.Table) -> pa.Table:
         return messages([])
     found = read_messages(table)
     keys, distinct, counts = _read_counts(found)
-    nodes = dict(zip(top["context"].to_pylist(), top["payload"].to_pylist(), strict=True))
+    nodes = {n["context"]: n["payload"] for n in top["nodes"][0].as_py()}
+    nodes = dict(sorted(nodes.items()))
     root = np.frombuffer(nodes.pop(-1))
     totals, (zeros0, ones0, stop0) = root[:2], root[2:].reshape(3, 256)
     if found[0][1] >= _WORD_SHARDS:
@@ -374,17 +398,20 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     _, size = text_size(docs, text)
     texts = blocked(docs, id_col, text, size)
     bits = pow2(-(-max(1, size) // SHARD_BYTES))
-    shards = [base + k for base in (0, _WORD_SHARDS) for k in range(1 << bits)]
-    sent = texts.groupBy("block").applyInArrow(lambda t: _sent(t, bits), MESSAGE)
-    partial = sent.groupBy("shard").applyInArrow(_partial_top, _TOP)
-    top = partial.groupBy("context").applyInArrow(_merged_top, _TOP)
-    root = (
-        top.where("shard < 0")
-        .groupBy("shard")
-        .applyInArrow(lambda t: _empty_context(t, shards), _TOP)
-    )
-    upper = top.where("shard >= 0").union(root)
-    answers = (
-        sent.groupBy("shard").cogroup(upper.groupBy("shard")).applyInArrow(_answers, MESSAGE)
+    half = 1 << bits
+    route = network(size, 2 * half)
+    sent = route.from_blocks(texts, lambda t: _sent(t, bits))
+    number = F.col("id")
+    shard = F.when(number < half, number).otherwise(number - half + _WORD_SHARDS).cast("int")
+    tasks = -(-half // 32)
+    upper = docs.sparkSession.range(0, 2 * half, 1, tasks).select(
+        shard.alias("shard"), upper_nodes(sent, route).alias("nodes")
     )
-    return by_block(texts, answers, lambda t, a: _scored(t, a, bits), SCHEMA)
+
+    def answered(table: pa.Table, top: pa.Table) -> pa.Table:
+        return _answers(route.inbox(table, SHARD), top)
+
+    pack = route.outbox(answered, BLOCK)
+    both = sent.groupBy("shard").cogroup(upper.groupBy("shard"))
+    answers = route.relayed(both.applyInArrow(lambda t, top: pack(t, top), MESSAGE), BLOCK)
+    return route.by_block(texts, answers, lambda t, a: _scored(t, a, bits), SCHEMA)

@@ -11,10 +11,8 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
 
 from starnorm.llm.blocks import (
-    MESSAGE,
     SHARD_PIECES,
     messages,
     pack_sorted,
@@ -64,9 +62,9 @@ class Sketch:
                 )
                 yield block, self.base + row * _ROW + int(shards[lo]), payload
 
-    def merge(self, parts: DataFrame, *, levels: bool) -> DataFrame:
-        """For each message the merged counters of its cells, as ``merged`` gives them."""
-        return parts.groupBy("shard").applyInArrow(lambda t: merged(t, levels=levels), MESSAGE)
+    @property
+    def shards(self) -> int:
+        return self.depth << self.shard_bits
 
     def read(self, hashes: np.ndarray, answers: pa.Table, *, levels: bool) -> np.ndarray:
         """The estimate for each of this block's hashes: the least over the rows.

@@ -20,11 +20,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from starnorm.llm.blocks import (
-    MESSAGE,
     NULL_LAST,
     SHARD_PIECES,
     blocked,
-    by_block,
     ids_of,
     in_order,
     messages,
@@ -37,7 +35,8 @@ from starnorm.llm.blocks import (
     unpack_ids,
     unpack_sorted,
 )
-from starnorm.llm.sketch import Sketch
+from starnorm.llm.routes import network
+from starnorm.llm.sketch import Sketch, merged
 from starnorm.llm.spans import (
     SEEDS,
     covered,
@@ -192,8 +191,9 @@ def remove_repeated_windows(
             }
         )
 
-    parts = texts.groupBy("block").applyInArrow(sketched, MESSAGE)
-    estimates = sketch.merge(parts, levels=False)
-    sent = by_block(texts, estimates, suspects, MESSAGE)
-    later = sent.groupBy("shard").applyInArrow(_exact_shard, MESSAGE)
-    return by_block(texts, later, cleaned, SCHEMA)
+    route = network(size, max(sketch.shards, 1 << shard_bits))
+    parts = route.from_blocks(texts, sketched)
+    estimates = route.at_shards(parts, lambda t: merged(t, levels=False))
+    sent = route.by_block(texts, estimates, suspects)
+    later = route.at_shards(sent, _exact_shard)
+    return route.by_block(texts, later, cleaned, SCHEMA)

@@ -31,9 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starnorm.llm.blocks import (
-    MESSAGE,
     blocked,
-    by_block,
     in_order,
     messages,
     pack_sorted,
@@ -43,6 +41,7 @@ from starnorm.llm.blocks import (
     text_size,
     unpack_sorted,
 )
+from starnorm.llm.routes import network
 from starnorm.llm.run_index import RunIndex
 from starnorm.llm.sketch import Sketch, merged
 from starnorm.llm.spans import (
@@ -476,13 +475,15 @@ def remove_repeated_bytes(
     if carry:
         added = [T.StructField("readable", T.StringType()), texts.schema["row"]]
         schema = T.StructType([*_parsed(docs, SCHEMA), *added])
-    counts = texts.groupBy("block").applyInArrow(counted, MESSAGE)
-    levels = sketch.merge(counts, levels=True)
-    regions = by_block(texts, levels, sent, MESSAGE)
-    answers = regions.groupBy("shard").applyInArrow(answered, MESSAGE)
-    segments = answers.groupBy("block").applyInArrow(cut_down, MESSAGE)
-    marks = segments.groupBy("shard").applyInArrow(marked_again, MESSAGE)
-    return by_block(texts, marks, cleaned, schema)
+    shards = max(sketch.shards, window_sketch.shards, 1 << shard_bits)
+    route = network(size, shards)
+    counts = route.from_blocks(texts, counted)
+    levels = route.at_shards(counts, lambda t: merged(t, levels=True))
+    regions = route.by_block(texts, levels, sent)
+    answers = route.at_shards(regions, answered)
+    segments = route.at_blocks(answers, cut_down)
+    marks = route.at_shards(segments, marked_again)
+    return route.by_block(texts, marks, cleaned, schema)
 
 
 def _parsed(docs: DataFrame, ddl: str) -> T.StructType:

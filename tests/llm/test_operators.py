@@ -32,6 +32,7 @@ from starnorm.llm import (  # noqa: E402
     packing,
     quality_rules,
     ranks,
+    routes,
     sentencepiece_codec,
     sharding,
     substring_dedup,
@@ -56,6 +57,12 @@ def empty(spark):
     return C.frame(spark, [])
 
 
+@pytest.fixture(params=["straight", "in hops"])
+def way(request, monkeypatch):
+    """Messages go straight to their receivers, or by relays."""
+    monkeypatch.setattr(routes, "FAN_BITS", 10 if request.param == "straight" else 1)
+
+
 @pytest.fixture(autouse=True)
 def small_blocks(monkeypatch):
     """Many blocks, shards, lots and tiles even for little text."""
@@ -137,7 +144,7 @@ def test_jaccard_components(docs, monkeypatch, words, percent, broadcast_bytes):
     assert rows_of(got, "id", "n_shingles", "component_id") == as_rows(expected)
 
 
-def test_jaccard_keeps_one_of_each(docs):
+def test_jaccard_keeps_one_of_each(docs, way):
     kept = jaccard_join.keep_one_of_each_component(docs, words=5, percent=80)
     assert kept.columns == docs.columns
     texts = [r["text"] for r in kept.collect()]
@@ -177,7 +184,7 @@ def unlike_ids():
     return [r for r in ROWS if r[0] is not None and count[r[0]] == 1]
 
 
-def test_window_dedup(spark):
+def test_window_dedup(spark, way):
     rows = [*unlike_ids(), (None, "x y " * 30)]
     got = substring_dedup.remove_repeated_windows(C.frame(spark, rows), window=20)
     expected = as_rows(C.without_windows(rows, 20))
@@ -196,7 +203,7 @@ def test_window_dedup_keeps_one_of_equal_rows(spark):
 
 
 @pytest.mark.parametrize("hot_level", [1, 8])
-def test_byte_dedup(docs, monkeypatch, hot_level):
+def test_byte_dedup(docs, monkeypatch, hot_level, way):
     monkeypatch.setattr(suffix_dedup, "HOT_LEVEL", hot_level)
     got = suffix_dedup.remove_repeated_bytes(docs).withColumn("kept", F.hex("kept"))
     expected = [(*r[:4], r[4].hex().upper()) for r in C.without_bytes(ROWS, 200)]
@@ -332,7 +339,7 @@ def ctw_log10(training: list[bytes], text: bytes, depth: int) -> float:
     return out
 
 
-def test_language_model_scores(spark):
+def test_language_model_scores(spark, way):
     rows = [(i, t) for i, t in enumerate(["ab ab b", "Ab  ab\ta", None, "é a", "", "b", "abab", "a b", "ba ab a"])]
     rows += [(None, "ab"), (3, "é a")]
     got = lm_scoring.score_documents(C.frame(spark, rows)).collect()
