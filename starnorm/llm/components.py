@@ -2,7 +2,8 @@
 
 Each step sends every node's neighbours to the smallest of them, so chains shorten by
 a constant factor and no task holds a component. A node with very many neighbours is
-only ever aggregated to a minimum and joined, both of which Spark splits.
+aggregated to a minimum with a map-side step, and joined, where adaptive execution
+splits its side if it is much larger than the others.
 """
 
 from __future__ import annotations

@@ -441,8 +441,13 @@ def jaccard_components(
     id that links lead to, the row's own included.
     """
     slim, placed = _grouped_rows(docs, id_col, text, words, percent)
-    least = placed.groupBy("component").agg(F.min("id").alias("least"))
-    linked = placed.join(least, "component").select("id", "n", F.col("least"))
+    least = staged(
+        placed.groupBy("component").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("rows")),
+        "least",
+    )
+    # A component may hold a third of all rows.
+    joined = lookup(placed, least, {"component": "component"}, {"least": "least"}, row_count="rows")
+    linked = joined.select("id", "n", "least")
     alone = slim.where("key IS NULL").select("id", "n", F.col("id").alias("least"))
     return linked.union(alone).select(
         "id", F.col("n").alias("n_shingles"), F.col("least").alias("component_id")
@@ -462,19 +467,26 @@ def keep_one_of_each_component(
     stays. Texts without words are all kept.
     """
     _, placed = _grouped_rows(docs, id_col, text, words, percent)
-    first = placed.groupBy("component").agg(
-        F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "print")).alias("first")
+    first = staged(
+        placed.groupBy("component")
+        .agg(
+            F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "print")).alias("first"),
+            F.count(F.lit(1)).alias("rows"),
+        )
+        .selectExpr("component", "first.id AS first_id", "first.print AS first_print", "rows"),
+        "first",
     )
+    taking = {"first_id": "first_id", "first_print": "first_print"}
+    joined = lookup(placed, first, {"component": "component"}, taking, row_count="rows")
     taken = docs.columns
     i, fingerprint, stays, turn = (
         unused_name(f"_{name}", taken) for name in ("id", "print", "stays", "turn")
     )
     verdict = (
-        placed.join(first, "component")
-        .select(
+        joined.select(
             F.col("id").alias(i),
             F.col("print").alias(fingerprint),
-            (F.col("id").eqNullSafe(F.col("first.id")) & (F.col("print") == F.col("first.print")))
+            (F.col("id").eqNullSafe(F.col("first_id")) & (F.col("print") == F.col("first_print")))
             .alias(stays),
         )
         .distinct()

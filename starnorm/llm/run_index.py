@@ -2,7 +2,8 @@
 
 Suffixes are sorted by doubling, each ending at its string's end; equal ones go by
 string number, so the order is that of the collection with distinct end marks. The
-transform is kept as runs, with the text position sampled at both ends of every run.
+transform is cut into runs; what is kept of it is the text position at both ends of
+every run.
 
 Inside a run, neighbouring suffixes stay neighbours one byte to the left and their
 match grows by one, so a match can only begin where two runs meet. The length of the
@@ -37,8 +38,6 @@ class RunIndex:
         new[1:] = (before[1:] != before[:-1]) | (before[1:] == 0)
         first = np.flatnonzero(new)
         last = np.append(first[1:], order.size) - 1
-        self.heads = before[first]
-        self.lengths = last - first + 1
         self.first_sample, self.last_sample = order[first], order[last]
 
     def _sort(self, longest: int) -> np.ndarray:

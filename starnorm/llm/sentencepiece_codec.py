@@ -23,6 +23,7 @@ import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain, groupby
+from pathlib import Path
 
 import ahocorasick
 import numpy as np
@@ -41,6 +42,8 @@ REMEMBERED = 200_000
 BATCH_ROWS = 1000
 # Longer words are encoded anew each time.
 LONG_WORD = 100
+# Fixed value: how far below the least score of a piece an unknown character is scored.
+UNKNOWN_PENALTY = 10.0
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
@@ -72,6 +75,9 @@ class Codec:
             self.automaton.add_word(piece, (len(piece), i))
         self.automaton.make_automaton()
         self.characters = frozenset(p for p in self.ids if len(p) == 1)
+        self.single = [np.float32(score) for score in scores]
+        least = min((self.single[i] for i in self.ids.values()), default=np.float32(0))
+        self.unknown_score = least - np.float32(UNKNOWN_PENALTY)
         self.raw = [
             bytes([bytes_of[i]]) if i in bytes_of else p.replace(MARK, " ").encode()
             for i, p in enumerate(pieces)
@@ -105,40 +111,72 @@ class Codec:
         return known
 
     def path(self, text: str) -> list[int]:
-        """The best path through ``text``, all of whose characters are pieces."""
+        """The only valid path of merges through ``text``, all of whose characters are pieces."""
         n = len(text)
         last: list[int] = [-1] * (n + 1)
         size = [0] * (n + 1)
-        if self.merges:
-            pairs, follows = self._pairs.get, self._may_follow
-            for at, (length, i) in self.automaton.iter(text):
-                end = at + 1
-                if last[end] >= 0:
-                    continue  # only one path to this place is valid
-                start = end - length
-                if start:
-                    left = last[start]
-                    if left < 0:
-                        continue
-                    known = pairs(left << 32 | i)
-                    if not (follows(left, i) if known is None else known):
-                        continue
-                elif length > 1 and not self._whole(i):
+        pairs, follows = self._pairs.get, self._may_follow
+        for at, (length, i) in self.automaton.iter(text):
+            end = at + 1
+            if last[end] >= 0:
+                continue  # only one path to this place is valid
+            start = end - length
+            if start:
+                left = last[start]
+                if left < 0:
                     continue
-                last[end], size[end] = i, length
-        else:
-            best = [0.0] + [-math.inf] * n
-            for at, (length, i) in self.automaton.iter(text):
-                end = at + 1
-                score = best[end - length] + self.scores[i]
-                if score > best[end]:
-                    best[end], last[end], size[end] = score, i, length
+                known = pairs(left << 32 | i)
+                if not (follows(left, i) if known is None else known):
+                    continue
+            elif length > 1 and not self._whole(i):
+                continue
+            last[end], size[end] = i, length
         out = []
         while n:
             out.append(last[n])
             n -= size[n]
         return out[::-1]
 
+    def scored(self, text: str) -> list[int]:
+        """The path of best summed score through any ``text``.
+
+        A character that is no piece may be unknown, at a score below all pieces; it
+        then stands for its bytes, or, without byte pieces, with its unknown neighbours
+        for one unknown piece.
+        """
+        n = len(text)
+        # In single precision, as scores are stored, so that equal sums are equal here, too.
+        best = [np.float32(0)] + [np.float32(-math.inf)] * n
+        scores = self.single
+        last: list[int] = [self.unknown] * (n + 1)
+        size = [1] * (n + 1)
+        final = 0
+
+        def settle(upto: int) -> None:
+            nonlocal final
+            while final < upto:
+                final += 1
+                if text[final - 1] not in self.characters:
+                    score = best[final - 1] + self.unknown_score
+                    if score > best[final]:
+                        best[final], last[final], size[final] = score, self.unknown, 1
+
+        for at, (length, i) in self.automaton.iter(text):
+            end = at + 1
+            settle(end - 1)
+            score = best[end - length] + scores[i]
+            if score > best[end]:
+                best[end], last[end], size[end] = score, i, length
+        settle(n)
+        parts: list[list[int]] = []
+        while n:
+            i, n = last[n], n - size[n]
+            if i == self.unknown and self.byte_id:
+                parts.append([self.byte_id[byte] for byte in text[n].encode()])
+            elif i != self.unknown or not parts or parts[-1] != [i]:
+                parts.append([i])
+        return list(chain.from_iterable(reversed(parts)))
+
     def _whole(self, i: int) -> bool:
         """Whether a piece's own characters merge into it."""
         key = -1 - i
@@ -149,6 +187,8 @@ class Codec:
 
     def word(self, text: str) -> tuple[int, ...]:
         """Ids of a piece of text between two cuts, characters without a piece as bytes."""
+        if not self.merges:
+            return tuple(self.scored(text))
         if self.characters.issuperset(text):
             return tuple(self.path(text))
         out: list[int] = []
@@ -184,9 +224,53 @@ class Codec:
         return text[1:] if text.startswith(" ") else text
 
 
+# Where a model file keeps its kind, and the two kinds read here.
+_TRAINER, _MODEL_TYPE = 2, 3
+UNIGRAM, MERGES = 1, 2
+
+
+def _fields(raw: bytes) -> Iterator[tuple[int, int | bytes]]:
+    """(number, value) of a message's fields."""
+    at = 0
+
+    def number() -> int:
+        nonlocal at
+        value = shift = 0
+        while True:
+            byte = raw[at]
+            value, at, shift = value | (byte & 127) << shift, at + 1, shift + 7
+            if byte < 128:
+                return value
+
+    while at < len(raw):
+        key = number()
+        wire = key & 7
+        if wire == 0:
+            yield key >> 3, number()
+            continue
+        size = {1: 8, 5: 4}.get(wire) or number()
+        yield key >> 3, raw[at : at + size]
+        at += size
+
+
+def kind_of(raw: bytes) -> int:
+    """The kind of a model file; the format's default where it says none."""
+    trainer = dict(_fields(raw)).get(_TRAINER, b"")
+    return dict(_fields(trainer)).get(_MODEL_TYPE, UNIGRAM)
+
+
+def merging(path: str) -> bool:
+    """Whether a model file is of merges; if not, of scored pieces."""
+    kind = kind_of(Path(path).read_bytes())
+    if kind not in (UNIGRAM, MERGES):
+        raise ValueError(f"{path}: neither a model of scored pieces nor one of merges")
+    return kind == MERGES
+
+
 @lru_cache(maxsize=2)
-def load(path: str, merges: bool = True) -> Codec:
-    """Read a model file; once per process."""
+def load(path: str) -> Codec:
+    """Read a model file; once per process. Scored and merge models are read, no others."""
+    merges = merging(path)
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     probe = "ﬁ  Å a "
     if model.normalize(probe) != MARK + probe.replace(" ", MARK):
@@ -219,17 +303,19 @@ def encode(
     id_col: str = "doc_id",
     text: str = "text",
     path: str | None = None,
-    merges: bool = True,
 ) -> DataFrame:
     """(id, ids, ids_crc32, decoded) per row; other columns are ignored.
 
+    The file says itself whether its pieces are scored or merged; other kinds raise.
+
     ``ids_crc32`` is over the ids as little-endian unsigned 32-bit numbers, and
     ``decoded`` is what they stand for. Encoding and decoding share a worker's codec.
     """
     path = path or default_path()
+    merging(path)
 
     def coded(batches):
-        codec = load(path, merges)
+        codec = load(path)
         for batch in _slices(batches):
             texts = batch.column(1).to_pylist()
             parts = [codec.encode(t or "") for t in texts]

@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starnorm.llm.ranks import number_within
+from starnorm.operators.lookup import lookup
+from starnorm.staging import staged
 
 SHARDS = 40
 ROW_BYTES = 16
@@ -153,10 +155,14 @@ def shard_documents(
         # A null text is no empty text: its key has no bytes, a digest has 32.
         F.coalesce(F.unhex(F.sha2(F.col(text), 256)), F.unhex(F.lit(""))).alias("key"),
     )
-    groups = rows.groupBy("key").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"))
+    grouped = rows.groupBy("key").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"))
+    groups = staged(grouped, "groups")
     total = groups.agg(F.count(F.lit(1)).alias("groups"), F.sum("n").alias("rows")).first()
     shard_of = assign(groups.select("key", "size"), total["groups"], shards)
-    placed = rows.join(shard_of, "key")
+    # Copies of one text, or null texts, may be a third of all rows: they find their
+    # shard where they are.
+    counted = staged(shard_of.join(groups.select("key", "n"), "key"), "shard-of")
+    placed = lookup(rows, counted, {"key": "key"}, {"shard": "shard"}, row_count="n")
     numbered = number_within(
         placed, "shard", ["id", "key"], "slot", total["rows"] or 0, F.xxhash64("id", "key")
     )

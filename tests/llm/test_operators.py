@@ -229,6 +229,25 @@ def test_shards(docs):
     assert all(len(g) == 1 for key, g in groups.items() if key[0] > 16)
 
 
+def test_shards_balance_through_lots_and_levels(spark, monkeypatch):
+    """Texts of all sizes, several copies of one: shards differ by less than one usual text.
+
+    A group must be small beside what a shard gets of its lot, or it shows.
+    """
+    monkeypatch.setattr(sharding, "LOT_GROUPS", 300)
+    rng = np.random.default_rng(4)
+    texts = ["x" * int(n) + str(i) for i, n in enumerate(rng.exponential(300, 1500))]
+    rows = list(enumerate(texts)) + [(2000 + i, texts[5]) for i in range(12)] + [(None, None)] * 9
+    got = sharding.shard_documents(C.frame(spark, rows), shards=6).collect()
+    sizes = Counter()
+    for r in got:
+        sizes[r["shard"]] += r["size"]
+    whole = sum(len((t or "").encode()) + 16 for _, t in rows)
+    assert sum(sizes.values()) == whole and len(sizes) == 6
+    assert max(sizes.values()) - min(sizes.values()) < 300
+    assert len({r["shard"] for r in got if r["text_crc32"] == zlib.crc32(texts[5].encode())}) == 1
+
+
 def test_differencing_balances():
     rng = np.random.default_rng(1)
     sizes = rng.integers(1, 1000, 200)
@@ -387,11 +406,61 @@ def test_viterbi_finds_the_best_path():
         )
 
     for text in ("abcabc", "caab", "bcaabca", "cccab"):
-        path = codec.path(text)
+        path = codec.scored(text)
         assert "".join(pieces[i] for i in path) == text
         assert sum(scores[i] for i in path) == pytest.approx(best(text))
 
 
+def _field(number, value):
+    """A field of a protocol buffer: a number, a float or bytes."""
+    if isinstance(value, int):
+        return bytes([number << 3, value])
+    if isinstance(value, float):
+        return bytes([number << 3 | 5]) + np.float32(value).tobytes()
+    size = len(value)
+    head = [number << 3 | 2, size & 127 | 128, size >> 7] if size > 127 else [number << 3 | 2, size]
+    return bytes(head) + value
+
+
+def _model(pieces, kind, byte_fallback):
+    """A model file of (string, score), written by hand."""
+    special = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3)]
+    raw = [(f"<0x{b:02X}>", 0.0, 6) for b in range(256)] if byte_fallback else []
+    own = [(p, s, 1) for p, s in pieces]
+    out = b"".join(
+        _field(1, _field(1, p.encode()) + _field(2, s) + _field(3, t)) for p, s, t in [*special, *raw, *own]
+    )
+    trainer = _field(3, kind) + (bytes([35 << 3 & 127 | 128, 35 >> 4, 1]) if byte_fallback else b"")
+    normalizer = _field(1, b"identity") + _field(3, 1) + _field(4, 0) + _field(5, 1)
+    return out + _field(2, trainer) + _field(3, normalizer)
+
+
+@pytest.mark.parametrize("byte_fallback", [False, True])
+def test_models_of_scored_pieces(spark, tmp_path, byte_fallback):
+    rng = np.random.default_rng(8)
+    letters = "abcdeé"
+    strings = {"".join(rng.choice(list(letters), rng.integers(2, 5))) for _ in range(60)}
+    strings |= {"▁" + s for s in list(strings)[:25]} | {"▁", *letters[:-1], "xé", "▁▁"}
+    pieces = [(s, float(np.float32(-rng.uniform(2, 12)))) for s in sorted(strings)]
+    path = tmp_path / "scored.model"
+    path.write_bytes(_model(pieces, sentencepiece_codec.UNIGRAM, byte_fallback))
+    library = sentencepiece.SentencePieceProcessor(model_file=str(path))
+    texts = ["".join(rng.choice(list("abcdeéxz  ü"), rng.integers(0, 40))) for _ in range(300)]
+    texts += ["", " ", "zz", "züz a", "é", "xéé", "  a  b ", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["id"]: r["ids"] for r in sentencepiece_codec.encode(docs, path=str(path)).collect()}
+    assert got == {i: None if t is None else library.encode(t) for i, t in enumerate(texts)}
+
+
+def test_other_kinds_of_models_are_refused(spark, tmp_path):
+    path = tmp_path / "words.model"
+    path.write_bytes(_model([("▁a", -1.0)], 3, False))
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    with pytest.raises(ValueError, match="neither"):
+        sentencepiece_codec.encode(docs, path=str(path))
+    assert sentencepiece_codec.merging(sentencepiece_codec.default_path())
+
+
 def test_empty_tables(empty, spark):
     for result in (
         token_counts.count_tokens(empty),
