@@ -216,10 +216,23 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM doc_words LEFT JOIN hits USING (row) LEFT JOIN items USING (row)
 """
 
+# The rules of the current policy, by their bits.
+_RULES = ("few_words", "repeated_words", "short_words", "long_words", "symbols", "repeated_lines")
+
+ABLATIONS = f"WITH ledger AS ({OP2}) " + " UNION ALL ".join(
+    f"""
+SELECT '{rule}' AS rule, count(*) FILTER (failed_bits & {1 << k} <> 0) AS n_failed,
+       count(*) FILTER (failed_bits & 63 = {1 << k}) AS n_only,
+       count(*) FILTER (failed_bits & {63 - (1 << k)} = 0) AS n_kept_without
+FROM ledger"""
+    for k, rule in enumerate(_RULES)
+)
+
 ORACLE: dict[str, str] = {
     "op2_quality_rules": OP2,
     "op4_hamming_topk": OP4,
     "op5_substring_dedup": OP5,
     "op11_filter_audit": OP11,
     "op12_decontamination": OP12,
+    "quality_ablations": ABLATIONS,
 }

@@ -14,7 +14,7 @@ from starnorm.llm.filter_audit import audit_documents
 from starnorm.llm.hamming_topk import top_k
 from starnorm.llm.jaccard_join import jaccard_components
 from starnorm.llm.lm_scoring import score_documents
-from starnorm.llm.quality_rules import ledger, passes
+from starnorm.llm.quality_rules import ablations, ledger, passes
 from starnorm.llm.sharding import shard_documents
 from starnorm.llm.substring_dedup import remove_repeated_windows
 from starnorm.llm.suffix_dedup import remove_repeated_bytes
@@ -47,6 +47,11 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of the current policy rejects, alone and with others."""
+    return ablations(ledger(documents(spark, sf_dir)))
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
 
@@ -141,4 +146,5 @@ QUERIES: dict[str, Query] = {
     "op11_filter_audit": op11_filter_audit,
     "op12_decontamination": op12_decontamination,
     "op13_whitening": op13_whitening,
+    "quality_ablations": quality_ablations,
 }

@@ -5,7 +5,8 @@ often each window occurs and so lose none that repeats. The second groups, exact
 only the windows estimated to repeat: each block sends a window once, with the
 smallest id it has there, and learns whether an earlier one exists elsewhere.
 
-Windows are compared by 96 bits of two independent hashes. Order is (id, start); rows
+Windows are compared by a hash of 64 bits within a block, and by 96 bits of two
+independent hashes between blocks. Order is (id, start); rows
 with a null id come last, and rows that share an id count in the order of their block
 and text, so of two equal rows one stays. Null texts have no words. Every input row
 gives one output row; columns other than id and text are ignored.

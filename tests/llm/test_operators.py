@@ -490,7 +490,7 @@ def test_query_matches_sql(spark, name):
 def test_registered():
     names = registry.queries().keys()
     assert {*QUERIES, "pipeline"} <= names
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
 
 
 def test_pipeline_on_awkward_rows(spark, docs):
