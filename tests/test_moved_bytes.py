@@ -20,6 +20,65 @@ def _optimized(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_a_large_lookup_shuffles_the_key_once_and_no_hash(spark):
+    facts = spark.range(1000).select((F.col("id") % 400).alias("k"), F.col("id").alias("v"))
+    facts = facts.withColumn("k", F.when(F.col("k") != 7, F.col("k")))
+    dim = spark.range(300).select(F.col("id").alias("d"), (F.col("id") * 2).alias("x"))
+    found = lookup(facts, dim, {"k": "d"}, {"x": "x"}, broadcast_bytes=0)
+    text = _optimized(found)
+    assert "__salt" in text and "__slot" not in text and "__fk0" not in text
+    expected = facts.join(dim, F.col("k") == F.col("d"), "left").select("k", "v", "x")
+    assert found.count() == 1000
+    assert found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty()
+
+
+def test_the_salt_is_a_column_of_the_shuffle(spark):
+    # As a constant it would leave all rows of a null key in one task.
+    dim = spark.range(300).select(F.col("id").alias("d"), (F.col("id") * 2).alias("x"))
+    facts = spark.range(5000).select(F.when(F.col("id") % 9 == 0, F.col("id")).alias("k"), "id")
+    found = lookup(facts, dim, {"k": "d"}, {"x": "x"}, broadcast_bytes=0)
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\((__salt#\d+L, k#\d+L|k#\d+L, __salt#\d+L), ", text)
+    assert found.count() == 5000
+
+
+def test_hot_keys_are_found_through_crowded_buckets(spark, monkeypatch):
+    monkeypatch.setattr(MODULE, "HOT_PARTS", 10)
+    monkeypatch.setattr(MODULE, "BUCKETS", 64)
+    rows = spark.range(6000).select(
+        F.when(F.col("id") < 1000, 3).when(F.col("id") < 1900, None).otherwise(F.col("id")).alias("k")
+    )
+    counted = rows.groupBy("k").count().filter(F.col("count") * 10 > 6000).select("k")
+    expected = {r.k for r in counted.collect()}
+    assert expected == {3, None}
+    assert {r[0] for r in MODULE._hot_keys(rows, [F.col("k")]).collect()} == expected
+    even = spark.range(6000).select((F.col("id") % 600).alias("k"))
+    assert MODULE._hot_keys(even, [F.col("k")]).collect() == []
+
+
+def test_star_join_shuffles_each_column_once_and_wide_tables_last(spark):
+    n = spark.range(200)
+    tables = {
+        "f": n.select((F.col("id") % 50).alias("a"), (F.col("id") % 40).alias("b"), "id"),
+        "wide": spark.range(50).select(F.col("id").alias("wk"), *[F.col("id").alias(f"w{i}") for i in range(3)]),
+        "slim": spark.range(40).select(F.col("id").alias("sk"), (F.col("id") + 1).alias("s0")),
+    }
+    edges = [JoinEdge("f", "a", "wide", "wk"), JoinEdge("f", "b", "slim", "sk")]
+    columns = {"id": ("f", "id"), "a": ("f", "a"), "s0": ("slim", "s0"), "twice": ("f", "id")}
+    columns |= {f"w{i}": ("wide", f"w{i}") for i in range(3)}
+    out = star_join(tables, "f", edges, columns, spread_by=["id"], broadcast_bytes=0)
+    text = _optimized(out)
+    assert "__spread_" not in text
+    joins = [line for line in text.splitlines() if "Join LeftOuter" in line and "__salt" in line]
+    assert [bool(re.search(r"__f_a#", line)) for line in joins] == [True, False]
+    grain = star_join(tables, "f", edges, columns, spread_by=["b"], broadcast_bytes=0)
+    joins = [line for line in _optimized(grain).splitlines() if "Join LeftOuter" in line and "__salt" in line]
+    assert [bool(re.search(r"__f_b#", line)) for line in joins] == [True, False]
+    rows = {r.id: r for r in out.collect()}
+    assert len(rows) == 200
+    assert all(r.twice == i and r.w2 == i % 50 and r.s0 == i % 40 + 1 for i, r in rows.items())
+
+
 def test_the_job_reads_compressed_input(spark):
     output, _ = _run_visits_job(spark, SF, output_format="parquet")
     folder = Path(output.removeprefix("file://")).parent / "visits.csv"
