@@ -514,7 +514,8 @@ def row_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def column_profile_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return column_profile(star_input(spark, sf_dir))
+    # The profile scans its input once a type.
+    return column_profile(staged(star_input(spark, sf_dir), "star-input"))
 
 
 # How far an estimate may be off, in standard errors.

@@ -79,6 +79,12 @@ def test_star_join_shuffles_each_column_once_and_wide_tables_last(spark):
     assert all(r.twice == i and r.w2 == i % 50 and r.s0 == i % 40 + 1 for i, r in rows.items())
 
 
+def test_profiles_read_a_stored_frame(spark):
+    for name in ("column_profile", "visits_profile"):
+        files = QUERIES[name](spark, SF).inputFiles()
+        assert files and all("/star-input-" in f or "/FactVisit-" in f for f in files)
+
+
 def test_the_job_reads_compressed_input(spark):
     output, _ = _run_visits_job(spark, SF, output_format="parquet")
     folder = Path(output.removeprefix("file://")).parent / "visits.csv"
