@@ -83,3 +83,12 @@ WORKSHEETS = {
     "visits_by_weekday_and_hour": visits_by_weekday_and_hour,
     "yearly_visits_by_clinic": yearly_visits_by_clinic,
 }
+
+# The tables a worksheet reads; no other need be built for it.
+TABLES = {
+    "patients_by_gender": ("FactVisit", "DimPatient"),
+    "payment_status_distribution": ("FactVisit", "DimBilling"),
+    "visit_type_distribution": ("FactVisit",),
+    "visits_by_weekday_and_hour": ("FactVisit",),
+    "yearly_visits_by_clinic": ("FactVisit", "DimLocation"),
+}

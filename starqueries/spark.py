@@ -56,6 +56,7 @@ from starnorm.staging import staged, staging_path
 from starnorm.job import run as run_job
 from starnorm.plans.visits import STAR as VISIT_STAR
 from starnorm.plans.visits import star_schemas
+from starnorm.plans.worksheets import TABLES as WORKSHEET_TABLES
 from starnorm.plans.worksheets import WORKSHEETS
 from starqueries import visits
 from starqueries.frames import CUTOFF, EDGES, STAR, flat, star_input, table
@@ -673,8 +674,9 @@ def _dimension(name: str) -> Query:
     return lambda spark, sf_dir: visits.dimension(spark, sf_dir, name)
 
 
-def _worksheet(question: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
-    return lambda spark, sf_dir: question(visits.stored_star(spark, sf_dir))
+def _worksheet(name: str) -> Query:
+    tables = WORKSHEET_TABLES[name]
+    return lambda spark, sf_dir: WORKSHEETS[name](visits.stored_star(spark, sf_dir, *tables))
 
 
 QUERIES |= {f"visits_{_snake(d.name)}": _dimension(d.name) for d in VISIT_STAR.dims}
@@ -686,7 +688,7 @@ QUERIES |= {
     "visits_profile": visits.profile,
     "visits_star_profile": visits.star_profile,
 }
-QUERIES |= {f"worksheet_{name}": _worksheet(q) for name, q in WORKSHEETS.items()}
+QUERIES |= {f"worksheet_{name}": _worksheet(name) for name in WORKSHEETS}
 
 
 def _run_visits_job(spark: SparkSession, sf_dir: str, **options) -> tuple[str, DataFrame]:

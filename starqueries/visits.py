@@ -118,16 +118,19 @@ def stored_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return normalize(visits(spark, sf_dir), STAR, keep=staged, stage_input=True)
 
 
-# By session and input: the version of the input's files, and the folder of the star.
-_STORED: dict[tuple[str, str], tuple[tuple, str]] = {}
+# By session, input and tables: the version of the input's files, and the folder of the star.
+_STORED: dict[tuple[str, str, tuple[str, ...]], tuple[tuple, str]] = {}
 
 
-def stored_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The star as Parquet, written by the first query of a session that asks for it.
+def stored_star(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
+    """The named tables (default: all) as Parquet, written by the first query of a session
+    that asks for them.
 
-    It is built anew when a file of the input has changed, and the old one deleted.
+    Only these are built, so a query costs what its tables do, whichever ran before. They
+    are built anew when a file of the input has changed, and the old ones deleted.
     """
-    key = spark.sparkContext.applicationId, sf_dir
+    names = names or STAR.tables
+    key = spark.sparkContext.applicationId, sf_dir, names
     version = tuple(stored_version(spark, f"{sf_dir}/{name}.parquet") for name in SOURCES)
     known, folder = _STORED.get(key, (None, None))
     if known != version or not stored_bytes(spark, folder):
@@ -139,9 +142,9 @@ def stored_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             write_parquet(table, folder, name)
             return spark.read.schema(table.schema).parquet(f"{folder}/{name}")
 
-        normalize(visits(spark, sf_dir), STAR, keep=keep, stage_input=True)
+        made = visits(spark, sf_dir, *STAR.sources(names))
+        normalize(made, STAR, only=names, keep=keep, stage_input=True)
         _STORED[key] = version, folder
-    names = [*(dim.name for dim in STAR.dims), STAR.fact.name]
     return read_star_parquet(spark, folder, names)
 
 

@@ -85,6 +85,13 @@ def test_profiles_read_a_stored_frame(spark):
         assert files and all("/star-input-" in f or "/FactVisit-" in f for f in files)
 
 
+def test_a_worksheet_builds_the_tables_it_reads(spark):
+    QUERIES["worksheet_yearly_visits_by_clinic"](spark, SF)
+    folder = visits._STORED[spark.sparkContext.applicationId, SF, ("FactVisit", "DimLocation")][1]
+    made = {p.name for p in Path(folder.removeprefix("file://")).iterdir() if p.is_dir()}
+    assert made == {"FactVisit", "DimLocation"}
+
+
 def test_the_job_reads_compressed_input(spark):
     output, _ = _run_visits_job(spark, SF, output_format="parquet")
     folder = Path(output.removeprefix("file://")).parent / "visits.csv"
