@@ -40,19 +40,22 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     for kind, places in by_type.items():
         values = [F.col(names[i]).cast(kind).alias(str(i)) for i in places]
         pairs = df.select(*values).unpivot([], [str(i) for i in places], "column", "value")
-        counted = pairs.groupBy("column", "value").agg(F.count(F.lit(1)).alias("rows"))
+        # A pair moves with as little as it can: a short column, and a count of nulls alone.
+        pairs = pairs.withColumn("column", F.col("column").cast("int"))
+        counted = pairs.groupBy("column", "value").agg(
+            F.count_if(F.col("value").isNull()).alias("nulls")
+        )
         counts.append(
             counted.groupBy("column").agg(
-                F.count(F.lit(1)).alias("n_distinct"),
-                F.sum(F.when(F.col("value").isNull(), F.col("rows")).otherwise(0)).alias("n_null"),
+                F.count(F.lit(1)).alias("n_distinct"), F.sum("nulls").alias("n_null")
             )
         )
     # A column of no rows has a row, too.
     zero = F.lit(0).cast("bigint")
     every = df.sparkSession.range(len(names)).select(
-        F.col("id").cast("string").alias("column"), zero.alias("n_distinct"), zero.alias("n_null")
+        F.col("id").cast("int").alias("column"), zero.alias("n_distinct"), zero.alias("n_null")
     )
-    name = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("column").cast("int") + 1)
+    name = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("column") + 1)
     return (
         reduce(DataFrame.unionByName, counts, every)
         .groupBy("column")

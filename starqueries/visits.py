@@ -20,7 +20,7 @@ from starnorm.plans.visits import STAR
 from starnorm.hadoop import delete_tree, stored_bytes, stored_version
 from starnorm.sinks import write_parquet
 from starnorm.sources import read_star_parquet
-from starnorm.staging import staged, staging_path
+from starnorm.staging import COMPRESSION, staged, staging_path
 from starqueries.frames import SOURCES, flat
 
 # Every visit column as an expression over an order line and what surrounds it, in
@@ -139,7 +139,7 @@ def stored_star(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, Data
         folder = staging_path(spark, "visit-star")
 
         def keep(table: DataFrame, name: str) -> DataFrame:
-            write_parquet(table, folder, name)
+            write_parquet(table, folder, name, compression=COMPRESSION)
             return spark.read.schema(table.schema).parquet(f"{folder}/{name}")
 
         made = visits(spark, sf_dir, *STAR.sources(names))

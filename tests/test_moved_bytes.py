@@ -6,7 +6,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from starnorm.operators import JoinEdge, lookup, star_join
+from starnorm.operators import JoinEdge, column_profile, lookup, star_join
 from starqueries import visits
 from starqueries.spark import QUERIES, _run_visits_job
 
@@ -97,3 +97,17 @@ def test_the_job_reads_compressed_input(spark):
     folder = Path(output.removeprefix("file://")).parent / "visits.csv"
     parts = [p.name for p in folder.iterdir() if p.name.startswith("part-")]
     assert parts and all(p.endswith(".csv.gz") for p in parts)
+
+
+def test_the_stored_star_is_compressed_as_staged_tables_are(spark):
+    star = visits.stored_star(spark, SF, "DimTreatment")
+    files = star["DimTreatment"].inputFiles()
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
+
+
+def test_a_profile_moves_no_counts_but_of_nulls(spark):
+    frame = spark.createDataFrame([(1, "a"), (1, None), (2, None), (None, "b")], "n int, s string")
+    profile = column_profile(frame)
+    assert "AS rows#" not in _optimized(profile)
+    found = {r.column_name: (r.n_distinct, r.n_null) for r in profile.collect()}
+    assert found == {"n": (3, 1), "s": (3, 2)}
