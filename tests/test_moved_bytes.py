@@ -111,3 +111,10 @@ def test_a_profile_moves_no_counts_but_of_nulls(spark):
     assert "AS rows#" not in _optimized(profile)
     found = {r.column_name: (r.n_distinct, r.n_null) for r in profile.collect()}
     assert found == {"n": (3, 1), "s": (3, 2)}
+
+
+def test_the_session_shuffles_with_zstd_and_plans_name_whole_paths(spark, tmp_path):
+    assert spark.sparkContext.getConf().get("spark.io.compression.codec") == "zstd"
+    path = f"{tmp_path}/{'long' * 30}"
+    spark.range(3).write.parquet(path)
+    assert path in spark.read.parquet(path)._jdf.queryExecution().executedPlan().toString()
