@@ -7,6 +7,7 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from starnorm.operators import JoinEdge, column_profile, lookup, star_join
+from starnorm.operators.codes import few_values
 from starqueries import visits
 from starqueries.spark import QUERIES, _run_visits_job
 
@@ -79,6 +80,96 @@ def test_star_join_shuffles_each_column_once_and_wide_tables_last(spark):
     assert all(r.twice == i and r.w2 == i % 50 and r.s0 == i % 40 + 1 for i, r in rows.items())
 
 
+def _parts(spark):
+    """Facts and a table of 3,000 parts in 12 makes, one of them null throughout."""
+    n = F.col("id")
+    make = F.when(n % 12 > 0, F.concat(F.lit("a make of some length "), n % 12))
+    size = F.when(n % 12 > 1, (n % 3).cast("int"))
+    parts = spark.range(3000).select(
+        F.when(n != 5, n).alias("pk"), make.alias("make"), size.alias("size"), (n * -0.0).alias("zero")
+    )
+    parts = parts.union(parts.filter("pk = 7"))  # a key that comes twice gives two rows
+    facts = spark.range(8000).select(n.alias("line"), F.when(n % 9 > 0, n % 3500).alias("pk"))
+    return {"facts": facts, "parts": parts}
+
+
+def _plain(tables, *columns):
+    parts = tables["parts"].withColumnRenamed("pk", "__pk")
+    return tables["facts"].join(parts, F.col("pk") == F.col("__pk"), "left").select(*columns)
+
+
+def _same(a, b):
+    assert a.schema == b.schema and a.count() == b.count()
+    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def _moved(df):
+    """The columns of each shuffle for a large join."""
+    text = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    found = re.findall(r"Exchange\nInput \[\d+\]: \[(.*)\]\nArguments: hashpartitioning[^\n]*salt", text)
+    return [columns.split(", ") for columns in found]
+
+
+def _codes(df):
+    return len({f.rsplit("/", 1)[0] for f in df.inputFiles() if "/dense-key-" in f})
+
+
+def test_columns_of_few_values_are_shuffled_as_one_number(spark, monkeypatch):
+    monkeypatch.setattr(MODULE, "HOT_PARTS", 1)
+    tables = _parts(spark)
+    edges = [JoinEdge("facts", "pk", "parts", "pk")]
+    columns = {c: ("facts" if c == "line" else "parts", c) for c in ("line", "make", "size")}
+    out = star_join(tables, "facts", edges, columns, spread_by=["line"], broadcast_bytes=20_000)
+    _same(out, _plain(tables, *columns))
+    moved = _moved(out)
+    assert sorted(map(len, moved)) == [3, 3]
+    # Longs are marked so; texts and ints would not be.
+    assert all(c.endswith("L") for columns in moved for c in columns)
+
+
+def test_a_table_that_fits_with_a_number_is_broadcast(spark):
+    tables = _parts(spark)
+    edges = [JoinEdge("facts", "pk", "parts", "pk")]
+    columns = {c: ("facts" if c == "line" else "parts", c) for c in ("line", "make", "size")}
+    out = star_join(tables, "facts", edges, columns, spread_by=["line"], broadcast_bytes=60_000)
+    _same(out, _plain(tables, *columns))
+    assert _codes(out) == 1 and _moved(out) == []
+    assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_numbers_stand_for_exact_values_that_are_few(spark):
+    parts = _parts(spark)["parts"]
+    found = few_values(parts, "n", 1 << 20)
+    assert found.columns == ("make", "size")
+    _same(found.decode(found.encode(parts)).select(*parts.columns), parts)
+    assert few_values(parts, "n", 100) is None
+    assert few_values(parts, "n", 0) is None
+    assert few_values(parts.select("pk", "zero"), "n", 1 << 20) is None
+    unlike = spark.range(400).select(F.col("id").cast("string").alias("a"), (F.col("id") % 2).alias("b"))
+    assert few_values(unlike, "n", 1 << 20) is None
+
+
+def test_numbers_go_through_chains_and_two_large_tables(spark):
+    n = F.col("id")
+    tables = {
+        "f": spark.range(9000).select(n.alias("line"), (n % 2000).alias("a"), (n % 1500).alias("b")),
+        "o": spark.range(1900).select(n.alias("ok"), (n % 1200).alias("c"), F.concat(F.lit("state "), n % 3).alias("state")),
+        "c": spark.range(1100).select(n.alias("ck"), F.concat(F.lit("kind "), n % 4).alias("kind"), n.cast("string").alias("name")),
+        "p": spark.range(1500).select(n.alias("pk"), F.concat(F.lit("make "), n % 5).alias("make")),
+    }
+    edges = [JoinEdge("f", "a", "o", "ok"), JoinEdge("o", "c", "c", "ck"), JoinEdge("f", "b", "p", "pk")]
+    columns = {"line": ("f", "line"), "kind": ("c", "kind"), "name": ("c", "name")}
+    columns |= {"state": ("o", "state"), "make": ("p", "make"), "state2": ("o", "state")}
+    expected = tables["f"]
+    for a, to, key in (("a", "o", "ok"), ("c", "c", "ck"), ("b", "p", "pk")):
+        expected = expected.join(tables[to], F.col(a) == F.col(key), "left")
+    expected = expected.withColumn("state2", F.col("state")).select(*columns)
+    for limit in (4_000, 25_000, 1 << 25):
+        out = star_join(tables, "f", edges, columns, spread_by=["line"], broadcast_bytes=limit)
+        _same(out, expected)
+        assert _codes(out) == (0 if limit > 1 << 20 else 3)
+
+
 def test_profiles_read_a_stored_frame(spark):
     for name in ("column_profile", "visits_profile"):
         files = QUERIES[name](spark, SF).inputFiles()
