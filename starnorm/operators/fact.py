@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 
 from starnorm.operators.dedupe import one_row_per_key
 from starnorm.operators.lookup import lookup
 from starnorm.sizing import BROADCAST_BYTES, fits
+from starnorm.staging import staged
 
 
 @dataclass(frozen=True)
@@ -79,8 +80,14 @@ def build_fact(
     """Attach surrogates, keep ``columns``, and keep one row per ``grain`` key.
 
     The surrogates are attached first: once they replace the natural keys the rows
-    that the last step shuffles are narrow.
+    that the last step shuffles are narrow. Where a dimension is too large to broadcast,
+    they are staged before that step, so that the disk does not hold both shuffles of the
+    fact at once.
     """
+    dims = [
+        replace(attach, small=_is_small(attach, broadcast_bytes)) if attach.small is None else attach
+        for attach in dims
+    ]
     surrogates = {attach.id_name for attach in dims}
     needed = [c for c in columns if c not in surrogates]
     needed += [c for attach in dims for c in attach.natural_key if c not in needed]
@@ -90,5 +97,7 @@ def build_fact(
         null_safe=null_safe,
         spread_by=grain,
         broadcast_bytes=broadcast_bytes,
-    )
-    return one_row_per_key(rows.select(*columns), grain)
+    ).select(*columns)
+    if not all(attach.small for attach in dims):
+        rows = staged(rows, "attached")
+    return one_row_per_key(rows, grain)
