@@ -83,7 +83,8 @@ def normalize(
     ``keep`` makes a finished table durable and returns the frame to go on with:
     :func:`starnorm.staging.staged`, or a sink and a read. What was staged on the way
     is then deleted. By default tables stay lazy, but for the surrogate numbering,
-    which is always staged. ``stage_input`` turns row-oriented input into Parquet
+    which is always staged, and the rows of a fact with a dimension too large to broadcast.
+    ``stage_input`` turns row-oriented input into Parquet
     first, so that every dimension reads its own columns only, and sizes the shuffles
     by it.
 
